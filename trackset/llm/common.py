@@ -105,3 +105,8 @@ def distinct_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def text_class(col: str):
     """A 16-byte digest that stands for a whole text."""
     return F.unhex(F.substring(F.sha2(F.col(col).cast("binary"), 256), 1, 32))
+
+
+def text_class_of(text_col: str):
+    """The same for a column that may hold nulls, which count as empty."""
+    return F.unhex(F.substring(F.sha2(text_or_empty(text_col).cast("binary"), 256), 1, 32))

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, common, token_counts
+from . import byte_bpe, common, passages, simhash, token_counts
 
 #: Documents of more tokens are over the limit.
 TOKEN_LIMIT = 512
@@ -25,6 +25,16 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = passages.remove_repeats(common.read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("row.doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(common.read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def rank_file() -> bytes:
     return Path(public_tokenizers.path("byte_bpe_50k.tiktoken")).read_bytes()
 
@@ -43,7 +53,28 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op5_passages": op5_passages,
+    "op7_simhash": op7_simhash,
     "op8_byte_bpe": op8_byte_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+OP5_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 19], ' ') AS seq
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM w WHERE len(ws) >= 20)),
+again AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY seq ORDER BY doc_id, i) AS nth FROM s)
+  WHERE nth > 1),
+gone AS (SELECT DISTINCT doc_id, pos FROM (SELECT doc_id, unnest(range(i, i + 20)) AS pos FROM again)),
+words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FROM w),
+kept AS (
+  SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY pos) AS txt
+  FROM words ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(txt, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op5_passages": OP5_SQL}
