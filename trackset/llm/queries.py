@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, common, passages, simhash, token_counts
+from . import byte_bpe, common, line_quality, mixing, passages, simhash, token_counts
 
 #: Documents of more tokens are over the limit.
 TOKEN_LIMIT = 512
@@ -35,6 +35,15 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(common.read_table(spark, sf_dir, "documents"))
+
+
+def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = line_quality.judge(common.read_table(spark, sf_dir, "documents"), ["doc_id"])
+    return judged.select("row.doc_id", "*").drop("row", "lost")
+
+
 def rank_file() -> bytes:
     return Path(public_tokenizers.path("byte_bpe_50k.tiktoken")).read_bytes()
 
@@ -56,6 +65,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_passages": op5_passages,
     "op7_simhash": op7_simhash,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_mixing": op9_mixing,
+    "op10_line_quality": op10_line_quality,
 }
 
 OP5_SQL = r"""
@@ -77,4 +88,74 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n_k
 FROM w LEFT JOIN kept USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op5_passages": OP5_SQL}
+OP9_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) >> 30 AS p
+  FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+r AS (
+  SELECT *, 2 * CAST(source_size AS DOUBLE) AS cap,
+         CAST([3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS DOUBLE) AS weight,
+         row_number() OVER (ORDER BY source NULLS LAST) AS place FROM s),
+l AS (
+  SELECT *, row_number() OVER (ORDER BY cap / weight, place) AS nth,
+         (1.5 * CAST(sum(source_size) OVER () AS DOUBLE)
+          - coalesce(sum(cap) OVER (ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
+         / sum(weight) OVER (ORDER BY cap / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM r),
+t AS (
+  SELECT source, source_size, least(cap, coalesce(
+    (SELECT arg_min(level, nth) FROM l WHERE level * weight <= cap) * weight, cap)) AS target FROM l),
+g AS (
+  SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS passes FROM t),
+b AS (
+  SELECT d.source, d.p, sum(d.size) AS words, any_value(g.target - g.passes * g.source_size) AS rest
+  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source GROUP BY d.source, d.p),
+c AS (SELECT *, sum(words) OVER (PARTITION BY source ORDER BY p) AS upto FROM b),
+e AS (
+  SELECT source, p + CASE WHEN upto - rest < rest - (upto - words) THEN 1 ELSE 0 END AS cut
+  FROM c WHERE upto > rest AND upto - words <= rest)
+SELECT doc_id, size, source_size, target, passes + CASE WHEN p < coalesce(cut, 0) THEN 1 ELSE 0 END AS copies,
+       size * (passes + CASE WHEN p < coalesce(cut, 0) THEN 1 ELSE 0 END) AS taken
+FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source LEFT JOIN e ON d.source IS NOT DISTINCT FROM e.source
+"""
+
+OP10_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, coalesce(source, '') AS host, coalesce(text, '') AS txt,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+  FROM documents),
+w AS (
+  SELECT k, i, array_to_string(ws[i:i + 2], ' ') AS seq
+  FROM (SELECT k, ws, unnest(range(1, len(ws) - 1)) AS i FROM d WHERE len(ws) >= 3)),
+again AS (SELECT k, i FROM (SELECT k, i, count(*) OVER (PARTITION BY k, seq) AS n FROM w) WHERE n > 1),
+rep AS (
+  SELECT k, count(DISTINCT pos) AS n_repeat_words FROM (SELECT k, unnest([i, i + 1, i + 2]) AS pos FROM again)
+  GROUP BY k),
+ln AS (
+  SELECT k, host, doc_id, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS lw
+  FROM (SELECT k, host, doc_id, unnest(ls) AS line FROM d)),
+nl AS (
+  SELECT k, host, doc_id, translate(array_to_string(lw, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz') AS line, len(lw) AS n FROM ln),
+f AS (SELECT host, line, count(DISTINCT doc_id) AS n_docs, min(doc_id) AS first_id FROM nl GROUP BY host, line),
+h AS (SELECT host, count(DISTINCT doc_id) AS n FROM d GROUP BY host),
+lost AS (
+  SELECT nl.k, sum(nl.n) AS n_lost FROM nl JOIN f USING (host, line) JOIN h USING (host)
+  WHERE f.n_docs > greatest(20, h.n * 0.01) AND nl.doc_id <> f.first_id GROUP BY nl.k),
+m AS (
+  SELECT d.k, doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+         CAST(length(txt) - length(translate(txt, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+         CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, coalesce(n_lost, 0) AS n_lost
+  FROM d LEFT JOIN rep USING (k) LEFT JOIN lost ON lost.k = d.k)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * (n_words - n_lost) >= 30 * n_words AS kept
+FROM m
+"""
+
+ORACLE_SQL: dict[str, str] = {"op9_mixing": OP9_SQL, "op10_line_quality": OP10_SQL, "op5_passages": OP5_SQL}
