@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, common, line_quality, mixing, passages, simhash, token_counts
+from . import byte_bpe, common, forest, line_quality, mixing, passages, simhash, token_counts
 
 #: Documents of more tokens are over the limit.
 TOKEN_LIMIT = 512
@@ -25,6 +25,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op2_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = forest.near_duplicates(common.read_table(spark, sf_dir, "embeddings"))
+    return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
 def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = passages.remove_repeats(common.read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return done.select("row.doc_id", "n_words", "n_removed", "kept_sha256")
@@ -62,6 +67,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_forest": op2_forest,
     "op5_passages": op5_passages,
     "op7_simhash": op7_simhash,
     "op8_byte_bpe": op8_byte_bpe,
@@ -88,6 +94,22 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n_k
 FROM w LEFT JOIN kept USING (doc_id)
 """
 
+OP2_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL)) = 0
+    AND len(list_filter(embedding, lambda e: NOT isfinite(e))) = 0
+    AND len(list_filter(embedding, lambda e: e <> 0)) > 0),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.98),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = vec_id) AS n_links,
+       least(vec_id, coalesce((SELECT min(b) FROM r WHERE r.a = vec_id), vec_id)) AS component_id,
+       vec_id <= coalesce((SELECT min(b) FROM r WHERE r.a = vec_id), vec_id) AS kept
+FROM embeddings
+"""
+
 OP9_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
@@ -158,4 +180,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM m
 """
 
-ORACLE_SQL: dict[str, str] = {"op9_mixing": OP9_SQL, "op10_line_quality": OP10_SQL, "op5_passages": OP5_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_forest": OP2_SQL, "op9_mixing": OP9_SQL, "op10_line_quality": OP10_SQL, "op5_passages": OP5_SQL}
