@@ -9,7 +9,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, common, forest, line_quality, mixing, passages, simhash, token_counts
+from . import (
+    byte_bpe,
+    common,
+    forest,
+    language_mix,
+    line_quality,
+    mixing,
+    passages,
+    simhash,
+    token_counts,
+    toxicity,
+    warc_zip,
+)
 
 #: Documents of more tokens are over the limit.
 TOKEN_LIMIT = 512
@@ -30,11 +42,26 @@ def op2_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (common.read_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    found = toxicity.score(docs, labels)
+    return found.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
+def op4_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc_zip.round_trip(common.read_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = passages.remove_repeats(common.read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return done.select("row.doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op6_language_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_mix.identify(common.read_table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(common.read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -68,7 +95,10 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_forest": op2_forest,
+    "op3_toxicity": op3_toxicity,
+    "op4_warc_zip": op4_warc_zip,
     "op5_passages": op5_passages,
+    "op6_language_mix": op6_language_mix,
     "op7_simhash": op7_simhash,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_mixing": op9_mixing,
@@ -110,6 +140,16 @@ SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = vec_id) AS n_links,
 FROM embeddings
 """
 
+OP4_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b) AS payload_bytes, sha256(b) AS payload_digest FROM p),
+f AS (SELECT payload_digest, min(page_id) AS first_id FROM d WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN first_id IS NULL OR first_id = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM d LEFT JOIN f USING (payload_digest)
+"""
+
 OP9_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
@@ -180,4 +220,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM m
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_forest": OP2_SQL, "op9_mixing": OP9_SQL, "op10_line_quality": OP10_SQL, "op5_passages": OP5_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_warc_zip": OP4_SQL, "op2_forest": OP2_SQL, "op9_mixing": OP9_SQL, "op10_line_quality": OP10_SQL, "op5_passages": OP5_SQL}
