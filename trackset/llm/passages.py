@@ -198,7 +198,8 @@ def removed(texts: DataFrame, want_text: bool) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            split = [t.split() for t in batch.column(2).to_pylist()]
+            whole = batch.column(2).to_pylist()
+            split = [t.split() for t in whole]
             ids = batch.column(1).to_pylist()
             machine = Automaton()
             for text, repeats in zip(split, batch.column(3)):
@@ -210,12 +211,12 @@ def removed(texts: DataFrame, want_text: bool) -> DataFrame:
                         machine.add(text[pos[i] : pos[i] + WINDOW], int(low[i]))
             machine.compile()
             n_removed, sha, kept = [], [], []
-            for text, own in zip(split, ids):
+            for raw, text, own in zip(whole, split, ids):
                 gone = machine.covered(text, own)
                 n_removed.append(int(gone.sum()))
                 left = b" ".join(text if not n_removed[-1] else [text[i] for i in np.flatnonzero(~gone)])
                 sha.append(hashlib.sha256(left).hexdigest())
-                kept.append(left.decode() if want_text else None)
+                kept.append((left if n_removed[-1] else raw).decode() if want_text else None)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -236,8 +237,8 @@ def removed(texts: DataFrame, want_text: bool) -> DataFrame:
 def remove_repeats(
     docs: DataFrame, want_text: bool = False, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """n_words, n_removed, kept_sha256 [, kept: the words left, joined by spaces] beside all columns of `docs` but the
-    text, which come in a struct `row`."""
+    """n_words, n_removed, kept_sha256 (of the words left, joined by spaces) [, kept: these words, or the text as it is
+    if none went] beside all columns of `docs` but the text, which come in a struct `row`."""
     spark = docs.sparkSession
     common.small_batches(spark)
     texts = common.distinct_texts(docs, id_col, text_col).select(
