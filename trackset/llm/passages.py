@@ -132,20 +132,23 @@ def windows(texts: DataFrame) -> DataFrame:
 def confirmed_repeats(texts: DataFrame) -> DataFrame:
     """cls, repeats: array of (pos, id), the windows of each text that start earlier and the first id of each."""
     chosen = common.materialise(phrases(texts), "phrases")
+    # written, so that the join exchanges both sides and Spark can split a frequent phrase
     often = chosen.groupBy("phrase").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("phrase")
+    often = common.materialise(often, "frequent-phrases")
     marks = chosen.join(often, "phrase").groupBy("cls").agg(F.collect_list("pos").alias("phrases"))
     marks = common.materialise(marks, "phrase-places")
-    common.discard(chosen)
+    common.discard(chosen, often)
     found = common.materialise(windows(texts.join(marks, "cls")), "windows")
     common.discard(marks)
     fresh = found.where("NOT again")
     low = fresh.groupBy("key1", "key2").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    later = fresh.join(low.select("key1", "key2", "low"), ["key1", "key2"]).where("low < id")
+    low = common.materialise(low.select("key1", "key2", "low"), "first-windows")
+    later = fresh.join(low, ["key1", "key2"]).where("low < id")
     repeats = later.select("cls", "pos", F.col("low").alias("id"))
     repeats = repeats.unionAll(found.where("again").select("cls", "pos", "id"))
     repeats = repeats.groupBy("cls").agg(F.collect_list(F.struct("pos", "id")).alias("repeats"))
     repeats = common.materialise(repeats, "repeats")
-    common.discard(found)
+    common.discard(found, low)
     return repeats
 
 
