@@ -107,7 +107,9 @@ def heavy_lines(known: DataFrame) -> DataFrame:
     )
     counts = lines.groupBy("host", "h").agg(F.countDistinct("doc").alias("n"), F.min("id").alias("first"))
     above = counts.where(F.col("n") > LEAST_DOCUMENTS).join(limits, "host").where("n > most")
-    lost = lines.join(above.select("host", "h", "first"), ["host", "h"])
+    # written, so that the join exchanges both sides and Spark can split a frequent line
+    above = common.materialise(above.select("host", "h", "first"), "lines-above")
+    lost = lines.join(above, ["host", "h"])
     return lost.where("id IS NULL OR first IS NULL OR id <> first").select("key", "h", "w")
 
 
