@@ -23,13 +23,16 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(
             edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
         )
+        # minima are written, so that the joins exchange both sides and Spark can split a node of many links
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = common.materialise(low, "minima")
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = common.materialise(large, "links")
+        least = common.materialise(large.groupBy("a").agg(F.min("b").alias("m")), "minima")
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.unionAll(least.select("a", F.col("m").alias("b"))).distinct()
         done, edges = edges, common.materialise(small, "links")
-        common.discard(done)
+        common.discard(done, low, large, least)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
