@@ -191,6 +191,7 @@ def links(points: DataFrame, forest: Forest) -> DataFrame:
     """node, n (links to other points, each with its number), root: one row for each point and group."""
     rows = routed(points, forest).withColumn("leaf", F.explode("leaves"))
     crowded = rows.groupBy("label", "leaf").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > BLOCK_ROWS)
+    crowded = common.materialise(crowded, "crowded-leaves")
     blocks = F.coalesce(F.ceil(F.col("size") / BLOCK_ROWS), F.lit(1)).cast("int")
     rows = rows.join(crowded, ["label", "leaf"], "left").withColumn("blocks", blocks)
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
