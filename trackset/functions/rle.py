@@ -6,6 +6,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+INTERVALS = T.ArrayType(T.StructType([T.StructField("s", T.LongType()), T.StructField("e", T.LongType())]))
 
 
 def pack(runs: list[int]) -> str:
@@ -85,7 +88,7 @@ def intervals_of_bits(bits: int) -> list[tuple[int, int]]:
     return out
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def counts_text(intervals: pd.Series, size: pd.Series) -> pd.Series:
     """Compressed counts of a mask given by intervals; null stays null."""
     return pd.Series(
@@ -93,13 +96,13 @@ def counts_text(intervals: pd.Series, size: pd.Series) -> pd.Series:
     )
 
 
-@F.pandas_udf("array<struct<s:bigint,e:bigint>>")
+@F.pandas_udf(INTERVALS)
 def counts_intervals(counts: pd.Series) -> pd.Series:
     """The intervals of compressed counts; null stays null."""
     return pd.Series([None if c is None else [{"s": s, "e": e} for s, e in intervals_of(unpack(c))] for c in counts])
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def decodable(counts: pd.Series, size: pd.Series) -> pd.Series:
     """Whether compressed counts can be read and fill the frame."""
 

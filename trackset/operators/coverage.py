@@ -38,17 +38,19 @@ def fill_object(lo: int, hi: int, kept: list[int], boxed: dict[int, int | None],
     return out
 
 
-def gap_fills(anchors: DataFrame, records: DataFrame, flags: DataFrame, max_gap: int, any_box: bool = False) -> DataFrame:
-    """Fills for every object of `anchors` (vid, tid, fid).
+def gap_fills(keyframes: DataFrame, records: DataFrame, max_gap: int, any_box: bool) -> DataFrame:
+    """Fills for every object with anchors.
 
-    `records` are the boxes in span (with lo, hi), `flags` the human keyframes with n_flags. A row of an object holds
-    frame numbers only, at most one for each frame of its video.
+    `records` are the boxes in span (with lo, hi), `keyframes` the human ones with n_flags and kept (it is an anchor). A
+    row of an object holds frame numbers only, at most one for each frame of its video.
     """
-    boxes = records.select("vid", "tid", "fid", "lo", "hi").join(
-        flags.select("vid", "tid", "fid", F.col("n_flags").cast("long").alias("n_flags")), ["vid", "tid", "fid"], "left"
+    keys = ["vid", "tid", "fid"]
+    flags = keyframes.select(*keys, F.col("n_flags").cast("long").alias("n_flags"), "kept")
+    boxes = records.select(*keys, "lo", "hi").join(flags, keys, "left")
+    boxes = boxes.groupBy("vid", "tid", "lo", "hi").agg(
+        F.collect_list(F.struct("fid", "n_flags")).alias("boxed"),
+        F.collect_list(F.when(F.col("kept"), F.col("fid"))).alias("kept"),
     )
-    boxes = boxes.groupBy("vid", "tid", "lo", "hi").agg(F.collect_list(F.struct("fid", "n_flags")).alias("boxed"))
-    kept = anchors.groupBy("vid", "tid").agg(F.collect_list("fid").alias("kept"))
 
     def run(batches):
         for batch in batches:
@@ -62,11 +64,13 @@ def gap_fills(anchors: DataFrame, records: DataFrame, flags: DataFrame, max_gap:
             kinds = [pa.string() if n == "source" else pa.int64() for n in names]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
 
-    return boxes.join(kept, ["vid", "tid"]).mapInArrow(run, FILLS)
+    return boxes.mapInArrow(run, FILLS)
 
 
-def human_gap(plan) -> DataFrame:
+def human_gap(plan, any_box: bool | None = None) -> DataFrame:
     """Fills under the plain rule: every human keyframe counts as clean."""
-    clean = plan.keyframes.select("vid", "tid", "fid", F.lit(0).alias("n_flags"))
+    from trackset.operators import planning
+
     s = plan.settings
-    return gap_fills(plan.anchors, plan.records, clean, s.max_gap, s.gap_fill == "any")
+    clean = planning.chosen(plan.measured, F.lit(True), s.max_anchors).withColumn("n_flags", F.lit(0))
+    return gap_fills(clean, plan.records, s.max_gap, (s.gap_fill == "any") if any_box is None else any_box)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackset.config import Settings
@@ -21,7 +21,7 @@ def motion(boxes: DataFrame) -> DataFrame:
     own = Window.partitionBy(*OBJECT).orderBy("fid")
     rows = boxes.select("vid", "tid", "fid", x.alias("x"), y.alias("y"), geometry.diagonal().alias("d"))
 
-    def speed(step) -> F.Column:
+    def speed(step) -> Column:
         far = F.hypot(F.col("x") - step("x"), F.col("y") - step("y"))
         return far / (F.abs(F.col("fid") - step("fid")) * F.col("d"))
 
@@ -37,14 +37,12 @@ def metrics(keyframes: DataFrame, boxes: DataFrame, settings: Settings) -> DataF
     `keyframes` may have a `blur` score; without one the blur flag is never set.
     """
     g = settings.gate
-    rows = planning.others(keyframes, boxes, geometry.covered("a.", "b."), "overlap")
+    rows = planning.others(keyframes, boxes, overlap=geometry.covered("a.", "b."), max_iou=geometry.iou("a.", "b."))
     if "blur" not in rows.columns:
         rows = rows.withColumn("blur", F.lit(None).cast("double"))
     rows = rows.join(motion(boxes), ["vid", "tid", "fid"]).withColumn("area", geometry.area().cast("double"))
-    middle = rows.groupBy(*OBJECT).agg(
-        F.median("area").alias("mid_area"), F.median("overlap").alias("mid_overlap"), F.median("blur").alias("mid_blur")
-    )
-    rows = rows.join(middle, list(OBJECT))
+    for name in ("area", "overlap", "blur"):
+        rows = rows.withColumn(f"mid_{name}", F.median(name).over(Window.partitionBy(*OBJECT)))
     rows = rows.withColumn("edge", geometry.edge_touches(settings.width, settings.height, g.edge_tol))
     rows = rows.withColumn("rel_size", F.col("area") / F.col("mid_area"))
     tests = {
@@ -59,29 +57,25 @@ def metrics(keyframes: DataFrame, boxes: DataFrame, settings: Settings) -> DataF
     return rows.withColumn("flags", flags).withColumn("n_flags", F.size(flags).cast("long"))
 
 
-def candidates(flagged: DataFrame, fallback: str) -> DataFrame:
+def candidate(fallback: str) -> Column:
     """Keyframes without flags; of objects without any, those with the fewest, or none under `refuse`."""
-    least = F.min("n_flags").over(Window.partitionBy(*OBJECT))
-    rows = flagged.withColumn("least", least)
-    return rows.where("n_flags = 0" if fallback == "refuse" else "n_flags = least")
+    if fallback == "refuse":
+        return F.col("n_flags") == 0
+    return F.col("n_flags") == F.min("n_flags").over(Window.partitionBy(*OBJECT))
 
 
 def gated(plan, keyframes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The flagged keyframes, and (vid, tid, fid, is_ref) the anchors that the gate leaves, gap fills included."""
     s = plan.settings
     flagged = metrics(keyframes, plan.boxes, s)
-    clean = candidates(flagged, s.fallback)
-    measured = planning.overlaps(clean.select("vid", "tid", "fid", *geometry.SIDES), plan.boxes)
-    refs = planning.references(measured)
-    kept = planning.thinned(clean.select("vid", "tid", "fid"), refs, s.max_anchors)
+    flagged = planning.chosen(flagged, candidate(s.fallback), s.max_anchors)
     if s.gate.keep_span_edges:
-        ends = flagged.groupBy(*OBJECT).agg(F.array(F.min("fid"), F.max("fid")).alias("ends"))
-        ends = ends.join(refs.select("vid", "tid", "ref"), list(OBJECT)).select("vid", "tid", F.explode("ends").alias("fid"))
-        kept = kept.unionByName(ends.withColumn("is_ref", F.lit(False)))
-        kept = kept.groupBy("vid", "tid", "fid").agg(F.max("is_ref").alias("is_ref"))
-    fills = coverage.gap_fills(kept, plan.records, flagged, s.max_gap, s.gap_fill == "any")
-    kept = kept.unionByName(fills.select("vid", "tid", "fid", F.lit(False).alias("is_ref")))
-    return flagged, kept
+        own = Window.partitionBy(*OBJECT)
+        end = (F.col("fid") == F.min("fid").over(own)) | (F.col("fid") == F.max("fid").over(own))
+        flagged = flagged.withColumn("kept", F.col("kept") | (end & (F.col("n") > 0)))
+    fills = coverage.gap_fills(flagged, plan.records, s.max_gap, s.gap_fill == "any")
+    kept = flagged.where("kept").select("vid", "tid", "fid", "is_ref")
+    return flagged, kept.unionByName(fills.select("vid", "tid", "fid", F.lit(False).alias("is_ref")))
 
 
 def summary(flagged: DataFrame, anchors: DataFrame) -> DataFrame:

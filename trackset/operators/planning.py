@@ -40,18 +40,23 @@ def keyframes(boxes: DataFrame, spans: DataFrame) -> DataFrame:
     return in_span(boxes, spans).where(F.coalesce("generated", F.lit(0)) == 0)
 
 
-def others(rows: DataFrame, boxes: DataFrame, measure: Column, name: str) -> DataFrame:
-    """The largest `measure` of each row's box (a.) against the other boxes of its frame (b.); 0 without others."""
-    a, b = rows.alias("a"), boxes.select("vid", "fid", "tid", *geometry.SIDES).alias("b")
+def others(rows: DataFrame, boxes: DataFrame, **measures: Column) -> DataFrame:
+    """The largest of each measure of a row's box (a.) against the other boxes of its frame (b.); 0 without others.
+
+    Rows are unique by (vid, fid, tid); one outer join and one aggregation serve all measures.
+    """
+    keys, rest = ("vid", "fid", "tid"), [c for c in rows.columns if c not in ("vid", "fid", "tid")]
+    a, b = rows.alias("a"), boxes.select(*keys, *geometry.SIDES).alias("b")
     same = (F.col("a.vid") == F.col("b.vid")) & (F.col("a.fid") == F.col("b.fid")) & (F.col("a.tid") != F.col("b.tid"))
-    joined = a.join(b, same).groupBy("a.vid", "a.fid", "a.tid").agg(F.max(measure).alias(name))
-    found = joined.select("vid", "fid", "tid", name)
-    return rows.join(found, ["vid", "fid", "tid"], "left").withColumn(name, F.coalesce(name, F.lit(0.0)))
+    met = F.col("b.tid").isNotNull()  # least() and greatest() pass over nulls
+    largest = [F.coalesce(F.max(F.when(met, m)), F.lit(0.0)).alias(name) for name, m in measures.items()]
+    row = F.any_value(F.struct(*(F.col(f"a.{c}") for c in rest))).alias("row")
+    return a.join(b, same, "left").groupBy(*(f"a.{k}" for k in keys)).agg(row, *largest).select(*keys, "row.*", *measures)
 
 
 def overlaps(keyframes: DataFrame, boxes: DataFrame) -> DataFrame:
     """Keyframes with max_iou against every other object boxed in the frame."""
-    return others(keyframes, boxes, geometry.iou("a.", "b."), "max_iou")
+    return others(keyframes, boxes, max_iou=geometry.iou("a.", "b."))
 
 
 def references(measured: DataFrame) -> DataFrame:
@@ -64,17 +69,26 @@ def references(measured: DataFrame) -> DataFrame:
     )
 
 
-def thinned(candidates: DataFrame, references: DataFrame, most: int) -> DataFrame:
-    """vid, tid, fid, is_ref: candidates spread evenly over `most`, and the reference. 0 keeps all."""
-    rows = candidates.join(references.select("vid", "tid", "ref"), list(OBJECT))
+def chosen(measured: DataFrame, candidate: Column, most: int) -> DataFrame:
+    """Adds is_ref (the candidate with the least overlap) and kept (candidates spread evenly over `most`, and the
+    reference; 0 keeps all). Windows over an object's keyframes serve both."""
     own = Window.partitionBy(*OBJECT)
-    rows = rows.withColumn("nth", F.row_number().over(own.orderBy("fid")) - 1).withColumn("n", F.count(F.lit(1)).over(own))
-    is_ref = F.col("fid") == F.col("ref")
+    rows = measured.withColumn("candidate", candidate)
+    one = F.when(F.col("candidate"), 1)
+    best = F.min(F.when(F.col("candidate"), F.struct("max_iou", "fid"))).over(own)
+    rows = rows.withColumn("is_ref", F.coalesce(F.col("candidate") & (F.col("fid") == best["fid"]), F.lit(False)))
+    rows = rows.withColumn("nth", F.count(one).over(own.orderBy("fid")) - 1).withColumn("n", F.count(one).over(own))
+    kept = F.lit(True)
     if most:
         step = (F.col("n") - 1) / F.lit(float(most - 1))
-        picks = F.transform(F.sequence(F.lit(0), F.lit(most - 1)), lambda i: F.rint(i * step).cast("int"))
-        rows = rows.where((F.col("n") <= most) | F.array_contains(picks, F.col("nth")) | is_ref)
-    return rows.select("vid", "tid", "fid", is_ref.alias("is_ref"))
+        picks = F.transform(F.sequence(F.lit(0), F.lit(most - 1)), lambda i: F.rint(i * step).cast("long"))
+        kept = (F.col("n") <= most) | F.array_contains(picks, F.col("nth")) | F.col("is_ref")
+    return rows.withColumn("kept", F.col("candidate") & kept)
+
+
+def thinned(measured: DataFrame, most: int) -> DataFrame:
+    """vid, tid, fid, is_ref: the anchors of measured keyframes."""
+    return chosen(measured, F.lit(True), most).where("kept").select("vid", "tid", "fid", "is_ref")
 
 
 def refusals(spans: DataFrame, keyframes: DataFrame) -> DataFrame:
@@ -113,4 +127,4 @@ class Plan:
 
     @property
     def anchors(self) -> DataFrame:
-        return thinned(self.keyframes, self.references, self.settings.max_anchors)
+        return thinned(self.measured, self.settings.max_anchors)

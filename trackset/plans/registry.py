@@ -2,5 +2,619 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from trackset.functions import geometry, rle
+from trackset.operators import audit, combine, correspondence, coverage, gate, planning, prompts, records, units
+from trackset.plans.oracle import sql
+from trackset.sources import proxy
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+S = proxy.SETTINGS
+
+
+class Tables:
+    """The proxy tables of one folder and what is planned from them, each put together when it is asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.raw = proxy.raw_boxes(spark, sf_dir)
+        self.relations = proxy.relations(spark, sf_dir)
+        self.plan = planning.Plan(self.raw, self.relations, S)
+
+    @property
+    def units(self) -> DataFrame:
+        return units.units(self.relations, self.raw)
+
+    @property
+    def refused(self) -> DataFrame:
+        return planning.refusals(self.plan.spans, self.plan.keyframes)
+
+    @property
+    def paired(self) -> DataFrame:
+        planned = self.plan.records.join(self.refused, ["vid", "tid"], "left_anti")
+        return combine.paired(planned, proxy.mask_passes(self.plan.boxes, S))
+
+    @property
+    def readings(self) -> DataFrame:
+        return combine.readings(self.paired, S.merge)
+
+    @property
+    def settled(self) -> DataFrame:
+        return combine.tiebreaks(self.readings, S.merge)
+
+    @property
+    def decided(self) -> DataFrame:
+        return combine.decisions(self.settled, S.merge)
+
+    @property
+    def clips(self) -> DataFrame:
+        vid = F.col("vid")
+        stats = self.units.select(
+            "vid",
+            (vid % 10 != 0).alias("has_video"),
+            (vid % 13 != 1).alias("count_ok"),
+            (vid % 17 != 2).alias("size_ok"),
+            (vid % 19 == 3).alias("black"),
+        )
+        return records.clip_reasons(self.units, stats, S)
+
+    @property
+    def records(self) -> DataFrame:
+        return records.merged_records(self.plan.records, self.refused, self.decided, self.clips)
+
+    @property
+    def status(self) -> DataFrame:
+        vid = F.col("vid")
+        errors = self.units.where("vid % 7 IN (4, 5)").select(
+            "vid", (vid % 6).alias("attempt"), (vid % 5 == 0).alias("interrupted"), (vid % 3 == 0).alias("cuda_oom")
+        )
+        return records.unit_status(self.units, self.units.where("vid % 7 < 4"), errors, S)
+
+    @property
+    def ledger(self) -> DataFrame:
+        return records.ledger(self.units, self.status, records.run_totals(self.records), self.clips)
+
+    @property
+    def written(self) -> DataFrame:
+        """Records with faults: some lost, some twice, some of frames that don't exist."""
+        rows, k = self.records.select("vid", "tid", "fid"), F.expr("vid + tid + fid")
+        kept = rows.where(k % 101 != 0)
+        stray = rows.where(k % 107 == 0).withColumn("fid", F.col("fid") + 200)
+        return kept.unionByName(kept.where(k % 103 == 0)).unionByName(stray)
+
+    @property
+    def tracklets(self) -> DataFrame:
+        return correspondence.tracklets(self.records, self.plan.segments)
+
+    @property
+    def captions(self) -> DataFrame:
+        key = F.expr("vid + 3 * s + 5 * o") % 4
+        s, o = F.concat(F.lit("obj"), F.col("s").cast("string")), F.concat(F.lit("obj"), F.col("o").cast("string"))
+        text = F.concat(s, F.lit(" "), "p", F.lit(" "), o)
+        span = lambda test, a, b: F.when(test, F.array(F.struct(a.alias("start"), b.alias("end"))))
+        at = F.length(text) - F.length(o)
+        return units.triples(self.relations).where(key != 0).select(
+            "vid",
+            "s",
+            "p",
+            "o",
+            F.when(key != 1, text).alias("text"),
+            span(F.expr("(vid + s + o) % 3 <> 0"), F.lit(0), F.length(s)).alias("s_spans"),
+            span(F.expr("(vid + 2 * s + o) % 3 <> 1"), at, F.length(text)).alias("o_spans"),
+        )
+
+    @property
+    def samples(self) -> DataFrame:
+        return correspondence.samples(units.triples(self.relations).drop("ord"), self.tracklets, self.captions)
+
+
+def query(oracle: str | None = None, *needs: str, recursive: str = ""):
+    """Register a function of Tables under its name, with its SQL."""
+
+    def register(f: Callable[[Tables], DataFrame]):
+        QUERIES[f.__name__] = lambda spark, sf_dir: f(Tables(spark, sf_dir))
+        if oracle is not None:
+            ORACLE_SQL[f.__name__] = sql(oracle, *needs, recursive=recursive)
+        return f
+
+    return register
+
+
+BOX = "vid, fid, tid, xmin, ymin, xmax, ymax, generated, tracker"
+
+
+@query(f"SELECT {BOX} FROM all_boxes", "all_boxes")
+def q_boxes_dedup(t):
+    return units.first_boxes(t.raw).select(*BOX.split(", "))
+
+
+@query("SELECT * FROM units", "units")
+def q_units(t):
+    return t.units
+
+
+@query(
+    """SELECT count(*) AS units, count(*) FILTER (vid % 10 = 0) AS video_missing, count(*) FILTER (n_tids > 6) AS
+too_many_objects, CAST(sum(n_tids) AS BIGINT) AS relation_tids, CAST(sum(n_frames) AS BIGINT) AS frames,
+CAST(sum(n_frames * n_tids) AS BIGINT) AS prop_frame_objects FROM units""",
+    "units",
+)
+def q_unit_counts(t):
+    return units.unit_counts(t.units, t.units.where("vid % 10 = 0"), S)
+
+
+@query("SELECT split, count(*) AS units FROM units GROUP BY split", "units")
+def q_units_by_split(t):
+    return units.by_split(t.units)
+
+
+@query(
+    """SELECT coalesce(split, 'all') AS scope, count(*) // 2 AS records, count(DISTINCT vid) AS videos,
+count(DISTINCT (vid, tid)) AS pairs
+FROM (SELECT split, vid, s AS tid FROM rel UNION ALL SELECT split, vid, o FROM rel) GROUP BY ROLLUP (split)""",
+    "rel",
+)
+def q_known_counts(t):
+    return units.known_counts(t.relations)
+
+
+@query("SELECT vid, tid, category FROM cats", "cats")
+def q_categories(t):
+    return units.categories(t.relations)
+
+
+@query("SELECT vid, s, p, o FROM triples", "triples")
+def q_relation_triples(t):
+    return units.triples(t.relations).drop("ord")
+
+
+@query(
+    """SELECT vid, row_number() OVER (PARTITION BY vid ORDER BY ord) - 1 AS nth, s, p, o FROM triples""",
+    "triples",
+)
+def q_relation_rows(t):
+    return units.relation_rows(t.units)
+
+
+@query(
+    """SELECT shard, (nth - 1 - (shard * ((n + 7) // 8)) % n + n) % n AS place, vid FROM (
+  SELECT vid, row_number() OVER (ORDER BY CAST(vid AS VARCHAR)) AS nth, count(*) OVER () AS n FROM units),
+  (SELECT unnest(range(8)) AS shard)""",
+    "units",
+)
+def q_shard_order(t):
+    return units.shard_order(t.units, 8)
+
+
+@query(
+    """SELECT nth, w.vid, u.vid IS NOT NULL AS known FROM (
+  SELECT nth, (nth * 7919) % 1500 + 1 AS vid FROM (SELECT unnest(range(200)) AS nth)) w LEFT JOIN units u USING (vid)""",
+    "units",
+)
+def q_selected_units(t):
+    wanted = t.raw.sparkSession.range(200).select(F.col("id").alias("nth"), (F.col("id") * 7919 % 1500 + 1).alias("vid"))
+    return units.selected(t.units, wanted)
+
+
+@query(
+    """SELECT vid, (9000 + n_frames * 2 * (24 + 6 * n_tids)) * 18 AS milliseconds,
+n_frames > 1500 OR n_frames * n_tids > 2500 AS offload FROM units""",
+    "units",
+)
+def q_unit_cost(t):
+    return units.unit_cost(t.units, 2)
+
+
+@query("SELECT * FROM tids WHERE (vid, tid) NOT IN (SELECT (vid, tid) FROM all_boxes)", "tids", "all_boxes")
+def q_unboxed(t):
+    return planning.unboxed(t.plan.tids, units.first_boxes(t.raw))
+
+
+@query("SELECT * FROM spans", "spans")
+def q_spans(t):
+    return t.plan.spans
+
+
+@query("SELECT vid, fid, tid FROM kf", "kf")
+def q_keyframes(t):
+    return t.plan.keyframes.select("vid", "fid", "tid")
+
+
+@query("SELECT vid, fid, tid, max_iou FROM measured", "measured")
+def q_max_iou(t):
+    return t.plan.measured.select("vid", "fid", "tid", "max_iou")
+
+
+@query("SELECT * FROM refs", "refs")
+def q_reference_anchor(t):
+    return t.plan.references
+
+
+@query("SELECT * FROM anchors", "anchors")
+def q_thinned_anchors(t):
+    return t.plan.anchors
+
+
+@query("SELECT * FROM noanchor", "noanchor")
+def q_plan_refusals(t):
+    return t.refused
+
+
+@query("SELECT vid, min(lo) AS lo, max(hi) AS hi, max(hi) - min(lo) + 1 AS n_frames FROM spans GROUP BY vid", "spans")
+def q_prop_span(t):
+    return planning.prop_spans(t.plan.spans)
+
+
+@query("SELECT vid, fid, tid, generated FROM inspan", "inspan")
+def q_in_span_frames(t):
+    return t.plan.records.select("vid", "fid", "tid", "generated")
+
+
+def _fills_sql(any_box: bool) -> str:
+    """Gap by gap, level by level: the fill of each open gap and the two gaps on its sides."""
+    pool = "inspan" if any_box else "kf"
+    return f"""start AS (
+  SELECT vid, tid, a, b, wa, wb FROM (
+    SELECT vid, tid, fid AS a, lead(fid) OVER (PARTITION BY vid, tid ORDER BY fid) AS b, false AS wa, false AS wb
+    FROM anchors) WHERE b IS NOT NULL
+  UNION ALL SELECT vid, tid, lo, min(fid), true, false FROM anchors JOIN spans USING (vid, tid) GROUP BY vid, tid, lo
+  UNION ALL SELECT vid, tid, max(fid), hi, false, true FROM anchors JOIN spans USING (vid, tid) GROUP BY vid, tid, hi),
+g AS (
+  SELECT s.vid, s.tid, a, b, wa, wb, arg_min(c.fid, c.generated * 1000000 + abs(2 * c.fid - a - b) * 1000 + c.fid) AS f,
+         min(c.generated) AS gen
+  FROM start s JOIN {pool} c ON c.vid = s.vid AND c.tid = s.tid AND (c.fid > a OR (wa AND c.fid = a))
+       AND (c.fid < b OR (wb AND c.fid = b)) WHERE b - a > 8 GROUP BY s.vid, s.tid, a, b, wa, wb
+  UNION ALL
+  SELECT s.vid, s.tid, a, b, wa, wb, arg_min(c.fid, c.generated * 1000000 + abs(2 * c.fid - a - b) * 1000 + c.fid), min(c.generated)
+  FROM (SELECT vid, tid, a, f AS b, wa, false AS wb FROM g UNION ALL SELECT vid, tid, f, b, false, wb FROM g) s
+  JOIN {pool} c ON c.vid = s.vid AND c.tid = s.tid AND (c.fid > a OR (wa AND c.fid = a))
+       AND (c.fid < b OR (wb AND c.fid = b)) WHERE b - a > 8 GROUP BY s.vid, s.tid, a, b, wa, wb)"""
+
+
+FILLS = """SELECT vid, tid, f AS fid, CASE WHEN gen = 0 THEN 'human' ELSE 'tracker' END AS source,
+CAST(0 AS BIGINT) AS n_flags, a AS gap_lo, b AS gap_hi FROM g"""
+
+
+@query(FILLS, "anchors", "spans", "kf", recursive=_fills_sql(False))
+def q_gap_fills(t):
+    return coverage.human_gap(t.plan)
+
+
+@query(FILLS, "anchors", "spans", "inspan", recursive=_fills_sql(True))
+def q_gap_fills_any(t):
+    return coverage.human_gap(t.plan, any_box=True)
+
+
+@query("SELECT * FROM cont", "cont")
+def q_contained_pairs(t):
+    return prompts.contained_pairs(t.plan.boxes)
+
+
+@query(
+    """SELECT a.vid, a.fid, a.tid, "inner", (xmin + xmax) / 2.0 / 64 AS x, (ymin + ymax) / 2.0 / 48 AS y
+FROM anchors a JOIN cont c ON a.vid = c.vid AND a.fid = c.fid AND a.tid = c."outer"
+JOIN boxes b ON b.vid = a.vid AND b.fid = a.fid AND b.tid = "inner" """,
+    "anchors",
+    "cont",
+)
+def q_negative_clicks(t):
+    return prompts.negative_clicks(t.plan.anchors, prompts.contained_pairs(t.plan.boxes), t.plan.boxes, S)
+
+
+CO_SQL = """able AS (SELECT * FROM cont WHERE (vid, "outer") IN (SELECT (vid, tid) FROM anchors)),
+ok AS (SELECT vid, fid, tid FROM anchors
+  UNION SELECT a.vid, a.fid, a."outer" FROM able a JOIN ok ON a.vid = ok.vid AND a.fid = ok.fid AND a."inner" = ok.tid
+        WHERE a."inner" < a."outer"),
+co AS (SELECT DISTINCT b.vid, b.fid, b.tid, b.generated FROM able a
+  JOIN ok ON a.vid = ok.vid AND a.fid = ok.fid AND a."inner" = ok.tid
+  JOIN boxes b ON b.vid = a.vid AND b.fid = a.fid AND b.tid = a."outer"
+  WHERE (a.vid, a.fid, a."outer") NOT IN (SELECT (vid, fid, tid) FROM anchors))"""
+
+
+@query("SELECT * FROM co", "anchors", "cont", recursive=CO_SQL)
+def q_co_prompts(t):
+    return prompts.co_prompts(t.plan.anchors, prompts.contained_pairs(t.plan.boxes), t.plan.boxes)
+
+
+@query(
+    """SELECT vid, row_number() OVER (PARTITION BY vid ORDER BY CASE WHEN is_ref THEN -1 ELSE fid END, tid) AS seq, tid, fid,
+is_ref, 2 + (SELECT count(*) FROM cont c WHERE c.vid = e.vid AND c.fid = e.fid AND c."outer" = e.tid) AS n_points
+FROM (SELECT vid, fid, tid, is_ref FROM anchors UNION ALL SELECT vid, fid, tid, false FROM co) e""",
+    "anchors",
+    "cont",
+    recursive=CO_SQL,
+)
+def q_prompt_schedule(t):
+    pairs = prompts.contained_pairs(t.plan.boxes)
+    anchors = t.plan.anchors
+    co = prompts.co_prompts(anchors, pairs, t.plan.boxes)
+    prompted = anchors.select("vid", "fid", "tid").unionByName(co.select("vid", "fid", "tid"))
+    return prompts.schedule(anchors, co, prompts.negative_clicks(prompted, pairs, t.plan.boxes, S))
+
+
+@query(
+    """SELECT vid, tid, row_number() OVER (PARTITION BY vid, tid ORDER BY is_ref DESC, fid) AS seq, fid,
+xmin / 64.0 AS x0, ymin / 48.0 AS y0, xmax / 64.0 AS x1, ymax / 48.0 AS y1 FROM anchors JOIN boxes USING (vid, fid, tid)""",
+    "anchors",
+    "boxes",
+)
+def q_prompts(t):
+    rows = prompts.prompts(t.plan.anchors, t.plan.boxes, S)
+    return rows.select("vid", "tid", "seq", "fid", *(F.col("box")[i].alias(n) for i, n in enumerate(("x0", "y0", "x1", "y1"))))
+
+
+def _blurred(t):
+    return t.plan.keyframes.withColumn("blur", F.col("blur").cast("double"))
+
+
+@query("SELECT vid, tid, fid, edge, array_to_string(flags, ',') AS flags, len(flags) AS n_flags FROM flags", "flags")
+def q_gate_flags(t):
+    rows = gate.metrics(_blurred(t), t.plan.boxes, S)
+    return rows.select("vid", "tid", "fid", "edge", F.concat_ws(",", "flags").alias("flags"), "n_flags")
+
+
+@query(None)
+def q_hq_anchors(t):
+    return gate.gated(t.plan, _blurred(t))[1]
+
+
+@query(None)
+def q_gate_summary(t):
+    return gate.summary(*gate.gated(t.plan, _blurred(t)))
+
+
+@query("SELECT vid, fid, tid, fa, ba, shared FROM areas", "areas")
+def q_mask_iou(t):
+    return t.readings.select("vid", "fid", "tid", "fa", "ba", "shared")
+
+
+@query("SELECT vid, fid, tid, reading FROM readings", "readings")
+def q_readings(t):
+    return t.readings.select("vid", "fid", "tid", "reading")
+
+
+@query("SELECT vid, fid, tid, pick FROM settled WHERE reading = 'dispute'", "settled")
+def q_tiebreaks(t):
+    return t.settled.where("reading = 'dispute'").select("vid", "fid", "tid", "pick")
+
+
+@query(
+    """SELECT x.vid, x.fid, x.tid AS a, y.tid AS b, (least(x.f[3], y.f[3]) - greatest(x.f[1], y.f[1]) + 1)
+* (least(x.f[4], y.f[4]) - greatest(x.f[2], y.f[2]) + 1) AS shared
+FROM areas x JOIN areas y ON x.vid = y.vid AND x.fid = y.fid AND x.tid < y.tid
+WHERE x.f IS NOT NULL AND y.f IS NOT NULL AND least(x.f[3], y.f[3]) >= greatest(x.f[1], y.f[1]) AND least(x.f[4], y.f[4]) >= greatest(x.f[2], y.f[2])""",
+    "areas",
+)
+def q_pair_overlap(t):
+    return combine.pair_overlaps(t.paired.select("vid", "fid", "tid", F.col("fwd").alias("mask")))
+
+
+DECIDED = "vid, fid, tid, reading, pick, decision, reason, area, removed_px, fallback"
+
+
+@query(f"SELECT {DECIDED} FROM decided", "decided")
+def q_decisions(t):
+    return t.decided.select(*DECIDED.split(", "))
+
+
+@query(None)
+def q_handovers(t):
+    return t.decided.where("handed_to IS NOT NULL").select("vid", "fid", "tid", "decision", "removed_px", "handed_to")
+
+
+@query(
+    """SELECT name, count(*) AS n FROM (
+  SELECT reading AS name FROM decided UNION ALL SELECT 'decision:' || decision FROM decided
+  UNION ALL SELECT 'tiebreak:' || decision FROM decided WHERE pick IS NOT NULL
+  UNION ALL SELECT reason FROM decided WHERE reason IS NOT NULL) GROUP BY name""",
+    "decided",
+)
+def q_merge_counters(t):
+    return combine.counters(t.decided)
+
+
+RECORD = "vid, tid, fid, reason, source, area, confidence, generated, tracker"
+
+
+@query(f"SELECT {RECORD} FROM records", "records")
+def q_records(t):
+    return t.records.select(*RECORD.split(", "))
+
+
+@query("SELECT reason, count(*) AS n FROM records WHERE reason IS NOT NULL GROUP BY reason", "records")
+def q_refusals_by_reason(t):
+    return records.by_reason(t.records)
+
+
+@query(
+    """SELECT i.vid, i.tid, i.fid, CASE WHEN n.reason IS NOT NULL THEN n.reason
+  WHEN (i.vid, i.fid) NOT IN (SELECT (vid, fid) FROM seen) THEN 'not_tracked' WHEN m.f IS NULL THEN 'empty_mask' END AS reason
+FROM inspan i LEFT JOIN noanchor n USING (vid, tid) LEFT JOIN (SELECT * FROM mask WHERE fid % 11 <> 3) m USING (vid, fid, tid)""",
+    "inspan",
+    "noanchor",
+    "mask",
+    recursive="seen AS (SELECT DISTINCT vid, fid FROM mask JOIN boxes USING (vid, fid, tid) WHERE f IS NOT NULL AND fid % 11 <> 3)",
+)
+def q_records_forward(t):
+    masks = proxy.mask_passes(t.plan.boxes, S).where("fwd IS NOT NULL AND fid % 11 <> 3")
+    return records.single_pass_records(t.plan.records, t.refused, masks.withColumnRenamed("fwd", "mask"))
+
+
+@query("SELECT * FROM clips", "clips")
+def q_clip_reasons(t):
+    return t.clips
+
+
+@query("SELECT * FROM status", "status")
+def q_unit_status(t):
+    return t.status
+
+
+@query("SELECT * FROM ledger", "ledger")
+def q_ledger(t):
+    return t.ledger
+
+
+@query(
+    """SELECT status, count(*) AS clips, CAST(coalesce(sum(masks), 0) AS BIGINT) AS masks,
+CAST(coalesce(sum(refusals), 0) AS BIGINT) AS refusals, count(*) FILTER (attempts > 0) AS retried FROM ledger GROUP BY status""",
+    "ledger",
+)
+def q_campaign_status(t):
+    return records.campaign_status(t.ledger)
+
+
+@query(
+    """SELECT vid, clip_reason FROM ledger WHERE status = 'done'
+AND clip_reason IN ('decode_black', 'frame_count_mismatch', 'frame_size_mismatch')""",
+    "ledger",
+)
+def q_to_transcode(t):
+    return records.to_transcode(t.ledger)
+
+
+@query("SELECT vid, tid, fid FROM inspan EXCEPT SELECT vid, tid, fid FROM written", "inspan", "written")
+def q_integrity_missing(t):
+    return audit.missing(t.plan.records.select("vid", "tid", "fid"), t.written)
+
+
+@query(
+    "SELECT vid, tid, fid FROM written WHERE (vid, tid, fid) NOT IN (SELECT (vid, tid, fid) FROM inspan)", "inspan", "written"
+)
+def q_integrity_extra(t):
+    return audit.extra(t.plan.records.select("vid", "tid", "fid"), t.written)
+
+
+@query("SELECT vid, tid, fid, count(*) AS n FROM written GROUP BY vid, tid, fid HAVING count(*) > 1", "written")
+def q_integrity_dups(t):
+    return audit.repeated(t.written)
+
+
+def _flat(t):
+    """Flat records, each broken in one way that its numbers choose."""
+    k = F.expr("(vid * 31 + tid * 7 + fid) % 29")
+    broken = lambda n, bad, good: F.when(k == n, bad).otherwise(good)
+    mask = F.col("reason").isNull()
+    null = F.lit(None)
+    return t.records.select(
+        F.col("vid").cast("string").alias("vid"),
+        broken(0, F.lit(-1).cast("long"), F.col("tid")).alias("tid"),
+        "fid",
+        broken(1, F.lit(""), F.lit("tracker")).alias("model"),
+        broken(2, F.lit("xyz"), F.sha2(F.lit("x"), 256)).alias("checkpoint_hash"),
+        broken(3, null, F.lit("c0ffee")).alias("code_commit"),
+        F.lit("2020-01-01T00:00:00Z").alias("created_at"),
+        broken(4, null, F.col("tracker")).alias("tracker"),
+        broken(5, F.lit("text"), F.lit("pvs_box_multianchor")).alias("prompt_mode"),
+        broken(6, F.lit("none"), F.lit("human_gap")).alias("policy"),
+        F.lit(3).alias("n_anchors"),
+        broken(7, F.lit(False), F.lit(True)).alias("has_gap"),
+        broken(8, F.lit("sideways"), F.lit("bidirectional")).alias("direction"),
+        broken(9, F.lit(False), F.lit(True)).alias("has_merge"),
+        broken(10, F.lit(2).cast("long"), F.col("generated")).alias("generated"),
+        broken(11, F.lit("train+val"), F.lit("train")).alias("split"),
+        broken(12, F.lit("other"), F.col("reason")).alias("reason"),
+        broken(13, F.lit(0), F.lit(S.height)).alias("rle_h"),
+        F.lit(S.width).alias("rle_w"),
+        F.when(mask, broken(14, F.lit(""), F.lit("counts"))).alias("counts"),
+        F.when(mask, broken(15, F.lit(1.5), F.col("confidence"))).otherwise(broken(16, F.lit(0.5), null)).alias("confidence"),
+    )
+
+
+@query(
+    """SELECT * FROM (SELECT CAST(vid AS VARCHAR) AS vid, CASE WHEN k = 0 THEN -1 ELSE tid END AS tid, fid, CASE k
+    WHEN 0 THEN 'tid is not a number from 0' WHEN 1 THEN 'model is empty' WHEN 2 THEN 'checkpoint_hash is no sha256'
+    WHEN 3 THEN 'code_commit is empty' WHEN 4 THEN 'tracker is empty' WHEN 5 THEN 'prompt_mode is unknown'
+    WHEN 6 THEN 'policy is unknown' WHEN 7 THEN 'gap is missing' WHEN 8 THEN 'direction is unknown'
+    WHEN 9 THEN 'merge is missing' WHEN 10 THEN 'generated is not 0 or 1' WHEN 11 THEN 'split is unknown'
+    WHEN 12 THEN CASE WHEN reason IS NULL THEN 'a mask has a reason' ELSE 'reason is unknown' END
+    WHEN 13 THEN CASE WHEN reason IS NULL THEN 'mask is malformed' END
+    WHEN 14 THEN CASE WHEN reason IS NULL THEN 'mask is malformed' END
+    WHEN 15 THEN CASE WHEN reason IS NULL THEN 'confidence is not in 0 to 1' END
+    WHEN 16 THEN CASE WHEN reason IS NOT NULL THEN 'a refusal has a confidence' END END AS violation
+  FROM (SELECT *, (vid * 31 + tid * 7 + fid) % 29 AS k FROM records)) WHERE violation IS NOT NULL""",
+    "records",
+)
+def q_record_violations(t):
+    return audit.violations(_flat(t))
+
+
+@query("SELECT * FROM tracklets", "tracklets")
+def q_tracklets(t):
+    return t.tracklets
+
+
+@query("SELECT * FROM samples", "samples")
+def q_samples(t):
+    return t.samples
+
+
+@query(
+    "SELECT disposition, count(*) AS n, count(*) FILTER (coalesce(valid, false)) AS n_valid FROM samples GROUP BY disposition",
+    "samples",
+)
+def q_dispositions(t):
+    return correspondence.dispositions(t.samples)
+
+
+@query(
+    """SELECT vid, s, p, o, "start", "end", txt[CAST("start" AS BIGINT) + 1:CAST("end" AS BIGINT)] AS "text",
+string_agg(DISTINCT 'vidor-' || tid, ',' ORDER BY 'vidor-' || tid) AS tracklets
+FROM (SELECT vid, s, p, o, txt, s AS tid, CAST(0 AS INTEGER) AS "start", CAST(length('obj' || s) AS INTEGER) AS "end" FROM captions WHERE s_named
+  UNION ALL SELECT vid, s, p, o, txt, o, CAST(length(txt) - length('obj' || o) AS INTEGER), CAST(length(txt) AS INTEGER) FROM captions
+  WHERE o_named AND s <> o)
+JOIN (SELECT vid, tid FROM tracklets) USING (vid, tid) WHERE txt IS NOT NULL GROUP BY vid, s, p, o, "start", "end", txt""",
+    "captions",
+    "tracklets",
+)
+def q_span_links(t):
+    return correspondence.span_links(units.triples(t.relations).drop("ord"), t.tracklets, t.captions)
+
+
+@query(
+    "SELECT vid, s, p, o, 'set:' || split || ':' || vid || ':' || s || '-' || p || '-' || o AS sample_id, s || '-' || p || '-' || o AS expression_id FROM triples JOIN (SELECT DISTINCT vid, split FROM rel) USING (vid)",
+    "triples",
+)
+def q_sample_ids(t):
+    rows = units.triples(t.relations).join(t.relations.select("vid", "split").distinct(), "vid")
+    return correspondence.sample_ids(rows, "set")
+
+
+@query(
+    """SELECT vid, fid, tid, colour, tid || ':' || split_part(category, '/', 1)
+  || CASE WHEN reason IS NOT NULL THEN ' (no mask)' ELSE '' END AS label, xmin, ymin, xmax, ymax
+FROM records JOIN (SELECT vid, fid, tid, xmin, ymin, xmax, ymax FROM boxes) USING (vid, fid, tid)
+JOIN (SELECT *, (row_number() OVER (PARTITION BY vid ORDER BY tid) - 1) % 8 AS colour FROM cats) USING (vid, tid)""",
+    "records",
+    "boxes",
+    "cats",
+)
+def q_overlay_labels(t):
+    return correspondence.overlay(t.records, t.plan.boxes, units.categories(t.relations))
+
+
+@query(None)
+def q_rle_counts(t):
+    """Compressed counts of the forward masks, and whether they read back as the same pixels."""
+    rows = t.paired.where("fwd IS NOT NULL").withColumn("counts", rle.counts_text("fwd", F.lit(S.width * S.height)))
+    back = rle.area(rle.counts_intervals("counts"))
+    return rows.select("vid", "fid", "tid", "counts", (back == rle.area(F.col("fwd"))).alias("same"))
+
+
+@query(
+    """SELECT vid, fid, tid, CASE WHEN f IS NOT NULL THEN greatest(0, least(f[3], xmax) - greatest(f[1], xmin) + 1)
+  * greatest(0, least(f[4], ymax) - greatest(f[2], ymin) + 1) END AS inside_px, fa AS area
+FROM areas JOIN (SELECT vid, fid, tid, xmin, ymin, xmax, ymax FROM boxes) USING (vid, fid, tid)""",
+    "areas",
+    "boxes",
+)
+def q_inside_px(t):
+    box = proxy._columns_of(*(F.col(c) for c in geometry.SIDES), S.height)
+    sides = t.plan.boxes.select("vid", "fid", "tid", box.alias("box"))
+    rows = t.readings.join(sides, ["vid", "fid", "tid"])
+    inside = F.when(F.col("fwd").isNotNull(), rle.overlap(F.col("fwd"), F.col("box")))
+    return rows.select("vid", "fid", "tid", inside.alias("inside_px"), F.col("fa").alias("area"))
