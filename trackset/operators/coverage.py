@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FILLS = "vid long, tid long, fid long, source string, n_flags long, gap_lo long, gap_hi long"
+FILLS = ("tid long", "fid long", "source string", "n_flags long", "gap_lo long", "gap_hi long")
 
 
 def fill_object(lo: int, hi: int, kept: list[int], boxed: dict[int, int | None], max_gap: int, any_box: bool) -> list[tuple]:
@@ -59,12 +59,13 @@ def gap_fills(keyframes: DataFrame, records: DataFrame, max_gap: int, any_box: b
                 boxed = {x["fid"]: x["n_flags"] for x in r["boxed"]}
                 found = fill_object(r["lo"], r["hi"], r["kept"], boxed, max_gap, any_box)
                 out += [(r["vid"], r["tid"], *x) for x in found]
-            names = [x.split()[0] for x in FILLS.split(", ")]
+            names = ["vid", *(x.split()[0] for x in FILLS)]
             cols = list(zip(*out)) or [()] * len(names)
-            kinds = [pa.string() if n == "source" else pa.int64() for n in names]
+            kinds = [batch.schema.field("vid").type, *(pa.string() if "string" in x else pa.int64() for x in FILLS)]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
 
-    return boxes.mapInArrow(run, FILLS)
+    kind = boxes.schema["vid"].dataType.simpleString()
+    return boxes.mapInArrow(run, ", ".join((f"vid {kind}", *FILLS)))
 
 
 def human_gap(plan, any_box: bool | None = None) -> DataFrame:
