@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common
 from .graph import connected_components
@@ -41,33 +42,38 @@ _LEAST = 48
 _SEED = 20240607
 
 
-def vectors(table: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
-    """vec_id, label, digest and unit (packed doubles of length 1); digest is null for what links with nothing."""
+def units(packed: list[bytes], kind: str) -> np.ndarray:
+    """Packed vectors as rows of length 1, in double precision."""
+    x = np.frombuffer(b"".join(packed), kind).reshape(len(packed), -1).astype("f8")
+    x /= np.abs(x).max(axis=1, keepdims=True)
+    return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
+
+
+def vectors(table: DataFrame, id_col: str, vector_col: str, label_col: str, kind: str) -> DataFrame:
+    """vec_id, label, digest and packed (components as `kind`); both are null for what links with nothing."""
 
     def run(batches):
         for batch in batches:
-            digests, units = [], []
+            digests, packed = [], []
             for cell in batch.column(2):
-                digest = unit = None
+                digest = raw = None
                 values = cell.values if cell.is_valid else None
                 if values is not None and len(values) and not values.null_count:
-                    x = np.asarray(values, "f8")
-                    top = np.abs(x).max()
-                    if np.isfinite(top) and top > 0:
-                        x = x / top
-                        unit = (x / np.sqrt(x @ x)).tobytes()
-                        digest = hashlib.blake2b(np.asarray(values, "f8").tobytes(), digest_size=16).digest()
+                    x = np.asarray(values, kind)
+                    if np.isfinite(x).all() and x.any():
+                        raw = x.tobytes()
+                        digest = hashlib.blake2b(raw, digest_size=16).digest()
                 digests.append(digest)
-                units.append(unit)
+                packed.append(raw)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(digests, pa.binary()), pa.array(units, pa.binary())],
-                ["vec_id", "label", "digest", "unit"],
+                [batch.column(0), batch.column(1), pa.array(digests, pa.binary()), pa.array(packed, pa.binary())],
+                ["vec_id", "label", "digest", "packed"],
             )
 
     rows = table.select(
         F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("string").alias("label"), vector_col
     )
-    return rows.mapInArrow(run, "vec_id long, label string, digest binary, unit binary")
+    return rows.mapInArrow(run, "vec_id long, label string, digest binary, packed binary")
 
 
 class Forest:
@@ -124,26 +130,25 @@ class Forest:
         return np.split(number, np.searchsorted(row, np.arange(1, len(x))))
 
 
-def routed(points: DataFrame, forest: Forest) -> DataFrame:
-    """node, label, m, unit, leaves of every point."""
+def routed(points: DataFrame, forest: Forest, kind: str) -> DataFrame:
+    """node, label, m, packed, leaves of every point."""
     shared = points.sparkSession.sparkContext.broadcast(forest)  # directions and at most 2^12 thresholds a tree
 
     def run(batches):
         for batch in batches:
-            units = batch.column(3).to_pylist()
-            leaves: list = [None] * len(units)
-            sizes = np.array([len(u) for u in units])
+            packed = batch.column(3).to_pylist()
+            leaves: list = [None] * len(packed)
+            sizes = np.array([len(u) for u in packed])
             for size in np.unique(sizes):
                 at = np.flatnonzero(sizes == size)
-                x = np.frombuffer(b"".join(units[i] for i in at), "f8").reshape(len(at), -1)
-                for i, found in zip(at, shared.value.leaves(x)):
+                for i, found in zip(at, shared.value.leaves(units([packed[i] for i in at], kind))):
                     leaves[i] = found
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(leaves, pa.list_(pa.int64()))], ["node", "label", "m", "unit", "leaves"]
+                [*batch.columns, pa.array(leaves, pa.list_(pa.int64()))], ["node", "label", "m", "packed", "leaves"]
             )
 
-    return points.select("node", "label", "m", "unit").mapInArrow(
-        run, "node long, label string, m long, unit binary, leaves array<long>"
+    return points.select("node", "label", "m", "packed").mapInArrow(
+        run, "node long, label string, m long, packed binary, leaves array<long>"
     )
 
 
@@ -160,13 +165,13 @@ def _local_roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         root = low
 
 
-def compare(group: pa.Table) -> pa.Table:
+def compare(group: pa.Table, kind: str) -> pa.Table:
     """Compare one group: all pairs if it has one block, else the pairs between its two blocks."""
     order = np.argsort(np.asarray(group["node"]), kind="stable")
     node, m, block = (np.asarray(group[c])[order] for c in ("node", "m", "block"))
-    leaf, units = group["leaf"][0].as_py(), group["unit"].to_pylist()
+    leaf, packed = group["leaf"][0].as_py(), group["packed"].to_pylist()
     pair = group["low"][0].as_py(), group["high"][0].as_py()
-    x = np.frombuffer(b"".join(units[i] for i in order), "f8").reshape(len(order), -1)
+    x = units([packed[i] for i in order], kind)
     close = x @ x.T >= COSINE
     np.fill_diagonal(close, False)
     if pair[0] != pair[1]:
@@ -187,9 +192,9 @@ def compare(group: pa.Table) -> pa.Table:
     return pa.table({"node": node, "n": (close @ m.astype("f8")).astype("i8"), "root": node[root]})
 
 
-def links(points: DataFrame, forest: Forest) -> DataFrame:
+def links(points: DataFrame, forest: Forest, kind: str) -> DataFrame:
     """node, n (links to other points, each with its number), root: one row for each point and group."""
-    rows = routed(points, forest).withColumn("leaf", F.explode("leaves"))
+    rows = routed(points, forest, kind).withColumn("leaf", F.explode("leaves"))
     crowded = rows.groupBy("label", "leaf").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > BLOCK_ROWS)
     crowded = common.materialise(crowded, "crowded-leaves")
     blocks = F.coalesce(F.ceil(F.col("size") / BLOCK_ROWS), F.lit(1)).cast("int")
@@ -197,12 +202,12 @@ def links(points: DataFrame, forest: Forest) -> DataFrame:
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-    rows = rows.withColumn("bytes", F.octet_length("unit"))
+    rows = rows.withColumn("bytes", F.octet_length("packed"))
     keys = ["label", "leaf", "bytes", "low", "high"]
     return (
-        rows.select(*keys, "node", "m", "block", "unit", "leaves")
+        rows.select(*keys, "node", "m", "block", "packed", "leaves")
         .groupBy(*keys)
-        .applyInArrow(compare, "node long, n long, root long")
+        .applyInArrow(lambda group: compare(group, kind), "node long, n long, root long")
     )
 
 
@@ -210,19 +215,22 @@ def near_duplicates(
     table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label"
 ) -> DataFrame:
     """vec_id, n_links, component_id of every row."""
-    rows = common.materialise(vectors(table, id_col, vector_col, label_col), "vectors")
+    # components travel as they come; all arithmetic is in double precision
+    kind = "<f4" if isinstance(table.schema[vector_col].dataType.elementType, T.FloatType) else "<f8"
+    rows = common.materialise(vectors(table, id_col, vector_col, label_col, kind), "vectors")
     valid = rows.where("vec_id IS NOT NULL AND label IS NOT NULL AND digest IS NOT NULL")
     points = valid.groupBy("label", "digest").agg(
-        F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("m"), F.first("unit").alias("unit")
+        F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("m"), F.first("packed").alias("packed")
     )
     # different vectors with one id share a node, and so their links
     points = common.materialise(points, "points")
     largest = points.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     depth = min(40, max(0, math.ceil(math.log2(max(1, largest) / LEAF_ROWS))))
-    drawn = points.select("unit").orderBy(F.xxhash64("node", "label")).limit(SAMPLE).collect()
-    size = max((len(r[0]) for r in drawn), default=8, key=[len(r[0]) for r in drawn].count)
-    sample = np.frombuffer(b"".join(r[0] for r in drawn if len(r[0]) == size), "f8").reshape(-1, size // 8)
-    found = common.materialise(links(points, Forest(depth, sample)), "leaf-links")
+    drawn = [r[0] for r in points.select("packed").orderBy(F.xxhash64("node", "label")).limit(SAMPLE).collect()]
+    size = max(map(len, drawn), default=0, key=[len(r) for r in drawn].count)
+    drawn = [r for r in drawn if len(r) == size]
+    sample = units(drawn, kind) if drawn else np.empty((0, 1))
+    found = common.materialise(links(points, Forest(depth, sample), kind), "leaf-links")
     counts = found.groupBy("node").agg(F.sum("n").alias("n"))
     roots = connected_components(found.where("node <> root").select("node", "root"), "node", "root")
     named = points.select("label", "digest", F.col("node"), "m").join(counts, "node", "left").join(roots, "node", "left")
