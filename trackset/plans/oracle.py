@@ -118,6 +118,19 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
           WINDOW o AS (PARTITION BY vid, tid ORDER BY fid))) USING (vid, tid, fid)
         WINDOW w AS (PARTITION BY vid, tid))""",
     ),
+    "gated": (
+        ("flags",),
+        """SELECT vid, tid, fid, flags, nf, candidate AND fid = ref AS is_ref,
+    candidate AND (n <= 8 OR fid = ref
+      OR nth IN (SELECT unnest([CAST(round_even(i * ((n - 1) / 7.0), 0) AS BIGINT) FOR i IN range(8)])))
+    OR fid = low OR fid = high AS held
+  FROM (SELECT *, min(fid) OVER o AS low, max(fid) OVER o AS high, count(*) FILTER (candidate) OVER o AS n,
+               count(*) FILTER (candidate) OVER (PARTITION BY vid, tid ORDER BY fid) - 1 AS nth,
+               first_value(fid) OVER (PARTITION BY vid, tid ORDER BY NOT candidate, max_iou, fid) AS ref
+        FROM (SELECT *, len(flags) AS nf, len(flags) = min(len(flags)) OVER (PARTITION BY vid, tid) AS candidate FROM flags)
+        WINDOW o AS (PARTITION BY vid, tid))""",
+    ),
+    "gatedheld": (("gated",), "SELECT vid, tid, fid, is_ref FROM gated WHERE held"),
     "mask": (
         ("all_boxes",),
         """SELECT vid, fid, tid,

@@ -254,37 +254,34 @@ def q_in_span_frames(t):
     return t.plan.records.select("vid", "fid", "tid", "generated")
 
 
-def _fills_sql(any_box: bool) -> str:
+def _fills_sql(anchors: str, pool: str, rank: str) -> str:
     """Gap by gap, level by level: the fill of each open gap and the two gaps on its sides."""
-    pool = "inspan" if any_box else "kf"
+    pick = f"arg_min(c.fid, {rank} * 1000000 + abs(2 * c.fid - a - b) * 1000 + c.fid) AS f, min({rank}) AS gen"
+    inside = "c.vid = s.vid AND c.tid = s.tid AND (c.fid > a OR (wa AND c.fid = a)) AND (c.fid < b OR (wb AND c.fid = b))"
+    level = f"JOIN {pool} c ON {inside} WHERE b - a > 8 GROUP BY s.vid, s.tid, a, b, wa, wb"
     return f"""start AS (
   SELECT vid, tid, a, b, wa, wb FROM (
     SELECT vid, tid, fid AS a, lead(fid) OVER (PARTITION BY vid, tid ORDER BY fid) AS b, false AS wa, false AS wb
-    FROM anchors) WHERE b IS NOT NULL
-  UNION ALL SELECT vid, tid, lo, min(fid), true, false FROM anchors JOIN spans USING (vid, tid) GROUP BY vid, tid, lo
-  UNION ALL SELECT vid, tid, max(fid), hi, false, true FROM anchors JOIN spans USING (vid, tid) GROUP BY vid, tid, hi),
+    FROM {anchors}) WHERE b IS NOT NULL
+  UNION ALL SELECT vid, tid, lo, min(fid), true, false FROM {anchors} JOIN spans USING (vid, tid) GROUP BY vid, tid, lo
+  UNION ALL SELECT vid, tid, max(fid), hi, false, true FROM {anchors} JOIN spans USING (vid, tid) GROUP BY vid, tid, hi),
 g AS (
-  SELECT s.vid, s.tid, a, b, wa, wb, arg_min(c.fid, c.generated * 1000000 + abs(2 * c.fid - a - b) * 1000 + c.fid) AS f,
-         min(c.generated) AS gen
-  FROM start s JOIN {pool} c ON c.vid = s.vid AND c.tid = s.tid AND (c.fid > a OR (wa AND c.fid = a))
-       AND (c.fid < b OR (wb AND c.fid = b)) WHERE b - a > 8 GROUP BY s.vid, s.tid, a, b, wa, wb
+  SELECT s.vid, s.tid, a, b, wa, wb, {pick} FROM start s {level}
   UNION ALL
-  SELECT s.vid, s.tid, a, b, wa, wb, arg_min(c.fid, c.generated * 1000000 + abs(2 * c.fid - a - b) * 1000 + c.fid), min(c.generated)
-  FROM (SELECT vid, tid, a, f AS b, wa, false AS wb FROM g UNION ALL SELECT vid, tid, f, b, false, wb FROM g) s
-  JOIN {pool} c ON c.vid = s.vid AND c.tid = s.tid AND (c.fid > a OR (wa AND c.fid = a))
-       AND (c.fid < b OR (wb AND c.fid = b)) WHERE b - a > 8 GROUP BY s.vid, s.tid, a, b, wa, wb)"""
+  SELECT s.vid, s.tid, a, b, wa, wb, {pick}
+  FROM (SELECT vid, tid, a, f AS b, wa, false AS wb FROM g UNION ALL SELECT vid, tid, f, b, false, wb FROM g) s {level})"""
 
 
 FILLS = """SELECT vid, tid, f AS fid, CASE WHEN gen = 0 THEN 'human' ELSE 'tracker' END AS source,
 CAST(0 AS BIGINT) AS n_flags, a AS gap_lo, b AS gap_hi FROM g"""
 
 
-@query(FILLS, "anchors", "spans", "kf", recursive=_fills_sql(False))
+@query(FILLS, "anchors", "spans", "kf", recursive=_fills_sql("anchors", "kf", "c.generated"))
 def q_gap_fills(t):
     return coverage.human_gap(t.plan)
 
 
-@query(FILLS, "anchors", "spans", "inspan", recursive=_fills_sql(True))
+@query(FILLS, "anchors", "spans", "inspan", recursive=_fills_sql("anchors", "inspan", "c.generated"))
 def q_gap_fills_any(t):
     return coverage.human_gap(t.plan, any_box=True)
 
@@ -357,12 +354,32 @@ def q_gate_flags(t):
     return rows.select("vid", "tid", "fid", "edge", F.concat_ws(",", "flags").alias("flags"), "n_flags")
 
 
-@query(None)
+GATED_FILLS = _fills_sql("gatedheld", "gated", "c.nf")
+
+
+@query(
+    "SELECT * FROM gatedheld UNION ALL SELECT vid, tid, f AS fid, false AS is_ref FROM g",
+    "gatedheld",
+    "spans",
+    recursive=GATED_FILLS,
+)
 def q_hq_anchors(t):
     return gate.gated(t.plan, _blurred(t))[1]
 
 
-@query(None)
+@query(
+    """SELECT vid, tid, n_candidates, n_clean, n_kept, coalesce(dropped, '') AS dropped FROM (
+  SELECT vid, tid, count(*) AS n_candidates, count(*) FILTER (nf = 0) AS n_clean FROM gated GROUP BY vid, tid)
+JOIN (SELECT vid, tid, count(*) AS n_kept FROM final GROUP BY vid, tid) USING (vid, tid)
+LEFT JOIN (SELECT vid, tid, string_agg(reason || ':' || n, ',' ORDER BY reason || ':' || n) AS dropped FROM (
+    SELECT vid, tid, reason, count(*) AS n FROM (
+      SELECT vid, tid, unnest(CASE WHEN nf = 0 THEN ['thinned'] ELSE flags END) AS reason FROM gated
+      WHERE (vid, tid, fid) NOT IN (SELECT (vid, tid, fid) FROM final)) GROUP BY vid, tid, reason) GROUP BY vid, tid)
+  USING (vid, tid)""",
+    "gatedheld",
+    "spans",
+    recursive=GATED_FILLS + ",\nfinal AS (SELECT vid, tid, fid FROM gatedheld UNION ALL SELECT vid, tid, f FROM g)",
+)
 def q_gate_summary(t):
     return gate.summary(*gate.gated(t.plan, _blurred(t)))
 
