@@ -28,21 +28,28 @@ def tracklets(records: DataFrame, segments: DataFrame) -> DataFrame:
     """vid, tid, present, frames_with_record, mean_confidence, max_confidence, first_fid, refusals, for each object
     with a mask in its video's segment. A relation's objects share their video's segment, so this is per object."""
     rows = records.join(segments, "vid").where("fid BETWEEN seg_begin AND seg_end")
+    # by reason first (null: a mask), so that one pass over the records serves all figures; scores have two decimals,
+    # and whole hundredths make the mean the same in any order
+    by_reason = rows.groupBy("vid", "tid", "reason").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.round(F.col("confidence") * 100).cast("long")).alias("hundredths"),
+        F.count("confidence").alias("scored"),
+        F.max("confidence").alias("top"),
+        F.min("fid").alias("first"),
+    )
     mask = F.col("reason").isNull()
-    why = rows.where(~mask).groupBy("vid", "tid", "reason").agg(F.count(F.lit(1)).alias("n"))
-    text = F.concat_ws(":", "reason", F.col("n").cast("string"))
-    why = why.groupBy("vid", "tid").agg(F.concat_ws(",", F.sort_array(F.collect_list(text))).alias("refusals"))
-    conf = F.when(mask, F.col("confidence"))
-    # scores have two decimals in records; whole hundredths make the mean the same in any order
-    hundredths = F.sum(F.round(conf * 100).cast("long"))
-    base = rows.groupBy("vid", "tid").agg(
-        F.count_if(mask).alias("present"),
-        F.count(F.lit(1)).alias("n_records"),
-        (F.coalesce(hundredths / F.nullif(F.count(conf), F.lit(0)), F.lit(100.0)) / 100).alias("mean_confidence"),
-        F.coalesce(F.max(conf), F.lit(1.0)).alias("max_confidence"),
-        F.min(F.when(mask, F.col("fid"))).alias("first_fid"),
+    of_mask = lambda c: F.max(F.when(mask, F.col(c)))
+    text = F.when(~mask, F.concat_ws(":", "reason", F.col("n").cast("string")))
+    mean = of_mask("hundredths") / F.nullif(of_mask("scored"), F.lit(0))
+    out = by_reason.groupBy("vid", "tid").agg(
+        F.coalesce(of_mask("n"), F.lit(0)).alias("present"),
+        F.sum("n").alias("n_records"),
+        (F.coalesce(mean, F.lit(100.0)) / 100).alias("mean_confidence"),
+        F.coalesce(of_mask("top"), F.lit(1.0)).alias("max_confidence"),
+        of_mask("first").alias("first_fid"),
+        F.concat_ws(",", F.sort_array(F.collect_list(text))).alias("refusals"),
     )
-    return base.where("present > 0").join(why, ["vid", "tid"], "left").withColumn("refusals", F.coalesce("refusals", F.lit("")))
+    return out.where("present > 0")
 
 
 def samples(relations: DataFrame, tracklets: DataFrame, captions: DataFrame) -> DataFrame:
@@ -51,8 +58,11 @@ def samples(relations: DataFrame, tracklets: DataFrame, captions: DataFrame) ->
     `captions` has text (null: an empty caption) and the arrays s_spans and o_spans of (start, end). Without a caption a
     relation has the disposition `` and is not judged.
     """
-    has = lambda t, name: tracklets.select("vid", F.col("tid").alias(t), F.lit(True).alias(name))
-    rows = relations.join(has("s", "s_mask"), ["vid", "s"], "left").join(has("o", "o_mask"), ["vid", "o"], "left")
+    # one join for both sides of a relation
+    sides = relations.select(*RELATION, F.explode(F.array("s", "o")).alias("tid"))
+    sides = sides.join(tracklets.select("vid", "tid", F.lit(True).alias("has")), ["vid", "tid"], "left")
+    has = lambda t: F.coalesce(F.bool_or(F.col("has") & (F.col("tid") == F.col(t))), F.lit(False))
+    rows = sides.groupBy(*RELATION).agg(has("s").alias("s_mask"), has("o").alias("o_mask"))
     rows = rows.join(captions.withColumn("given", F.lit(True)), RELATION, "left")
     flag = lambda c: F.coalesce(F.col(c), F.lit(False))
     spanned = lambda c: F.coalesce(F.col("text").isNotNull() & (F.size(c) > 0), F.lit(False))

@@ -10,12 +10,11 @@ from trackset.config import Settings
 KEY = ["vid", "fid", "tid"]
 
 
-def clip_reasons(units: DataFrame, stats: DataFrame, settings: Settings) -> DataFrame:
+def clip_reasons(rows: DataFrame, settings: Settings) -> DataFrame:
     """vid, clip_reason: why a whole video is refused, cheap tests first; null if it is not.
 
-    `stats` has vid, has_video, count_ok, size_ok and black of each video.
+    `rows` are units (vid, n_tids) with has_video, count_ok, size_ok and black of their videos.
     """
-    rows = units.join(stats, "vid", "left")
     reason = (
         F.when(F.col("n_tids") > settings.max_objects, "too_many_objects")
         .when(~F.coalesce("has_video", F.lit(False)), "video_missing")
@@ -32,7 +31,8 @@ def merged_records(frames: DataFrame, refused: DataFrame, decided: DataFrame, cl
     A video's reason comes before an object's, and that before the merge's.
     """
     rows = frames.join(clips, "vid", "left").join(refused, ["vid", "tid"], "left")
-    merged = decided.select(*KEY, "decision", F.col("reason").alias("merge_reason"), "reading", "area", "confidence", "mask")
+    kept = [c for c in ("mask",) if c in decided.columns]
+    merged = decided.select(*KEY, "decision", F.col("reason").alias("merge_reason"), "reading", "area", "confidence", *kept)
     rows = rows.join(merged, KEY, "left")
     none = F.when(F.col("reading") == "both_empty", "empty_mask").otherwise("speck_mask")
     own = (
@@ -50,7 +50,7 @@ def merged_records(frames: DataFrame, refused: DataFrame, decided: DataFrame, cl
         F.when(real, F.col("decision")).alias("source"),
         F.when(real, F.col("area")).alias("area"),
         F.when(real, F.col("confidence")).alias("confidence"),
-        F.when(real, F.col("mask")).alias("mask"),
+        *(F.when(real, F.col(c)).alias(c) for c in kept),
         "generated",
         "tracker",
     )

@@ -48,19 +48,20 @@ class Tables:
 
     @property
     def decided(self) -> DataFrame:
-        return combine.decisions(self.settled, S.merge)
+        return combine.decisions(self.settled, S.merge, want_masks=False)
 
     @property
     def clips(self) -> DataFrame:
         vid = F.col("vid")
-        stats = self.units.select(
+        seen = self.units.select(
             "vid",
+            "n_tids",
             (vid % 10 != 0).alias("has_video"),
             (vid % 13 != 1).alias("count_ok"),
             (vid % 17 != 2).alias("size_ok"),
             (vid % 19 == 3).alias("black"),
         )
-        return records.clip_reasons(self.units, stats, S)
+        return records.clip_reasons(seen, S)
 
     @property
     def records(self) -> DataFrame:
@@ -81,10 +82,10 @@ class Tables:
     @property
     def written(self) -> DataFrame:
         """Records with faults: some lost, some twice, some of frames that don't exist."""
-        rows, k = self.records.select("vid", "tid", "fid"), F.expr("vid + tid + fid")
-        kept = rows.where(k % 101 != 0)
-        stray = rows.where(k % 107 == 0).withColumn("fid", F.col("fid") + 200)
-        return kept.unionByName(kept.where(k % 103 == 0)).unionByName(stray)
+        k, fid = F.expr("vid + tid + fid"), F.col("fid")
+        kept = k % 101 != 0
+        fids = F.array(F.when(kept, fid), F.when(kept & (k % 103 == 0), fid), F.when(k % 107 == 0, fid + 200))
+        return self.records.select("vid", "tid", F.explode(F.array_compact(fids)).alias("fid"))
 
     @property
     def tracklets(self) -> DataFrame:
@@ -386,7 +387,8 @@ def q_gate_summary(t):
 
 @query("SELECT vid, fid, tid, fa, ba, shared FROM areas", "areas")
 def q_mask_iou(t):
-    return t.readings.select("vid", "fid", "tid", "fa", "ba", "shared")
+    shared = rle.overlap(F.col("fwd"), F.col("bwd")).alias("shared")
+    return t.paired.select("vid", "fid", "tid", rle.area(F.col("fwd")).alias("fa"), rle.area(F.col("bwd")).alias("ba"), shared)
 
 
 @query("SELECT vid, fid, tid, reading FROM readings", "readings")

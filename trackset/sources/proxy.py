@@ -116,6 +116,6 @@ def mask_passes(boxes: DataFrame, settings: Settings = SETTINGS) -> DataFrame:
         "tid",
         fwd.alias("fwd"),
         bwd.alias("bwd"),
-        F.when(fwd.isNotNull(), F.col("fscore") / F.lit(100.0)).alias("fconf"),
-        F.when(bwd.isNotNull(), F.col("bscore") / F.lit(100.0)).alias("bconf"),
+        F.when(~h.isin(0, 4, 9), F.col("fscore") / F.lit(100.0)).alias("fconf"),
+        F.when(~h.isin(1, 4, 8), F.col("bscore") / F.lit(100.0)).alias("bconf"),
     )
