@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 #: Words are runs of bytes that are none of these (`[^\x20\x09-\x0D]+`), which is how bytes.split() splits.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 #: Rows of an Arrow batch handed to Python. Texts are large, so the batches are small.
-ARROW_ROWS = 256
+ARROW_ROWS = 128
 
 _own_scratch: str | None = None
 

@@ -28,7 +28,7 @@ def stretches(text: str) -> Iterator[str]:
 class Memo(dict):
     """chunk -> value; unknown chunks are worked out together by `many`. Holds a bounded number of chunks."""
 
-    def __init__(self, many: Callable[[list[str]], list], most: int = 400_000, longest: int = 64):
+    def __init__(self, many: Callable[[list[str]], list], most: int = 120_000, longest: int = 64):
         super().__init__()
         self.many, self.most, self.longest = many, most, longest
 
