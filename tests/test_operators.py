@@ -301,3 +301,24 @@ def test_streaming_export(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out/masks")).count() == 6 and spark.read.parquet(str(tmp_path / "out/refusals")).count() == 3
     totals = tail.progress(spark.read.parquet(str(tmp_path / "in"))).first()
     assert (totals.masks, totals.refusals) == (8, 4)
+
+
+def test_large_masks_and_overlaps(spark):
+    rng = random.Random(21)
+
+    def mask(size):
+        edges = sorted(rng.sample(range(size), 2 * rng.randint(0, 30)))
+        return list(zip(edges[::2], edges[1::2]))
+
+    rows = []
+    for size in (100, 40_000, 900_000):
+        for _ in range(15):
+            a, b = mask(size), mask(size)
+            bits = [sum(((1 << (e - s)) - 1) << s for s, e in m) for m in (a, b)]
+            assert [rle.bits_of(a), rle.bits_of(b)] == bits and rle.intervals_of_bits(bits[0]) == a
+            rows.append((a, b, (bits[0] & bits[1]).bit_count()))
+    rows += [(None, rows[0][0], 0), (rows[0][0], None, 0), ([], [], 0)]
+    kind = "array<struct<s:long,e:long>>"
+    df = spark.createDataFrame(rows, f"a {kind}, b {kind}, shared long")
+    found = df.select("shared", rle.overlap(F.col("a"), F.col("b")).alias("got")).collect()
+    assert len(found) == len(rows) and all(r.shared == r.got for r in found)

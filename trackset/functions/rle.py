@@ -68,24 +68,42 @@ def intervals_of(runs: list[int]) -> list[tuple[int, int]]:
     return [(edges[i], edges[i + 1]) for i in range(1, len(runs), 2) if runs[i]]
 
 
+#: Below so many pixels shifting small integers is faster than numpy's calls.
+_SMALL = 1 << 14
+
+
+def bits_of_edges(edges: np.ndarray) -> int:
+    """A mask as one integer with a bit for each pixel, from the starts and ends of its sorted intervals in turn."""
+    if not len(edges):
+        return 0
+    if edges[-1] < _SMALL:
+        bits, turns = 0, iter(edges.tolist())
+        for s, e in zip(turns, turns):
+            bits |= ((1 << (e - s)) - 1) << s
+        return bits
+    lengths = edges.copy()
+    lengths[1:] -= edges[:-1]
+    shown = np.zeros(len(edges), "u1")
+    shown[1::2] = 1
+    return int.from_bytes(np.packbits(np.repeat(shown, lengths), bitorder="little").tobytes(), "little")
+
+
+def edges_of_bits(bits: int) -> np.ndarray:
+    """The starts and ends of a mask's intervals in turn: where a pixel differs from the one before."""
+    changes = bits ^ (bits << 1)
+    packed = np.frombuffer(changes.to_bytes((changes.bit_length() + 7) // 8, "little"), "u1")
+    some = np.flatnonzero(packed)
+    which, bit = np.nonzero(np.unpackbits(packed[some, None], axis=1, bitorder="little"))
+    return some[which] * 8 + bit
+
+
 def bits_of(intervals) -> int:
-    """A mask as one integer with a bit for each pixel."""
-    bits = 0
-    for s, e in intervals:
-        bits |= ((1 << (e - s)) - 1) << s
-    return bits
+    return bits_of_edges(np.array(list(intervals), "i8").ravel())
 
 
 def intervals_of_bits(bits: int) -> list[tuple[int, int]]:
-    out, at = [], 0
-    while bits:
-        skip = (bits & -bits).bit_length() - 1
-        bits >>= skip
-        length = ((bits + 1) & ~bits).bit_length() - 1
-        out.append((at + skip, at + skip + length))
-        bits >>= length
-        at += skip + length
-    return out
+    edges = edges_of_bits(bits).tolist()
+    return list(zip(edges[::2], edges[1::2]))
 
 
 @F.pandas_udf(T.StringType())
@@ -123,8 +141,15 @@ def area(intervals: Column) -> Column:
 
 
 def overlap(a: Column, b: Column) -> Column:
-    """Pixels that two masks share; 0 if either is null."""
+    """Pixels that two masks share; 0 if either is null.
+
+    Both areas less that of the union, which one fold over all intervals by start finds.
+    """
     zero = F.lit(0).cast("long")
-    with_one = lambda x: lambda n, y: n + F.greatest(zero, F.least(x["e"], y["e"]) - F.greatest(x["s"], y["s"]))
-    total = F.aggregate(a, zero, lambda n, x: n + F.aggregate(b, zero, with_one(x)))
-    return F.coalesce(total, zero).cast("long")
+    begin = F.struct(zero.alias("n"), zero.alias("end"))
+    more = lambda u, x: F.struct(
+        (u["n"] + F.greatest(zero, x["e"] - F.greatest(x["s"], u["end"]))).alias("n"),
+        F.greatest(u["end"], x["e"]).alias("end"),
+    )
+    union = F.aggregate(F.sort_array(F.concat(a, b)), begin, more)["n"]
+    return F.coalesce(area(a) + area(b) - union, zero).cast("long")
