@@ -1,4 +1,4 @@
-"""The corpus pipeline: quality rules, SimHash near-dedup, substring dedup, mixing, byte-level BPE.
+"""The corpus pipeline: quality rules, near-dedup by shingles, substring dedup, mixing, byte-level BPE.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next
 stage's docs. All but the last return the columns of documents; where a stage changes texts, n_chars follows.
@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackset.llm import byte_bpe, common, line_quality, mixing, passages, queries, simhash
+from trackset.llm import byte_bpe, common, line_quality, mixing, passages, queries, similar
 
 #: XXH64 and BPE are not to be had in DuckDB; tests hold every stage against a brute-force version.
 ORACLE_SQL = None
@@ -36,8 +36,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays."""
-    return simhash.one_of_each(docs).select(*docs.columns)
+    """Of each group of texts with five-word shingles in common to 0.8 or more, the document with the smallest id stays."""
+    return similar.one_of_each(docs).select(*docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,6 +16,7 @@ result; only the named columns are read.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -33,21 +34,33 @@ THRESHOLD = 2
 _AT_ONCE = 1 << 17
 
 
-def fingerprint(text: bytes, k: int = SHINGLE_WORDS) -> int:
+def shingle_hashes(text: bytes, k: int) -> Iterator[np.ndarray]:
+    """Hashes of the text's shingles of k words, a stretch at a time; a text of fewer words is one shingle."""
     words = text.lower().split()  # bytes: A-Z only, and the same white space as WORD_PATTERN
     if not words:
-        return 0
+        return
     whole = b" ".join(words)
     ends = list(accumulate(len(w) + 1 for w in words))
     n = max(1, len(words) - k + 1)
     last = [e - 1 for e in ends[min(k, len(words)) - 1 :]]
     first = [0, *ends[: n - 1]]
-    hashed, counts = xxhash.xxh64_intdigest, np.zeros(64, "i8")
+    hashed = xxhash.xxh64_intdigest
     for i in range(0, n, _AT_ONCE):
         spans = zip(first[i : i + _AT_ONCE], last[i : i + _AT_ONCE])
-        h = np.array([hashed(whole[a:b], SEED) for a, b in spans], "<u8")
+        yield np.array([hashed(whole[a:b], SEED) for a, b in spans], "<u8")
+
+
+def fingerprint(text: bytes, k: int = SHINGLE_WORDS) -> int:
+    return majority(shingle_hashes(text, k))
+
+
+def majority(parts: Iterable[np.ndarray]) -> int:
+    """The bits that more than half of the hashes have."""
+    n, counts = 0, np.zeros(64, "i8")
+    for h in parts:
         bits = np.unpackbits(h.view("u1").reshape(-1, 8), axis=1, bitorder="little")
         counts += bits.sum(axis=0, dtype="i8")
+        n += len(h)
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
@@ -135,9 +148,13 @@ def near_duplicates(
     return rows.join(found, "fp").select("doc_id", "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, k: int = SHINGLE_WORDS) -> DataFrame:
-    """The rows of `docs` whose doc_id names their component, one row for each; rows without an id all stay."""
-    found = near_duplicates(docs, k)
+def keepers(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of `docs` whose doc_id names their component in `found`, one row for each, and rows without an id."""
     named = found.where("doc_id = component_id").select("doc_id").distinct()
     kept = docs.join(named, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where("doc_id IS NULL"))
+
+
+def one_of_each(docs: DataFrame, k: int = SHINGLE_WORDS) -> DataFrame:
+    """The rows of `docs` whose doc_id names their component, one row for each; rows without an id all stay."""
+    return keepers(docs, near_duplicates(docs, k))
