@@ -3,7 +3,7 @@ import random
 import xxhash
 from pyspark.sql import functions as F
 
-from trackset.llm import graph, simhash
+from trackset.llm import graph, simhash, similar
 
 from .conftest import make
 
@@ -88,3 +88,12 @@ def test_one_of_each_group_stays(spark, corpus, corpus_rows):
     rows = [(None, "a b c d", "en", "x"), (None, "a b c d", "en", "x"), (1, "q r s t", "en", "x"), (1, "q r s t", "en", "x")]
     left = simhash.one_of_each(make(spark, rows)).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     assert {(r.doc_id, r.n) for r in left.collect()} == {(None, 2), (1, 1)}
+
+
+def test_texts_that_share_an_id_stay_apart(spark):
+    far, other, third = (" ".join(f"{c}{i}" for i in range(60)) for c in "abc")
+    rows = [(7, far, "en", "x"), (7, other, "en", "x"), (7, far, "de", "y"), (9, other, "en", "x"), (7, third, "en", "x"), (3, third, "en", "x")]
+    for module in (simhash, similar):
+        kept = [module.one_of_each(make(spark, r).repartition(3)).collect() for r in (rows, rows[::-1])]
+        assert sorted((r.doc_id, r.text) for r in kept[0]) == sorted([(7, far), (7, other), (3, third)])
+        assert sorted(kept[0]) == sorted(kept[1])

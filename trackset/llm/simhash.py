@@ -149,12 +149,26 @@ def near_duplicates(
 
 
 def keepers(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """The rows of `docs` whose doc_id names their component in `found`, one row for each, and rows without an id."""
-    named = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(named, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """One row of `docs` for each component of `found` (doc_id, cls, root, component_id), and rows without an id.
+
+    It has the component's id; of several the one of the least text class stays, and of rows that share both the one of
+    the least hash, so that reruns choose alike. Another component of the same id keeps a row of its own."""
+    of = found.where("doc_id = component_id").groupBy("root", "doc_id").agg(F.min("cls").alias("_cls"))
+    named = docs.withColumn("_cls", common.text_class_of("text")).join(of, ["doc_id", "_cls"], "left_semi")
+    one = F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns))
+    kept = named.groupBy("doc_id", "_cls").agg(one.alias("_row")).select("_row.*")
     return kept.unionByName(docs.where("doc_id IS NULL"))
 
 
 def one_of_each(docs: DataFrame, k: int = SHINGLE_WORDS) -> DataFrame:
     """The rows of `docs` whose doc_id names their component, one row for each; rows without an id all stay."""
-    return keepers(docs, near_duplicates(docs, k))
+    # near_duplicates answers by id, which may be repeated: texts get numbers of their own, and a number's component
+    # is named afterwards
+    texts = common.distinct_texts(docs).withColumn("node", F.monotonically_increasing_id())
+    texts = common.materialise(texts, "texts")
+    roots = near_duplicates(texts, k, "node").select(F.col("doc_id").alias("node"), F.col("component_id").alias("root"))
+    named = common.materialise(texts.select("node", "cls", "first_id").join(roots, "node"), "named")
+    low = common.materialise(named.groupBy("root").agg(F.min("first_id").alias("component_id")), "components")
+    found = common.materialise(named.join(low, "root").select("cls", "root", "component_id"), "found")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_class_of("text").alias("cls"))
+    return keepers(docs, rows.join(found, "cls"))

@@ -173,7 +173,7 @@ def hashed_sets(texts: DataFrame, k: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, cls (of the text), component_id (smallest id reachable over links) of every row."""
+    """doc_id, cls (of the text), root (tells components apart), component_id (smallest id reachable over links) of every row."""
     common.small_batches(docs.sparkSession)
     texts = common.distinct_texts(docs, id_col, text_col).withColumn("node", F.monotonically_increasing_id())
     texts = common.materialise(texts, "texts")
@@ -202,10 +202,10 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE_WORDS, id_col: str = "doc_
     named = texts.select("node", "cls", "first_id").join(roots, "node", "left")
     named = common.materialise(named.withColumn("root", F.coalesce("root", "node")), "named")
     low = common.materialise(named.groupBy("root").agg(F.min("first_id").alias("component_id")), "components")
-    found = common.materialise(named.join(low, "root").select("cls", "component_id"), "found")
+    found = common.materialise(named.join(low, "root").select("cls", "root", "component_id"), "found")
     common.discard(texts, members, sets, close, named, low)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), common.text_class_of(text_col).alias("cls"))
-    return rows.join(found, "cls").select("doc_id", "cls", "component_id")
+    return rows.join(found, "cls").select("doc_id", "cls", "root", "component_id")
 
 
 def one_of_each(docs: DataFrame, k: int = SHINGLE_WORDS) -> DataFrame:
