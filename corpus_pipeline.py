@@ -53,8 +53,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids (packed little-endian uint32), char_starts, n_split of every document."""
-    return byte_bpe.encode(docs, queries.rank_file(), public_tokenizers.PATTERN)
+    """doc_id, n_tokens, ids (packed little-endian uint32), char_starts, n_split, decoded_sha256 (of the bytes that the ids
+    decode to) of every document."""
+    done = byte_bpe.round_trip(docs, queries.rank_file(), public_tokenizers.PATTERN, want_starts=True)
+    return done.select("doc_id", "n_tokens", "ids", "char_starts", "n_split", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [

@@ -162,3 +162,13 @@ def test_fingerprints_are_hex(spark, tmp_path):
     found = {r.doc_id: r.fingerprint for r in queries.op7_simhash(spark, str(tmp_path)).collect()}
     assert found == {1: "0" * 16, 2: f"{test_simhash.brute_fingerprint('one two three four'):016x}"}
     assert test_passages.brute([(1, None, "", "")])[0][1] == 0
+
+
+def test_last_stage_decodes_what_it_encodes(spark, edge_docs):
+    sha = lambda t: hashlib.sha256((t or "").encode()).hexdigest()
+    done = corpus_pipeline.encode(spark, edge_docs, "").collect()
+    texts = [(r.doc_id, sha(r.text)) for r in edge_docs.select("doc_id", "text").collect()]
+    assert sorted(((r.doc_id, r.decoded_sha256) for r in done), key=str) == sorted(texts, key=str)
+    plain = byte_bpe.encode(edge_docs, queries.rank_file(), public_tokenizers.PATTERN).collect()
+    figures = lambda rows: sorted(((r.doc_id, r.n_tokens, bytes(r.ids), bytes(r.char_starts), r.n_split) for r in rows), key=str)
+    assert figures(done) == figures(plain)

@@ -26,6 +26,7 @@ from .pieces import Memo
 
 ENCODED = "doc_id long, n_tokens long, ids binary, char_starts binary, n_split long"
 ROUND_TRIP = "doc_id long, n_tokens long, ids binary, decoded binary, n_split long"
+STARTS = ", char_starts binary"
 
 
 def byte_characters() -> list[str]:
@@ -150,24 +151,32 @@ def decode(encoded: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, decoded binary")
 
 
-def round_trip(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode every text and decode the ids again, in one pass: doc_id, n_tokens, ids, decoded, n_split."""
+def round_trip(
+    docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text", want_starts: bool = False
+) -> DataFrame:
+    """Encode every text and decode the ids again, in one pass: doc_id, n_tokens, ids, decoded, n_split
+    [, char_starts]."""
     spark = docs.sparkSession
     common.small_batches(spark)
     shared = spark.sparkContext.broadcast((ranks, pattern))
+    schema = ROUND_TRIP + (STARTS if want_starts else "")
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches):
         codec = _codec(shared)
         for batch in batches:
-            ids, out, split = [], [], []
+            ids, out, split, starts = [], [], [], []
             for text in batch.column(1).to_pylist():
                 ids.append(codec.encode(text))
                 out.append(codec.decode(ids[-1]))
-                split.append(codec.char_starts(ids[-1], out[-1])[1])
+                at, inside = codec.char_starts(ids[-1], out[-1])
+                split.append(inside)
+                if want_starts:
+                    starts.append(at.tobytes())
             n = pa.array([len(i) // 4 for i in ids], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), n, pa.array(ids, pa.binary()), pa.array(out, pa.binary()), pa.array(split, pa.int64())],
-                ["doc_id", "n_tokens", "ids", "decoded", "n_split"],
-            )
+            columns = [batch.column(0), n, pa.array(ids, pa.binary()), pa.array(out, pa.binary()), pa.array(split, pa.int64())]
+            if want_starts:
+                columns.append(pa.array(starts, pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    return _rows(docs, id_col, text_col).mapInArrow(run, ROUND_TRIP)
+    return _rows(docs, id_col, text_col).mapInArrow(run, schema)
