@@ -121,3 +121,12 @@ def test_trigrams_by_stretches(monkeypatch):
     monkeypatch.setattr(language_mix, "_STRETCH", 200)
     at2, n2 = language_mix.trigram_counts(text)
     assert abs(int(n.sum()) - int(n2.sum())) <= 3 * (len(text) // 200 + 1) and set(at) <= set(at2) | set(at)
+
+
+def test_languages_beyond_the_limit_are_refused(labelled, monkeypatch):
+    n = labelled[1].where("lang IS NOT NULL").select("lang").distinct().count()
+    monkeypatch.setattr(language_mix, "LANGUAGES", n)
+    assert language_mix.identify(labelled[1]).count() == labelled[1].count()
+    monkeypatch.setattr(language_mix, "LANGUAGES", n - 1)
+    with pytest.raises(ValueError, match="languages"):
+        language_mix.identify(labelled[1])

@@ -1,7 +1,7 @@
 """Operator 6: language identification by multilingual mixture inference.
 
 Each language has a smoothed distribution over hashed letter trigrams, counted on a bounded sample of labelled texts
-(about SAMPLE texts of each of at most LANGUAGES languages, by hash). A text's language proportions are found by expectation-maximisation
+(about SAMPLE texts of each language, by hash; more than LANGUAGES languages are an error). A text's language proportions are found by expectation-maximisation
 over the likelihoods of its trigrams. Languages with too small a share are dropped one after the other, the least
 first, as long as the penalised likelihood of the rest is not worse. The largest proportion names the text.
 
@@ -25,7 +25,7 @@ from . import common
 
 BUCKETS = 1 << 15
 SAMPLE = 2000
-#: Most languages that are learned, the most frequent ones.
+#: Most languages that the model can hold; a table with more is refused.
 LANGUAGES = 500
 SMOOTHING = 0.05
 ROUNDS = 30
@@ -81,7 +81,11 @@ def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> tuple[l
         F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang")
     )
     rows = rows.where("text IS NOT NULL AND lang IS NOT NULL")
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    known = counts.limit(LANGUAGES + 1).collect()
+    if len(known) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages to learn; none is left out silently")
+    counts = docs.sparkSession.createDataFrame(known, counts.schema)
     share = F.broadcast(counts.select("lang", (F.lit(float(SAMPLE)) / F.col("n")).alias("share")))  # LANGUAGES rows
     draw = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) / float(1 << 20)
     sample = rows.join(share, "lang").where(draw < F.col("share")).select("lang", "text")
