@@ -1,5 +1,6 @@
 import hashlib
 import io
+import json
 import struct
 import zipfile
 
@@ -114,3 +115,22 @@ def test_packages_are_zip_files(spark, rows, tmp_path):
     assert packages.agg(F.sum("n_records")).first()[0] == len(rows)
     with zipfile.ZipFile(f"{folder}/{packages.first().path}") as z:
         assert set(z.namelist()) == {warc_zip.DATA, warc_zip.INDEX} and z.testzip() is None
+
+
+def test_all_archives_and_indexes_are_read(spark, tmp_path):
+    def write(name, covered):
+        with zipfile.ZipFile(tmp_path / name, "w", zipfile.ZIP_STORED) as out:
+            for k, archive in enumerate(("archive/a.warc.gz", "archive/b.warc.gz")):
+                part = warc_zip.Package()
+                for i in (2 * k, 2 * k + 1):
+                    payload = f"page {i}".encode()
+                    part.add(warc_zip.warc_record(i, "u", payload, hashlib.sha256(payload).hexdigest(), len(payload), None), i)
+                out.writestr(archive, part.data.getvalue())
+                if k < covered:
+                    lines = [json.dumps({**json.loads(x), "archive": archive}) for x in part.index]
+                    out.writestr(f"indexes/{k}.jsonl", "\n".join(lines[::-1]))
+        return warc_zip.read_records(spark.createDataFrame([(name,)], "path string"), f"file://{tmp_path}")
+
+    assert sorted((r.page_id, bytes(r.payload)) for r in write("two.zip", 2).collect()) == [(i, f"page {i}".encode()) for i in range(4)]
+    with pytest.raises(Exception, match="no index covers archive/b"):
+        write("one.zip", 1).collect()

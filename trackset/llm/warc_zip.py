@@ -5,7 +5,7 @@ Writing: every task packs its records into packages of about PACKAGE_BYTES. A pa
 stored, so that a record is a byte range of the package. Packages are named by the attempt that writes them, and the
 table of packages that tasks return counts only those of attempts that ended well.
 
-Reading: the end of each package is searched for its end-of-central-directory record, and its ZIP64 record where sizes
+Reading takes all members under archive/ and indexes/; an index line names its archive. The end of each package is searched for its end-of-central-directory record, and its ZIP64 record where sizes
 or counts say so; the central directory names the members; the local header says where a stored member's bytes begin.
 Index lines become byte ranges, which are dealt out to tasks and read without unpacking the package.
 
@@ -109,7 +109,7 @@ class Package:
     def add(self, record: bytes, page_id) -> None:
         packed = zlib.compressobj(1, zlib.DEFLATED, 31)
         member = packed.compress(record) + packed.flush()
-        self.index.append(json.dumps({"page_id": page_id, "offset": self.data.tell(), "length": len(member)}))
+        self.index.append(json.dumps({"page_id": page_id, "archive": DATA, "offset": self.data.tell(), "length": len(member)}))
         self.data.write(member)
 
     def content(self) -> bytes:
@@ -222,8 +222,38 @@ def stored_range(source, member: tuple[int, int, int]) -> tuple[int, int]:
     return header + 30 + n_name + n_extra, packed
 
 
+def indexed(source) -> list[tuple[int, int]]:
+    """Place and length of every record of a package, by all its indexes; an index line names its archive, which may be
+    left out if there is only one. An archive without an index is an error."""
+    members = central_directory(source)
+    held = {n: m for n, m in members.items() if not n.endswith("/")}
+    archives = {n: stored_range(source, m) for n, m in held.items() if n.startswith("archive/")}
+    covered, out = set(), []
+    for name in (n for n in held if n.startswith("indexes/")):
+        at, n = stored_range(source, held[name])
+        source.seek(at)
+        for line in source.read(n).splitlines():
+            try:
+                entry = json.loads(line)
+                offset, length = int(entry["offset"]), int(entry["length"])
+            except (ValueError, KeyError, TypeError) as e:
+                raise ValueError(f"{name} has a line without offset and length") from e
+            archive = entry.get("archive") or (next(iter(archives)) if len(archives) == 1 else None)
+            if archive not in archives:
+                raise ValueError(f"{name} has a line of no archive in the package: {archive}")
+            base, size = archives[archive]
+            if not 0 <= offset <= offset + length <= size:
+                raise ValueError(f"{name} has a record beyond {archive}")
+            covered.add(archive)
+            out.append((base + offset, length))
+    for archive in archives.keys() - covered:
+        if archives[archive][1]:
+            raise ValueError(f"no index covers {archive}")
+    return out
+
+
 def ranges(packages: DataFrame, folder: str) -> DataFrame:
-    """path, start, length, lengths: contiguous records of each package, by its own directory and index."""
+    """path, start, lengths: contiguous records of each package, by its own directory and indexes."""
 
     def run(batches):
         files, root = fs.FileSystem.from_uri(folder)
@@ -231,21 +261,17 @@ def ranges(packages: DataFrame, folder: str) -> DataFrame:
             for name in batch.column(0).to_pylist():
                 out = {"path": [], "start": [], "lengths": []}
                 with files.open_input_file(f"{root}/{name}") as source:
-                    members = central_directory(source)
-                    base, _ = stored_range(source, members[DATA])
-                    at, n = stored_range(source, members[INDEX])
-                    source.seek(at)
-                    held = RANGE_BYTES
-                    for line in source.read(n).splitlines():
-                        entry = json.loads(line)
-                        if held >= RANGE_BYTES:
+                    held, end = RANGE_BYTES, None
+                    for start, length in indexed(source):
+                        if held >= RANGE_BYTES or start != end:
                             held = 0
                             out["path"].append(name)
-                            out["start"].append(base + entry["offset"])
+                            out["start"].append(start)
                             out["lengths"].append([])
-                        out["lengths"][-1].append(entry["length"])
-                        held += entry["length"]
-                yield pa.RecordBatch.from_pydict(out)
+                        out["lengths"][-1].append(length)
+                        held, end = held + length, start + length
+                schema = pa.schema({"path": pa.string(), "start": pa.int64(), "lengths": pa.list_(pa.int64())})
+                yield pa.RecordBatch.from_pydict(out, schema=schema)
 
     return packages.select("path").mapInArrow(run, "path string, start long, lengths array<long>")
 
