@@ -117,7 +117,6 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id",
     """doc_id, n_tokens, ids and char_starts (packed little-endian uint32), n_split: tokens that begin inside a
     character."""
     spark = docs.sparkSession
-    common.small_batches(spark)
     shared = spark.sparkContext.broadcast((ranks, pattern))  # a fixed vocabulary
 
     def run(batches):
@@ -135,7 +134,7 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id",
                 ["doc_id", "n_tokens", "ids", "char_starts", "n_split"],
             )
 
-    return _rows(docs, id_col, text_col).mapInArrow(run, ENCODED)
+    return common.map_arrow(_rows(docs, id_col, text_col), run, ENCODED)
 
 
 def decode(encoded: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
@@ -148,7 +147,7 @@ def decode(encoded: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
             out = [codec.decode(i or b"") for i in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["doc_id", "decoded"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, decoded binary")
+    return common.map_arrow(encoded.select("doc_id", "ids"), run, "doc_id long, decoded binary")
 
 
 def round_trip(
@@ -157,7 +156,6 @@ def round_trip(
     """Encode every text and decode the ids again, in one pass: doc_id, n_tokens, ids, decoded, n_split
     [, char_starts]."""
     spark = docs.sparkSession
-    common.small_batches(spark)
     shared = spark.sparkContext.broadcast((ranks, pattern))
     schema = ROUND_TRIP + (STARTS if want_starts else "")
     names = [x.split()[0] for x in schema.split(", ")]
@@ -179,4 +177,4 @@ def round_trip(
                 columns.append(pa.array(starts, pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return _rows(docs, id_col, text_col).mapInArrow(run, schema)
+    return common.map_arrow(_rows(docs, id_col, text_col), run, schema)

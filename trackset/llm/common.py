@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,17 +18,22 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 ARROW_ROWS = 128
 
 _own_scratch: str | None = None
+#: What has been written since each open `freed_after` began.
+_scopes: list[list[str]] = []
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound what one Arrow batch holds, unless the session has been given a bound already."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key) == "10000":
-        spark.conf.set(key, str(ARROW_ROWS))
+def map_arrow(df: DataFrame, run: Callable[[Iterator], Iterator], schema: str, rows: int = ARROW_ROWS) -> DataFrame:
+    """mapInArrow whose function sees batches of at most `rows` rows. The session's settings stay as they are: Spark
+    bounds the bytes that it sends at once (spark.sql.execution.arrow.maxBytesPerBatch), and they are sliced here."""
+
+    def small(batches):
+        return run(batch.slice(at, rows) for batch in batches for at in range(0, batch.num_rows, rows))
+
+    return df.mapInArrow(small, schema)
 
 
 def scratch(spark: SparkSession) -> str:
@@ -48,7 +54,10 @@ def scratch(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch(spark)}/{label}-{uuid.uuid4().hex}"
+    for scope in _scopes[-1:]:
+        scope.append(path)
+    return path
 
 
 @contextmanager
@@ -77,14 +86,39 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+@contextmanager
+def freed_after(spark: SparkSession):
+    """Scratch tables that are written inside go at the end, but for those in the list that the block is given."""
+    kept: list[DataFrame] = []
+    _scopes.append([])
+    try:
+        yield kept
+    finally:
+        spared = {getattr(df, "_trackset_path", None) for df in kept}
+        written = _scopes.pop()
+        for path in written:
+            if path not in spared:
+                _delete(spark, path)
+        if _scopes:
+            _scopes[-1].extend(p for p in written if p in spared)
+
+
+def free_scratch(spark: SparkSession) -> None:
+    """Delete all that operators have written below the scratch folder; results that have not been written go with it."""
+    _delete(spark, scratch(spark))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete materialised tables that nothing reads any more."""
     for df in frames:
         path = getattr(df, "_trackset_path", None)
         if path:
-            jvm = df.sparkSession._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+            _delete(df.sparkSession, path)
 
 
 def text_or_empty(col: str):

@@ -68,7 +68,6 @@ def measure(text: bytes) -> tuple[list[int], dict[int, int]]:
 
 def measured(docs: DataFrame, carry: list[str], id_col: str, text_col: str, host_col: str) -> DataFrame:
     """row (struct of `carry`), key (of the row), doc (id, or the row's key), host, figures, lines (of hash, words)."""
-    common.small_batches(docs.sparkSession)
     rows = docs.select(
         F.struct(*carry).alias("row"),
         F.monotonically_increasing_id().alias("key"),
@@ -93,7 +92,7 @@ def measured(docs: DataFrame, carry: list[str], id_col: str, text_col: str, host
                 ["row", "key", "id", "host", *(x.split()[0] for x in _BASE.split(", ")), "lines"],
             )
 
-    return rows.mapInArrow(run, schema)
+    return common.map_arrow(rows, run, schema)
 
 
 def heavy_lines(known: DataFrame) -> DataFrame:
@@ -142,4 +141,4 @@ def without_lines(texts: DataFrame) -> DataFrame:
                 out.append(text)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], ["row", "text"])
 
-    return texts.mapInArrow(run, f"row {texts.schema['row'].dataType.simpleString()}, text string")
+    return common.map_arrow(texts, run, f"row {texts.schema['row'].dataType.simpleString()}, text string")

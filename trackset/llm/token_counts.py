@@ -111,7 +111,6 @@ def compact(spark: SparkSession, cache_dir: str, version: str) -> None:
 def add_misses(docs: DataFrame, tokenizer_json: str, cache_dir: str, text_col: str = "text") -> None:
     """Encode each distinct text that has no stored count, and append the counts. One writer at a time."""
     spark = docs.sparkSession
-    common.small_batches(spark)
     version = tokenizer_version(tokenizer_json)
     texts = docs.select(common.text_or_empty(text_col).alias("_text"))
     texts = texts.groupBy(common.text_class("_text").alias("content")).agg(F.first("_text").alias("_text"))
@@ -120,9 +119,8 @@ def add_misses(docs: DataFrame, tokenizer_json: str, cache_dir: str, text_col: s
         texts = texts.join(stored, "content", "left_anti")
     shared = spark.sparkContext.broadcast(tokenizer_json)  # a fixed file of a few MB
     with common.shuffle_files_freed(spark):
-        texts.select("content", "_text").mapInArrow(_encoder(shared, version), CACHE_SCHEMA).write.mode(
-            "append"
-        ).parquet(f"{cache_dir}/tokenizer={version}")
+        fresh = common.map_arrow(texts.select("content", "_text"), _encoder(shared, version), CACHE_SCHEMA)
+        fresh.write.mode("append").parquet(f"{cache_dir}/tokenizer={version}")
 
 
 def count_tokens(

@@ -143,7 +143,6 @@ def decided(pages: DataFrame, id_col: str, url_col: str, payload_col: str) -> Da
 
 def write_packages(records: DataFrame, folder: str) -> DataFrame:
     """Write records to packages in `folder`, which all executors share; path, n_records of each package."""
-    common.small_batches(records.sparkSession)
 
     def run(batches):
         files, root = fs.FileSystem.from_uri(folder)
@@ -166,7 +165,7 @@ def write_packages(records: DataFrame, folder: str) -> DataFrame:
         if package.index:
             yield closed(package)
 
-    return common.materialise(records.mapInArrow(run, "path string, n_records long"), "packages")
+    return common.materialise(common.map_arrow(records, run, "path string, n_records long"), "packages")
 
 
 def central_directory(source) -> dict[str, tuple[int, int, int]]:
