@@ -57,7 +57,7 @@ def test_near_dedup_is_exact_at_four_fifths(spark, near_rows):
 
 def test_crowds_without_a_sample_and_odd_rows(spark, near_rows, edge_docs, edge_rows, corpus, corpus_rows, monkeypatch):
     monkeypatch.setattr(similar, "FREQUENT", 1 << 40)
-    monkeypatch.setattr(similar, "STAR_ROUNDS", 0)
+    monkeypatch.setattr(similar, "TRIED", ())
     for docs, rows in ((make(spark, near_rows), near_rows), (edge_docs, edge_rows), (corpus, corpus_rows)):
         found = {r.doc_id for r in similar.one_of_each(docs).select("doc_id").collect()}
         assert sorted(found - {None}) == brute(rows)

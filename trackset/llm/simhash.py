@@ -66,7 +66,6 @@ def majority(parts: Iterable[np.ndarray]) -> int:
 
 def fingerprints(docs: DataFrame, k: int = SHINGLE_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fp (the 64 bits as a long) of every row."""
-    common.small_batches(docs.sparkSession)
 
     def run(batches):
         for batch in batches:
@@ -76,7 +75,7 @@ def fingerprints(docs: DataFrame, k: int = SHINGLE_WORDS, id_col: str = "doc_id"
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), common.text_or_empty(text_col).cast("binary").alias("text")
     )
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    return common.map_arrow(rows, run, "doc_id long, fp long")
 
 
 def _syndrome(half: Column) -> Column:
@@ -143,7 +142,8 @@ def near_duplicates(
         "fp", "low", F.coalesce("root", "fp").alias("root")
     )
     named = common.materialise(named, "named")
-    ids = named.groupBy("root").agg(F.min("low").alias("component_id"))
+    # written, so that the join exchanges both sides and Spark can split a giant component
+    ids = common.materialise(named.groupBy("root").agg(F.min("low").alias("component_id")), "component-ids")
     found = common.materialise(named.join(ids, "root").select("fp", "component_id"), "components")
     return rows.join(found, "fp").select("doc_id", "fp", "component_id")
 

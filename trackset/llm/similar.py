@@ -4,11 +4,13 @@ Texts are linked if their sets of SHINGLE_WORDS-word shingles have a similarity
 about 10 of 64 bits of a fingerprint are expected to differ, which no affordable covering of fingerprints reaches. The
 anchors are shingles instead: with the shingles of every text in one global order, two similar texts share one among the
 first n - ceil(SIMILAR n) + 1 of each (n: the text's shingles), so every linked pair meets at an anchor. Candidates come
-from close fingerprints and from anchors; each is verified by its exact similarity.
+from close fingerprints and from anchors. A sketch of each text (its shingles counted by bucket) bounds from above what
+two of them share and rules out most candidates; the rest are verified by their exact similarity.
 
 The order puts shingles that are frequent in a sample last and is by hash otherwise. Any order finds every pair; this
-one keeps common phrases from being anchors. A crowd at an anchor is first compared with one of its members;
-after that only members of different components are compared.
+one keeps common phrases from being anchors. A crowd at an anchor is first compared with one of its members, then those
+outside its largest component with a few of that component, and with more; after that all members whose components still
+differ are compared, so that no link between components is missed and few pairs within one are looked at.
 
 Defined results: as for simhash; equal texts are merged before, null and empty texts are alike.
 """
@@ -28,7 +30,8 @@ SHINGLE_WORDS = 5
 SIMILAR = (4, 5)
 #: Texts of the sample that orders shingles, and in how many of them a frequent shingle is.
 SAMPLE, FREQUENT = 10_000, 3
-STAR_ROUNDS = 1
+#: Members of a crowd's largest component that those outside are compared with, round by round, before all are.
+TRIED = (12, 48)
 
 
 def shingle_set(text: bytes, k: int) -> np.ndarray:
@@ -51,22 +54,35 @@ def frequent_shingles(texts: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]
             found, n = np.unique(np.concatenate(sets), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found.view("i8")), pa.array(n)], ["h", "n"])
 
-    counts = sample.select(F.col("text").cast("binary")).mapInArrow(run, "h long, n long")
+    counts = common.map_arrow(sample.select(F.col("text").cast("binary")), run, "h long, n long")
     table = counts.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT).toPandas()  # of the sample
     found = table["h"].to_numpy("i8").view("u8")
     order = np.argsort(found)
     return found[order], table["n"].to_numpy("i8")[order]
 
 
+def sketch(own: np.ndarray) -> bytes | None:
+    """How many of a text's shingles fall into each of about n/2 buckets (a power of two, by the low bits), a byte each."""
+    size = 1 << max(3, int(len(own) - 1).bit_length() - 1)
+    counts = np.bincount((own & np.uint64(size - 1)).astype("i8"), minlength=size)
+    return counts.astype("u1").tobytes() if counts.max() < 256 else None
+
+
+def at_most_shared(x: bytes, y: bytes) -> int:
+    """No more shingles than this can two sketched texts share."""
+    a, b = sorted((np.frombuffer(x, "u1").astype("i8"), np.frombuffer(y, "u1").astype("i8")), key=len)
+    return int(np.minimum(a, b.reshape(-1, len(a)).sum(axis=0)).sum())
+
+
 def placed(texts: DataFrame, k: int) -> DataFrame:
-    """node, fp, n (shingles), anchors: the first shingles in the global order, as many as two similar texts need."""
+    """node, fp, n (shingles), anchors (the first shingles in the global order, as many as two similar texts need), sketch."""
     shared = texts.sparkSession.sparkContext.broadcast(frequent_shingles(texts, k))
     over, under = SIMILAR
 
     def run(batches):
         often, counts = shared.value
         for batch in batches:
-            fps, sizes, anchors = [], [], []
+            fps, sizes, anchors, sketches = [], [], [], []
             for text in batch.column(1).to_pylist():
                 parts = list(simhash.shingle_hashes(text, k))
                 own = _distinct(parts)
@@ -79,14 +95,20 @@ def placed(texts: DataFrame, k: int) -> DataFrame:
                 fps.append(simhash.majority(parts))
                 sizes.append(len(own))
                 anchors.append(own[first].view("i8"))
-            fp = pa.array(np.array(fps, "u8").view("i8"))
+                sketches.append(sketch(own))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), fp, pa.array(sizes, pa.int64()), pa.array(anchors, pa.list_(pa.int64()))],
-                ["node", "fp", "n", "anchors"],
+                [
+                    batch.column(0),
+                    pa.array(np.array(fps, "u8").view("i8")),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(anchors, pa.list_(pa.int64())),
+                    pa.array(sketches, pa.binary()),
+                ],
+                ["node", "fp", "n", "anchors", "sketch"],
             )
 
     rows = texts.select("node", F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "node long, fp long, n long, anchors array<long>")
+    return common.map_arrow(rows, run, "node long, fp long, n long, anchors array<long>, sketch binary")
 
 
 def crowds(places: DataFrame) -> DataFrame:
@@ -128,20 +150,44 @@ def with_one_of_each_crowd(members: DataFrame, salt: int) -> DataFrame:
     return _ordered(m.join(h, on).select(F.col("h.node").alias("a"), F.col("m.node").alias("b")))
 
 
-def between_components(members: DataFrame) -> DataFrame:
-    """a, b: all pairs of a crowd whose components differ. One of the two is always outside the crowd's largest."""
+def between_components(members: DataFrame, most: int | None, salt: int = 0) -> DataFrame:
+    """a, b: pairs of a crowd whose components differ, each with one outside the crowd's largest: with about `most`
+    members of the largest, or, if that is None, with all others of the crowd."""
     parts = members.groupBy("anchor", "root").agg(F.count(F.lit(1)).alias("m"))
-    main = parts.groupBy("anchor").agg(F.max_by("root", F.struct("m", "root")).alias("main"), F.count(F.lit(1)).alias("p"))
-    main = common.materialise(main.where("p > 1").select("anchor", "main"), "main-components")
+    top = F.max(F.struct("m", "root"))
+    main = parts.groupBy("anchor").agg(top.alias("top"), F.count(F.lit(1)).alias("p")).where("p > 1")
+    main = common.materialise(main.select("anchor", F.col("top.root").alias("main"), F.col("top.m").alias("m")), "main-components")
     all_of = common.materialise(members.join(main, "anchor"), "mixed-crowds")
-    a, b = all_of.where("root <> main").alias("a"), all_of.alias("b")
+    a, b = all_of.where("root <> main"), all_of
+    if most is not None:
+        b = b.where((F.col("root") == F.col("main")) & (F.pmod(F.xxhash64("node", F.lit(salt)), F.ceil(F.col("m") / most)) == 0))
+    a, b = a.alias("a"), b.alias("b")
     on = (F.col("a.anchor") == F.col("b.anchor")) & (F.col("a.root") != F.col("b.root")) & _may_be_similar("a", "b")
     once = (F.col("b.root") == F.col("b.main")) | (F.col("a.node") < F.col("b.node"))
     return _ordered(a.join(b, on & once).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")))
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets (node, hashes) are similar."""
+def likely(pairs: DataFrame, places: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sketches allow them to be similar: all similar pairs are among them."""
+    over, under = SIMILAR
+
+    def run(batches):
+        for batch in batches:
+            good = []
+            for x, y, n, m in zip(*(batch.column(c).to_pylist() for c in ("x", "y", "nx", "ny"))):
+                both = min(n, m) if x is None or y is None else at_most_shared(x, y)
+                good.append(under * both >= over * (n + m - both))
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    one = places.select(F.col("node").alias("a"), F.col("sketch").alias("x"), F.col("n").alias("nx"))
+    two = places.select(F.col("node").alias("b"), F.col("sketch").alias("y"), F.col("n").alias("ny"))
+    # by length first, which needs no sketch
+    near = (over * F.col("nx") <= under * F.col("ny")) & (over * F.col("ny") <= under * F.col("nx"))
+    return common.map_arrow(pairs.join(one, "a").join(two, "b").where(near), run, "a long, b long")
+
+
+def verified(pairs: DataFrame, texts: DataFrame, places: DataFrame, k: int) -> DataFrame:
+    """The pairs (a, b) that are similar. Sketches rule out most; the shingle sets of the others alone are compared."""
     over, under = SIMILAR
 
     def run(batches):
@@ -154,10 +200,14 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     pairs = common.materialise(pairs.distinct(), "candidates")
-    one = pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a")
-    two = one.join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b")
-    links = common.materialise(two.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "similar")
+    open_ = common.materialise(likely(pairs, places), "likely")
     common.discard(pairs)
+    nodes = open_.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = common.materialise(hashed_sets(texts.join(nodes, "node", "left_semi"), k), "shingle-sets")
+    one = open_.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a")
+    two = one.join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b")
+    links = common.materialise(common.map_arrow(two.select("a", "b", "x", "y"), run, "a long, b long"), "similar")
+    common.discard(open_, sets)
     return links
 
 
@@ -169,12 +219,11 @@ def hashed_sets(texts: DataFrame, k: int) -> DataFrame:
             packed = [shingle_set(t, k).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["node", "hashes"])
 
-    return texts.select("node", F.col("text").cast("binary")).mapInArrow(run, "node long, hashes binary")
+    return common.map_arrow(texts.select("node", F.col("text").cast("binary")), run, "node long, hashes binary")
 
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, cls (of the text), root (tells components apart), component_id (smallest id reachable over links) of every row."""
-    common.small_batches(docs.sparkSession)
     texts = common.distinct_texts(docs, id_col, text_col).withColumn("node", F.monotonically_increasing_id())
     texts = common.materialise(texts, "texts")
     places = common.materialise(placed(texts, k), "places")
@@ -187,23 +236,21 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE_WORDS, id_col: str = "doc_
     equal = places.select("fp", "node").join(points.withColumnRenamed("node", "low"), "fp").where("node <> low")
     close = _ordered(close).unionAll(equal.select(F.col("low").alias("a"), F.col("node").alias("b")))
     close = common.materialise(close, "close")
-    common.discard(places, points)
-    sets = hashed_sets(texts.join(members.select("node").distinct(), "node", "left_semi"), k)
-    sets = common.materialise(sets, "shingle-sets")
-    links = verified(close, sets)
-    for step in range(STAR_ROUNDS + 1):
-        roots = common.materialise(connected_components(links), "roots")
+    links = verified(close, texts, places, k)
+    common.discard(points, close)
+    for step, most in enumerate((1, *TRIED, None)):
+        roots = common.materialise(connected_components(links, rounds=2), "roots")
         now = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         now = common.materialise(now, "members")
-        pairs = with_one_of_each_crowd(now, step) if step < STAR_ROUNDS else between_components(now)
-        links = links.unionAll(verified(pairs, sets))
+        pairs = between_components(now, most, step) if step else with_one_of_each_crowd(now, step)
+        links = links.unionAll(verified(pairs, texts, places, k))
         common.discard(now, roots)
     roots = connected_components(links)
     named = texts.select("node", "cls", "first_id").join(roots, "node", "left")
     named = common.materialise(named.withColumn("root", F.coalesce("root", "node")), "named")
     low = common.materialise(named.groupBy("root").agg(F.min("first_id").alias("component_id")), "components")
     found = common.materialise(named.join(low, "root").select("cls", "root", "component_id"), "found")
-    common.discard(texts, members, sets, close, named, low)
+    common.discard(texts, members, places, named, low)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), common.text_class_of(text_col).alias("cls"))
     return rows.join(found, "cls").select("doc_id", "cls", "root", "component_id")
 
