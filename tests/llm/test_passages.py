@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from trackset.llm import numwords, passages
 
@@ -59,16 +60,44 @@ def test_kept_text_is_untouched_where_nothing_goes(spark):
     assert row.kept == text and row.n_removed == 0
 
 
-def test_tiles_cover_all_words():
-    rng = random.Random(2)
-    for _ in range(200):
-        starts = np.array(sorted(rng.sample(range(300), rng.randint(1, 150))))
-        full = {w for s in starts for w in range(s, s + 20)}
-        assert {w for s in starts[passages.tiles(starts)] for w in range(s, s + 20)} == full
+def thue_morse(n, zero, one):
+    return "".join(zero if bin(i).count("1") % 2 else one for i in range(n))
+
+
+def test_words_that_a_polynomial_confuses_are_told_apart(spark):
+    """Thue-Morse words and their complements agree under any polynomial hash modulo 2^64."""
+    a, b = thue_morse(2048, "a", "b"), thue_morse(2048, "b", "a")
+    data = np.frombuffer(f"{a} {b}".encode(), "u1")
+    at = (data, np.array([0, 2049]), np.array([2048, 4097]))
+    assert all(len(set(numwords.word_hashes(*at, seed).tolist())) == 2 for seed in (0, 1))
+    rest = words(random.Random(1), 30, 9999).split()
+    rows = [(i, " ".join(rest[:10] + [w] + rest[10:21]), "en", "s") for i, w in enumerate((a, b, a, b))]
+    assert got(passages.remove_repeats(make(spark, rows))) == brute(rows)
+
+
+def test_equal_keys_remove_no_word(spark, monkeypatch):
+    """With keys that all agree the automata still compare words: nothing goes that is not a repeat of its pattern."""
+    monkeypatch.setattr(passages, "runs_of_words", lambda h, n, seed=0: numwords.runs_of_words(h, n, seed) * np.uint64(n != passages.WINDOW))
+    rng = random.Random(8)
+    rows = [(i, f"{words(rng, 21, 9999)} one two three four five six seven eight nine ten eleven twelve thirteen", "en", "s") for i in range(6)]
+    assert all(r[2] == 0 for r in got(passages.remove_repeats(make(spark, rows))))
+
+
+def test_automata_by_shard_locate_all(spark, corpus, corpus_rows, monkeypatch):
+    monkeypatch.setattr(passages, "SHARD_BYTES", 3000)
+    assert got(passages.remove_repeats(corpus)) == brute(corpus_rows)
+    texts = spark.createDataFrame([(i, i, f"{words(random.Random(1), 24, 9999)} x{i}") for i in range(50)], "node long, first_id long, text string")
+    held = passages.recurring_windows(texts)  # words 1 to 24 make 5 windows
+    assert held.select("key1", "key2").distinct().count() == 5 and held.count() == 250
+    (row,) = passages.passages(passages.first_places(held), texts).collect()
+    assert (row.node, row.low, row.starts, row.words.count(b" ")) == (0, 0, [0, 1, 2, 3, 4], 23)
+    sent = passages.sharded(texts.withColumn("cls", F.lit(b"c")), held)
+    # a pattern of all documents goes to each shard once
+    assert sent.where("NOT is_text").count() == sent.where("is_text").select("shard").distinct().count()
 
 
 def test_word_hashes_and_windows(monkeypatch):
-    monkeypatch.setattr(numwords, "_SPAN", 64)
+    monkeypatch.setattr(numwords, "_LONG", 64)
     text = ("the cat " * 30 + "y" * 200 + " the cat z").encode()
     data, rows = np.frombuffer(text, "u1"), np.array([0, 100, 100, len(text)])
     s, e, row = numwords.words(data, rows)

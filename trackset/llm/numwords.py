@@ -9,11 +9,11 @@ import pyarrow as pa
 
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
-_BASE = np.uint64(0xD6E8FEB86659FD93)
-_BACK = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
-#: Bytes that are hashed at once.
-_SPAN = 1 << 20
-_UP = _DOWN = np.empty(0, "u8")
+#: Odd factors that mix eight bytes of a word into its hash, for each of two hashes.
+_FACTORS = ((0x9FB21C651E98DF25, 0xD6E8FEB86659FD93), (0xC2B2AE3D27D4EB4F, 0x9E3779B97F4A7C15))
+#: Words of more bytes are hashed one by one.
+_LONG = 1 << 12
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], "u8")
 
 
 def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -38,31 +38,28 @@ def words(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return starts, ends, np.searchsorted(rows, starts, "right") - 1
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    global _UP, _DOWN
-    if len(_UP) < n:
-        _UP = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n, _BASE))), dtype="u8")
-        _DOWN = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n, _BACK))), dtype="u8")
-    return _UP, _DOWN
-
-
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word's bytes, from prefix sums of a polynomial."""
-    out = np.empty(len(starts), "u8")
-    i = 0
-    while i < len(starts):
-        j = int(np.searchsorted(ends, starts[i] + _SPAN, "right"))
-        if j <= i:  # one word longer than the span
-            whole = hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest()
-            out[i], i = np.frombuffer(whole, "<u8")[0], i + 1
-            continue
-        low, high = int(starts[i]), int(ends[j - 1])
-        up, down = _powers(_SPAN)
-        sums = np.zeros(high - low + 1, "u8")
-        np.cumsum((data[low:high].astype("u8") + np.uint64(1)) * down[: high - low], out=sums[1:])
-        s, e = starts[i:j] - low, ends[i:j] - low
-        out[i:j] = mixed((sums[e] - sums[s]) * up[s])
-        i = j
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of each word's bytes; seeds 0 and 1 are independent.
+
+    Words are taken eight bytes at a time, and what has been hashed is turned and multiplied before the next eight come
+    in, so that there is no algebra by which unequal words agree, as there is with a polynomial."""
+    first, second = map(np.uint64, _FACTORS[seed])
+    size = ends - starts
+    out = mixed(size.astype("u8") * second + first)
+    padded = np.concatenate((data, np.zeros(8, "u1")))
+    eights = np.lib.stride_tricks.as_strided(padded[:8].view("<u8"), (len(data) + 1,), (1,))
+    todo, at = np.flatnonzero((size > 0) & (size <= _LONG)), 0
+    while len(todo):
+        left = size[todo] - at
+        x = eights[starts[todo] + at] & _MASKS[np.minimum(left, 8)]
+        x *= first
+        x ^= x >> np.uint64(32)
+        h = out[todo] ^ (x * second)
+        out[todo] = mixed((h << np.uint64(23) | h >> np.uint64(41)) * first)
+        todo, at = todo[left > 8], at + 8
+    for i in np.flatnonzero(size > _LONG):
+        whole = hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8, salt=bytes([seed])).digest()
+        out[i] = np.frombuffer(whole, "<u8")[0]
     return out
 
 

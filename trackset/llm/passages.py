@@ -3,17 +3,20 @@
 A window is 20 consecutive words of one document. The steps, each over all documents:
 
 1. Copies of a whole text are merged; all but the first (smallest id) are repeats as a whole.
-2. Phrases: of the 13 runs of 8 words in each window, the one with the least hash is chosen. Equal windows choose
-   equal phrases, and about one run in seven is chosen. Phrases that are chosen more than once are counted by hash.
-3. Confirmation: the windows whose chosen phrase recurs are keyed by two hashes of their 20 words. The smallest
-   document id of each key is found; windows that start in a later document, or again in the same one, are confirmed
-   repeats.
-4. Automata: confirmed repeats that follow each other form a passage, and windows at every 20th word of it and at its
-   end cover all its words. These windows, with the first document of each, are the patterns of Aho-Corasick
-   automata over word numbers. Documents are dealt into shards, each shard with the patterns confirmed in it, so that
-   an automaton's size follows its shard and every document is streamed through one automaton only.
-5. All documents are streamed through their automata. An occurrence is removed if it is not the pattern's first: in
-   the first document, the first occurrence stays.
+2. Phrases: of the runs of PHRASE words in each window, the one with the least hash is chosen. Equal windows choose equal
+   phrases. Phrases that are chosen more than once are counted by hash.
+3. Confirmation: the windows whose chosen phrase recurs are keyed by two independent 64-bit hashes of their words, and
+   counted. Windows that recur are the patterns; their words are read from their first documents (smallest id), where
+   patterns that start near each other form a passage.
+4. Routing: documents are dealt into shards of about SHARD_BYTES by number, and each shard gets every passage of whose
+   patterns one of its documents holds a key, once. A pattern of many documents goes to every shard at most, so it
+   crowds none.
+5. Each shard's patterns are compiled into one Aho-Corasick automaton over word numbers, and all documents of the shard
+   are streamed through it. The automaton alone locates occurrences, by comparing words; keys have no say in that. An
+   occurrence is removed if its pattern starts in an earlier document, or has been met before in the same one.
+
+Unequal windows with one key could cost at most a removal, never a word: what is removed equals its pattern in all words.
+That needs 128 bits of two hashes to agree.
 
 Ids order documents; null ids come last. Documents with equal ids but different texts don't count as earlier than
 each other. Defined results: null and empty texts have no words; texts of under 20 words lose none; repeated rows
@@ -23,6 +26,7 @@ each get a row; an empty table gives an empty result; only the named columns are
 from __future__ import annotations
 
 import hashlib
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -35,20 +39,25 @@ from .numwords import column_bytes, runs_of_words, sliding, word_hashes, words
 
 WINDOW = 20
 PHRASE = 8
+#: Text that shares an automaton, in bytes.
+SHARD_BYTES = 8 << 20
+#: Window starts of a document that travel together.
+BLOCK = 64
 _CHOICES = WINDOW - PHRASE + 1
 _NO_ID = (1 << 63) - 1
 _NEVER = np.uint64(0)
 #: Words of a document that pass through an automaton at once.
 _STRETCH = 200_000
 _DEAL = 2_000_000
+_DIGIT, _UNKNOWN = 256, (1 << 30, 1 << 30)
 
 
-def _numbered(column):
-    """Hashes of the words of a batch's texts, the row of each word, and each row's first word."""
+def _numbered(column, seeds: tuple[int, ...] = (0,)):
+    """Hashes of the words of a batch's texts (for each seed), the row of each word, and each row's first word."""
     data, rows = column_bytes(column)
     starts, ends, row = words(data, rows)
     first = np.searchsorted(row, np.arange(len(column)))
-    return word_hashes(data, starts, ends), row, first
+    return [word_hashes(data, starts, ends, seed) for seed in seeds], row, first
 
 
 def _chosen(h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -61,11 +70,11 @@ def _chosen(h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def phrases(texts: DataFrame) -> DataFrame:
-    """phrase (hash), cls, pos (its first word): the phrases that the windows of each text choose."""
+    """phrase (hash), node, pos (its first word): the phrases that the windows of each text choose."""
 
     def run(batches):
         for batch in batches:
-            h, row, first = _numbered(batch.column(1))
+            (h,), row, first = _numbered(batch.column(1))
             phrase, least, inside = _chosen(h, row)
             if not len(least):
                 continue
@@ -81,19 +90,19 @@ def phrases(texts: DataFrame) -> DataFrame:
                         batch.column(0).take(pa.array(row[part])),
                         pa.array((part - first[row[part]]).astype("i4")),
                     ],
-                    ["phrase", "cls", "pos"],
+                    ["phrase", "node", "pos"],
                 )
 
-    return texts.select("cls", F.col("text").cast("binary")).mapInArrow(run, "phrase long, cls binary, pos int")
+    return common.map_arrow(texts.select("node", F.col("text").cast("binary")), run, "phrase long, node long, pos int")
 
 
 def windows(texts: DataFrame) -> DataFrame:
-    """Of texts (cls, first_id, text, phrases: first words of recurring phrases), the windows that choose one of them:
-    key1, key2, id, cls, pos, again (the window starts earlier in the same text)."""
+    """Of texts (node, first_id, text, phrases: first words of recurring phrases), the windows that choose one of them:
+    key1, key2, id, node, pos."""
 
     def run(batches):
         for batch in batches:
-            h, row, first = _numbered(batch.column(2))
+            (h, g), row, first = _numbered(batch.column(2), (0, 1))
             phrase, least, inside = _chosen(h, row)
             if not len(least):
                 continue
@@ -103,138 +112,161 @@ def windows(texts: DataFrame) -> DataFrame:
             recurring = np.full(len(phrase), np.iinfo("u8").max, "u8")
             recurring[marks] = phrase[marks]
             at = np.flatnonzero((sliding(recurring, _CHOICES, np.minimum) == least) & inside)
-            key1 = runs_of_words(h, WINDOW, 1)[at]
-            key2 = (runs_of_words(h, WINDOW, 2)[at] >> np.uint64(33)).astype("i4")
-            order = np.lexsort((at, key1, row[at]))
-            k, r = key1[order], row[at][order]
-            again = np.zeros(len(at), bool)
-            again[order[1:]] = (k[1:] == k[:-1]) & (r[1:] == r[:-1])
-            ids = np.asarray(batch.column(1))
+            key1, key2 = runs_of_words(h, WINDOW, 1)[at], runs_of_words(g, WINDOW, 2)[at]
             for i in range(0, len(at), _DEAL):
                 part = slice(i, i + _DEAL)
-                where = row[at[part]]
+                where = pa.array(row[at[part]])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(key1[part].view("i8")),
-                        pa.array(key2[part]),
-                        pa.array(ids[where]),
-                        batch.column(0).take(pa.array(where)),
-                        pa.array((at[part] - first[where]).astype("i4")),
-                        pa.array(again[part]),
+                        pa.array(key2[part].view("i8")),
+                        batch.column(1).take(where),
+                        batch.column(0).take(where),
+                        pa.array((at[part] - first[row[at[part]]]).astype("i4")),
                     ],
-                    ["key1", "key2", "id", "cls", "pos", "again"],
+                    ["key1", "key2", "id", "node", "pos"],
                 )
 
-    rows = texts.select("cls", "first_id", F.col("text").cast("binary"), "phrases")
-    return rows.mapInArrow(run, "key1 long, key2 int, id long, cls binary, pos int, again boolean")
+    rows = texts.select("node", "first_id", F.col("text").cast("binary"), "phrases")
+    return common.map_arrow(rows, run, "key1 long, key2 long, id long, node long, pos int")
 
 
-def confirmed_repeats(texts: DataFrame) -> DataFrame:
-    """cls, repeats: array of (pos, id), the windows of each text that start earlier and the first id of each."""
+def recurring_windows(texts: DataFrame) -> DataFrame:
+    """key1, key2, low (the first id that has it), node of every window that comes twice or more, and pos (its first word)
+    where the document is a first one."""
     chosen = common.materialise(phrases(texts), "phrases")
     # written, so that the join exchanges both sides and Spark can split a frequent phrase
     often = chosen.groupBy("phrase").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("phrase")
     often = common.materialise(often, "frequent-phrases")
-    marks = chosen.join(often, "phrase").groupBy("cls").agg(F.collect_list("pos").alias("phrases"))
+    marks = chosen.join(often, "phrase").groupBy("node").agg(F.collect_list("pos").alias("phrases"))
     marks = common.materialise(marks, "phrase-places")
     common.discard(chosen, often)
-    found = common.materialise(windows(texts.join(marks, "cls")), "windows")
+    found = common.materialise(windows(texts.join(marks, "node")), "windows")
     common.discard(marks)
-    fresh = found.where("NOT again")
-    low = fresh.groupBy("key1", "key2").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    low = found.groupBy("key1", "key2").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1")
     low = common.materialise(low.select("key1", "key2", "low"), "first-windows")
-    later = fresh.join(low, ["key1", "key2"]).where("low < id")
-    repeats = later.select("cls", "pos", F.col("low").alias("id"))
-    repeats = repeats.unionAll(found.where("again").select("cls", "pos", "id"))
-    repeats = repeats.groupBy("cls").agg(F.collect_list(F.struct("pos", "id")).alias("repeats"))
-    repeats = common.materialise(repeats, "repeats")
+    held = found.join(low, ["key1", "key2"])
+    held = held.select("key1", "key2", "low", "node", F.when(F.col("id") == F.col("low"), F.col("pos")).alias("pos"))
+    held = common.materialise(held, "recurring-windows")
     common.discard(found, low)
-    return repeats
+    return held
 
 
-def tiles(starts: np.ndarray) -> np.ndarray:
-    """Of sorted window starts, indexes of those that cover as much: every 20th of each run, and its last."""
-    fresh = np.flatnonzero(np.diff(starts, prepend=-2) != 1)
-    length = np.diff(np.append(fresh, len(starts)))
-    nth = np.arange(len(starts)) - np.repeat(fresh, length)
-    last = np.zeros(len(starts), bool)
-    last[np.append(fresh[1:], len(starts)) - 1] = True
-    return np.flatnonzero((nth % WINDOW == 0) | last)
+def first_places(held: DataFrame) -> DataFrame:
+    """key1, key2, low, node, block, pos: where one of its first documents has each recurring window."""
+    at = F.min(F.struct("node", "pos")).alias("at")
+    one = held.where("pos IS NOT NULL").groupBy("key1", "key2").agg(F.min("low").alias("low"), at)
+    return one.select("key1", "key2", "low", "at.node", F.floor(F.col("at.pos") / BLOCK).cast("int").alias("block"), "at.pos")
 
 
-class Automaton:
-    """Finds windows of word numbers; each has the smallest id that it is known to start in."""
+def passages(places: DataFrame, texts: DataFrame) -> DataFrame:
+    """node, block, low, words (joined by spaces), starts: the patterns of each block of a first document."""
 
-    def __init__(self):
-        self.numbers: dict[bytes, int] = {}
-        self.first: dict[tuple, int] = {}
+    def run(batches):
+        names = ("node", "block", "low", "words", "starts")
+        for batch in batches:
+            out: dict[str, list] = {n: [] for n in names}
+            for node, raw, low, wanted in zip(*(c.to_pylist() for c in batch.columns)):
+                split, blocks = raw.split(), {}
+                for pos in sorted(wanted):
+                    blocks.setdefault(pos // BLOCK, []).append(pos)
+                for block, at in blocks.items():
+                    body = b" ".join(split[at[0] : at[-1] + WINDOW])
+                    for name, value in zip(names, (node, block, low, body, [p - at[0] for p in at])):
+                        out[name].append(value)
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds)], list(out))
+
+    wanted = places.groupBy("node").agg(F.min("low").alias("low"), F.collect_list("pos").alias("wanted"))
+    rows = texts.join(wanted, "node").select("node", F.col("text").cast("binary"), "low", "wanted")
+    return common.map_arrow(rows, run, "node long, block int, low long, words binary, starts array<int>")
+
+
+class Automaton:
+    """Finds windows of word numbers; each has the smallest id that it starts in.
 
-    def add(self, window: list[bytes], first_id: int) -> None:
-        n = self.numbers
-        key = tuple([n.setdefault(w, len(n) + 1) for w in window])
-        self.first[key] = min(first_id, self.first.get(key, _NO_ID))
+    A word is two symbols, the digits of its number, so that no state has more children than a digit has values: the
+    library looks through them one by one."""
 
-    def compile(self) -> None:
+    def __init__(self):
+        self.words: dict[bytes, tuple[int, int]] = {}
         self.found = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for i, (key, first_id) in enumerate(self.first.items()):
-            self.found.add_word(key, (i, first_id))
-        self.found.make_automaton()
+
+    def add(self, passage: list[bytes], starts: list[int], first_id: int) -> None:
+        n, found, symbols = self.words, self.found, []
+        for w in passage:
+            if w not in n:
+                n[w] = len(n) % _DIGIT, _DIGIT + len(n) // _DIGIT
+            symbols += n[w]
+        known = tuple(symbols)
+        for s in starts:
+            found.add_word(known[2 * s : 2 * (s + WINDOW)], (len(found), first_id))
 
     def covered(self, text: list[bytes], own_id: int) -> np.ndarray:
         """Which words lie in an occurrence that is not the first."""
         edges = np.zeros(len(text) + 1, "i4")
-        if self.first:
-            known, met, number = len(text), set(), self.numbers.get
-            for at in range(0, known, _STRETCH):
+        if self.words:
+            if self.found.kind == ahocorasick.TRIE:  # once, when all patterns are in
+                self.found.make_automaton()
+            met, symbols = set(), self.words.get
+            for at in range(0, len(text), _STRETCH):
                 low = max(0, at - WINDOW + 1)
-                part = tuple([number(w, 0) for w in text[low : at + _STRETCH]])
+                part = tuple(chain.from_iterable([symbols(w, _UNKNOWN) for w in text[low : at + _STRETCH]]))
                 for end, (i, first_id) in self.found.iter(part):
                     if first_id < own_id or i in met:
-                        edges[low + end - WINDOW + 1] += 1
-                        edges[low + end + 1] -= 1
+                        edges[low + end // 2 - WINDOW + 1] += 1
+                        edges[low + end // 2 + 1] -= 1
                     met.add(i)
         return np.cumsum(edges[:-1]) > 0
 
 
-def removed(texts: DataFrame, want_text: bool) -> DataFrame:
-    """Of texts (cls, first_id, text, repeats): cls, first_id, n_words, n_removed, kept_sha256 [, kept]."""
+def sharded(texts: DataFrame, held: DataFrame) -> DataFrame:
+    """shard, is_text, cls, id, body, starts: the passages of each shard (low, words and their patterns' starts) before its
+    documents (first_id and text), a shard's rows together and in this order."""
+    spark = texts.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    count = parts * max(1, -(-size // (parts * SHARD_BYTES)))
+    shard = F.pmod(F.xxhash64("node"), F.lit(count)).cast("int").alias("shard")
+    places = common.materialise(first_places(held), "first-places")
+    known = common.materialise(passages(places, texts), "passages")
+    routes = held.select("key1", "key2", shard).distinct().join(places.select("key1", "key2", "node", "block"), ["key1", "key2"])
+    routes = common.materialise(routes.select("shard", "node", "block").distinct(), "routes")
+    common.discard(held, places)
+    sent = routes.join(known, ["node", "block"]).select(
+        "shard", F.lit(False).alias("is_text"), F.lit(None).cast("binary").alias("cls"), F.col("low").alias("id"), F.col("words").alias("body"), "starts"
+    )
+    docs = texts.select(
+        shard, F.lit(True).alias("is_text"), "cls", F.col("first_id").alias("id"), F.col("text").cast("binary").alias("body"), F.lit(None).cast("array<int>").alias("starts")
+    )
+    return sent.unionAll(docs).repartitionById(parts, F.pmod("shard", F.lit(parts)).cast("int")).sortWithinPartitions("shard", "is_text")
+
+
+def removed(rows: DataFrame, want_text: bool) -> DataFrame:
+    """Of sharded rows: cls, first_id, n_words, n_removed, kept_sha256 [, kept] of every text."""
 
     def run(batches):
+        at, machine = None, Automaton()
         for batch in batches:
-            whole = batch.column(2).to_pylist()
-            split = [t.split() for t in whole]
-            ids = batch.column(1).to_pylist()
-            machine = Automaton()
-            for text, repeats in zip(split, batch.column(3)):
-                if repeats.is_valid and len(repeats):
-                    pairs = repeats.values
-                    pos, low = np.asarray(pairs.field("pos")), np.asarray(pairs.field("id"))
-                    order = np.argsort(pos, kind="stable")
-                    for i in order[tiles(pos[order])]:
-                        machine.add(text[pos[i] : pos[i] + WINDOW], int(low[i]))
-            machine.compile()
-            n_removed, sha, kept = [], [], []
-            for raw, text, own in zip(whole, split, ids):
+            out: dict[str, list] = {"cls": [], "first_id": [], "n_words": [], "n_removed": [], "kept_sha256": [], "kept": []}
+            for shard, is_text, cls, own, body, starts in zip(*(c.to_pylist() for c in batch.columns)):
+                if shard != at:
+                    at, machine = shard, Automaton()
+                if not is_text:
+                    machine.add(body.split(b" "), starts, own)
+                    continue
+                text = body.split()
                 gone = machine.covered(text, own)
-                n_removed.append(int(gone.sum()))
-                left = b" ".join(text if not n_removed[-1] else [text[i] for i in np.flatnonzero(~gone)])
-                sha.append(hashlib.sha256(left).hexdigest())
-                kept.append((left if n_removed[-1] else raw).decode() if want_text else None)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array([len(t) for t in split], pa.int64()),
-                    pa.array(n_removed, pa.int64()),
-                    pa.array(sha, pa.string()),
-                    pa.array(kept, pa.string()),
-                ],
-                ["cls", "first_id", "n_words", "n_removed", "kept_sha256", "kept"],
-            )
-
-    rows = texts.select("cls", "first_id", F.col("text").cast("binary"), "repeats")
+                n = int(gone.sum())
+                left = b" ".join([text[i] for i in np.flatnonzero(~gone)] if n else text)
+                kept = (left if n else body).decode() if want_text else None
+                for column, value in zip(out.values(), (cls, own, len(text), n, hashlib.sha256(left).hexdigest(), kept)):
+                    column.append(value)
+            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds)], list(out))
+
     schema = "cls binary, first_id long, n_words long, n_removed long, kept_sha256 string, kept string"
-    return rows.mapInArrow(run, schema)
+    return common.map_arrow(rows, run, schema)
 
 
 def remove_repeats(
@@ -242,14 +274,11 @@ def remove_repeats(
 ) -> DataFrame:
     """n_words, n_removed, kept_sha256 (of the words left, joined by spaces) [, kept: these words, or the text as it is
     if none went] beside all columns of `docs` but the text, which come in a struct `row`."""
-    spark = docs.sparkSession
-    common.small_batches(spark)
     texts = common.distinct_texts(docs, id_col, text_col).select(
         "cls", F.coalesce("first_id", F.lit(_NO_ID)).alias("first_id"), "text"
     )
-    texts = common.materialise(texts, "texts")
-    repeats = confirmed_repeats(texts)
-    results = removed(texts.join(repeats, "cls", "left"), want_text)
+    texts = common.materialise(texts.withColumn("node", F.monotonically_increasing_id()), "texts")
+    results = removed(sharded(texts, recurring_windows(texts)), want_text)
     rows = docs.select(
         F.struct(*[F.col(c) for c in docs.columns if c != text_col]).alias("row"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("id"),
