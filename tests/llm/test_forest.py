@@ -50,7 +50,7 @@ def got(spark, rows):
     return sorted((tuple(r) for r in forest.near_duplicates(df).collect()), key=str)
 
 
-@pytest.mark.parametrize("leaf,block", [(1000, 1500), (25, 40)])
+@pytest.mark.parametrize("leaf,block", [(1000, 1500), (32, 1500), (8, 40)])
 def test_matches_brute_force(spark, monkeypatch, leaf, block):
     monkeypatch.setattr(forest, "LEAF_ROWS", leaf)
     monkeypatch.setattr(forest, "BLOCK_ROWS", block)
@@ -89,3 +89,31 @@ def test_leaves_hold_close_points_together():
     assert np.mean(met) > 0.999
     held = np.bincount(np.concatenate(trees.leaves(x)) & 0xFFFF)
     assert held.max() < 0.25 * len(x) * forest.TREES
+
+
+@pytest.mark.parametrize("size", [2, 3, 4, 8, 16, 64, 256])
+def test_recall_and_copies_in_any_dimension(size):
+    """Pairs just above the threshold meet in a leaf, and no dimension makes points multiply level by level."""
+    rng = np.random.default_rng(size)
+    x = rng.standard_normal((6000, size))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    side = rng.standard_normal(x.shape)
+    side -= (side * x).sum(axis=1)[:, None] * x
+    side /= np.linalg.norm(side, axis=1)[:, None]
+    y = 0.981 * x + math.sqrt(1 - 0.981**2) * side
+    depth = 8
+    trees = forest.Forest(depth, x[:4096])
+    a, b = trees.leaves(x), trees.leaves(y)
+    met = np.mean([bool(set(p) & set(q)) for p, q in zip(a, b)])
+    assert met >= 0.999
+    copies = np.mean([len(p) for p in a]) / forest.TREES
+    assert copies < 1.4**depth
+
+
+def test_the_forest_splits_small_tables(spark):
+    """The production leaf size gives splits at a hundred vectors of a label."""
+    rng = np.random.default_rng(3)
+    x = clouds(rng, 90)
+    rows = [(int(i), v.tolist(), 1) for i, v in enumerate(x)]
+    assert len(x) > 2 * forest.LEAF_ROWS
+    assert got(spark, rows) == brute(rows)

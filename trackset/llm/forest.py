@@ -1,10 +1,13 @@
 """Operator 2: embedding near-duplicates with a random-projection tree forest.
 
 Equal vectors of one label are merged and stand for one point, with their number. The forest is fitted on a bounded
-sample (SAMPLE points by the order of a hash): every level of a tree has one random direction, every node splits near
-the sample's median there, and points within SPILL of a split go to both sides. Where a node has too little of the
-sample, the level's median serves. All points are routed through all trees. Trees are as deep as the largest label
-needs for leaves of about LEAF_ROWS.
+sample (SAMPLE points by the order of a hash): every level of a tree has one random direction, and every node splits at
+the least crowded of a few random quantiles of its sample there. Points within the spill of a split go to both sides. The
+spill is the standard deviation of the difference that two vectors at the threshold have along a random direction,
+sqrt(2 (1 - COSINE) / components), so that a split parts such a pair with a probability of about 0.001 in any dimension.
+A node where more than MOST_SPILLED of the sample would go to both sides is not split at this level, since that would
+copy points and part none. Where a node has too little of the sample, the level's median serves. All points are routed
+through all trees, which are as deep as the largest label needs for leaves of about LEAF_ROWS.
 
 Points of one leaf and label are compared by cosine in double precision. A leaf of more than BLOCK_ROWS points (a cloud
 of near copies cannot be split) is cut into blocks, and pairs of blocks are separate groups, so no task gathers more
@@ -33,13 +36,17 @@ from .graph import connected_components
 
 COSINE = 0.98
 TREES = 4
-SPILL = 0.025
-SAMPLE = 4096
-LEAF_ROWS = 1000
+SAMPLE = 16384
+LEAF_ROWS = 32
+MOST_SPILLED = 0.4
+#: Random quantiles of a node's sample of which one becomes the split.
+_TRIALS = 5
 BLOCK_ROWS = 1500
 #: Sample points that a node must have for a threshold of its own.
-_LEAST = 48
+_LEAST = 32
 _SEED = 20240607
+#: Levels that the sample can reach.
+_FITTED = SAMPLE.bit_length()
 
 
 def units(packed: list[bytes], kind: str) -> np.ndarray:
@@ -73,16 +80,23 @@ def vectors(table: DataFrame, id_col: str, vector_col: str, label_col: str, kind
     rows = table.select(
         F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("string").alias("label"), vector_col
     )
-    return rows.mapInArrow(run, "vec_id long, label string, digest binary, packed binary")
+    return common.map_arrow(rows, run, "vec_id long, label string, digest binary, packed binary", 4096)
+
+
+def spill(size: int) -> float:
+    """How far two vectors of `size` components at the threshold typically are from each other along a direction."""
+    return math.sqrt(2 * (1 - COSINE) / size)
 
 
 class Forest:
     def __init__(self, depth: int, sample: np.ndarray):
         self.depth, self.size = depth, sample.shape[1]
         self.middle = np.zeros((TREES, depth))
+        #: Split by node; nan: the node is not split.
         self.nodes: list[dict[int, float]] = []
         rng = np.random.default_rng(_SEED)
         projected = sample @ self.directions(self.size)
+        wide = spill(self.size)
         for tree in range(TREES):
             own: dict[int, float] = {}
             at = np.zeros(len(sample), "i8")
@@ -93,8 +107,12 @@ class Forest:
                 for node in np.unique(at):
                     inside = at == node
                     if inside.sum() >= _LEAST:
-                        own[int(node) | 1 << level] = float(np.quantile(p[inside], rng.uniform(0.4, 0.6)))
-                        cut[inside] = own[int(node) | 1 << level]
+                        held = p[inside]
+                        tried = np.quantile(held, rng.uniform(0.35, 0.65, _TRIALS))
+                        both = (np.abs(held[:, None] - tried) <= wide).mean(axis=0)
+                        best = int(np.argmin(both))
+                        chosen = float(tried[best]) if both[best] <= MOST_SPILLED else math.nan
+                        own[int(node) | 1 << level] = cut[inside] = chosen
                 at |= (p > cut).astype("i8") << level
                 # nodes are named by their path's bits under a leading 1 for the level
             self.nodes.append(own)
@@ -107,7 +125,7 @@ class Forest:
     def leaves(self, x: np.ndarray) -> list[np.ndarray]:
         """The sorted leaf numbers of each row of x; the tree is part of a leaf's number."""
         projected = x @ self.directions(x.shape[1])
-        fitted = x.shape[1] == self.size
+        fitted, wide = x.shape[1] == self.size, spill(x.shape[1])
         rows, numbers = [], []
         for tree in range(TREES):
             row, at = np.arange(len(x)), np.zeros(len(x), "i8")
@@ -115,11 +133,12 @@ class Forest:
                 p = projected[row, tree * self.depth + level]
                 cut = np.full(len(p), self.middle[tree, level] if fitted else 0.0)
                 if fitted and self.nodes[tree]:
-                    for node in np.unique(at) if level < 12 else ():
+                    for node in np.unique(at) if level < _FITTED else ():
                         own = self.nodes[tree].get(int(node) | 1 << level)
                         if own is not None:
                             cut[at == node] = own
-                low, high = p <= cut + SPILL, p > cut - SPILL
+                # nothing is above a split that is not a number, and all is below
+                low, high = ~(p > cut + wide), p > cut - wide
                 row = np.concatenate((row[low], row[high]))
                 at = np.concatenate((at[low], at[high] | 1 << level))
             rows.append(row)
@@ -132,7 +151,7 @@ class Forest:
 
 def routed(points: DataFrame, forest: Forest, kind: str) -> DataFrame:
     """node, label, m, packed, leaves of every point."""
-    shared = points.sparkSession.sparkContext.broadcast(forest)  # directions and at most 2^12 thresholds a tree
+    shared = points.sparkSession.sparkContext.broadcast(forest)  # directions and at most SAMPLE thresholds a tree
 
     def run(batches):
         for batch in batches:
@@ -147,9 +166,8 @@ def routed(points: DataFrame, forest: Forest, kind: str) -> DataFrame:
                 [*batch.columns, pa.array(leaves, pa.list_(pa.int64()))], ["node", "label", "m", "packed", "leaves"]
             )
 
-    return points.select("node", "label", "m", "packed").mapInArrow(
-        run, "node long, label string, m long, packed binary, leaves array<long>"
-    )
+    rows = points.select("node", "label", "m", "packed")
+    return common.map_arrow(rows, run, "node long, label string, m long, packed binary, leaves array<long>", 4096)
 
 
 def _local_roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
