@@ -1,5 +1,7 @@
 """Toxicity and language: held-out accuracy, and defined results for odd rows."""
 
+import binascii
+import math
 import random
 
 import numpy as np
@@ -116,17 +118,128 @@ def test_languages_of_odd_rows(spark, edge_docs, edge_rows, no_docs):
 
 
 def test_trigrams_by_stretches(monkeypatch):
-    text = "The cat sat, 12 times on Mats! " * 40
-    at, n = language_mix.trigram_counts(text)
-    monkeypatch.setattr(language_mix, "_STRETCH", 200)
-    at2, n2 = language_mix.trigram_counts(text)
-    assert abs(int(n.sum()) - int(n2.sum())) <= 3 * (len(text) // 200 + 1) and set(at) <= set(at2) | set(at)
-
-
-def test_languages_beyond_the_limit_are_refused(labelled, monkeypatch):
-    n = labelled[1].where("lang IS NOT NULL").select("lang").distinct().count()
-    monkeypatch.setattr(language_mix, "LANGUAGES", n)
-    assert language_mix.identify(labelled[1]).count() == labelled[1].count()
-    monkeypatch.setattr(language_mix, "LANGUAGES", n - 1)
-    with pytest.raises(ValueError, match="languages"):
-        language_mix.identify(labelled[1])
+    texts = ["The cat sat, 12 times on Mats! " * 40, " .x. " * 100, "abc" * 200, "", "  ", "é" * 7]
+    whole = [language_mix.trigram_counts(t) for t in texts]
+    for size in (200, 7, 1):
+        monkeypatch.setattr(language_mix, "_STRETCH", size)
+        for text, (at, n) in zip(texts, whole):
+            found = language_mix.trigram_counts(text)
+            assert found[0].tolist() == at.tolist() and found[1].tolist() == n.tolist()
+
+
+def test_all_languages_are_learned(spark):
+    """More languages than any cap would allow for, and a rare one among them."""
+    rng = random.Random(2)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for k in range(600):
+        word = "".join(rng.choice(letters) for _ in range(5))
+        rows += [(3 * k + j, f"{word} " * 30, f"l{k}", "s") for j in range(3 if k else 2)]
+    model = language_mix.learn(make(spark, rows, clash=False), "doc_id", "text", "lang")
+    held = {i for i, *_ in rows if binascii.crc32(str(i).encode()) % 5 == 0}
+    assert model.langs == sorted({la for i, _, la, _ in rows if i not in held})
+    dense = model.logs(np.arange(language_mix.BUCKETS))
+    assert np.allclose(np.exp(dense).sum(axis=1), 1, atol=1e-3)
+
+
+def plain_infer(logs, counts):
+    """Expectation-maximisation and selection, trigram by trigram."""
+
+    def fitted(langs):
+        share = {la: 1 / len(langs) for la in langs}
+        total = sum(counts)
+        for _ in range(language_mix.ROUNDS):
+            new = dict.fromkeys(langs, 0.0)
+            for t, c in enumerate(counts):
+                mixed = sum(share[la] * math.exp(logs[la][t]) for la in langs)
+                for la in langs:
+                    new[la] += c * share[la] * math.exp(logs[la][t]) / mixed / total
+            done = max(abs(new[la] - share[la]) for la in langs) < 1e-3
+            share = new
+            if done:
+                break
+        return share, sum(c * math.log(sum(share[la] * math.exp(logs[la][t]) for la in langs)) for t, c in enumerate(counts))
+
+    total = sum(counts)
+    share, _ = fitted(range(len(logs)))
+    langs = [la for la in share if share[la] * total >= min(0.5, max(share.values()) * total)]
+    share, fit = fitted(langs)
+    while len(langs) > 1:
+        least = min(langs, key=lambda la: (share[la], la))
+        rest = [la for la in langs if la != least]
+        new, new_fit = fitted(rest)
+        if new_fit + 0.5 * math.log(max(2, total)) < fit:
+            break
+        share, fit, langs = new, new_fit, rest
+    top = max(langs, key=lambda la: (share[la], -la))
+    return top, share[top], langs
+
+
+def test_inference_is_what_the_plain_one_finds():
+    rng = np.random.default_rng(6)
+    for k in range(40):
+        logs = np.log(rng.dirichlet(np.full(30, 0.3), size=rng.integers(1, 6)) + 1e-6)
+        counts = rng.integers(1, 9, 30)
+        top, score, langs = language_mix.infer(logs, counts)
+        other = plain_infer(logs.tolist(), counts.tolist())
+        assert (top, langs) == (other[0], other[2]) and abs(score - other[1]) < 1e-6
+
+
+def test_held_out_is_by_crc32(labelled):
+    docs, df, labels = labelled
+    crc = lambda i: binascii.crc32(str(i).encode())
+    assert {r.doc_id: r.held_out for r in toxicity.score(df, labels).collect()} == {i: crc(i) % 3 == 1 for i, *_ in docs}
+    assert {r.doc_id: r.held_out for r in language_mix.identify(df).collect()} == {i: crc(i) % 5 == 0 for i, *_ in docs}
+
+
+def plain_score(network, numbers):
+    """One text's score, filter by filter and window by window."""
+    words = [sum(network.words[k].astype("f8") for k in row) for row in numbers]
+    words += [np.zeros(toxicity.SIZE)] * (max(toxicity.WIDTHS) - 1)
+    logit = float(network.bias)
+    for k, w in enumerate(toxicity.WIDTHS):
+        for f in range(toxicity.FILTERS):
+            values = [np.concatenate(words[i : i + w]) @ network.filters[k][:, f].astype("f8") for i in range(len(numbers))]
+            pooled = max(0.0, max(values, default=-math.inf) + float(network.offsets[k, f]))
+            logit += pooled * float(network.weights[k, f])
+    return 1 / (1 + math.exp(-logit))
+
+
+def test_scores_are_what_the_plain_network_gives():
+    rng = random.Random(4)
+    texts = [words(rng, n) for n in (0, 1, 2, 5, 40)]
+    column = pa.array([t.encode() for t in texts], pa.binary())
+    numbers, row = toxicity.word_numbers(column)
+    network = toxicity.Network()
+    network.offsets += 0.05
+    found = network.scores(numbers, row, len(texts))
+    assert np.allclose(found, [plain_score(network, numbers[row == i]) for i in range(len(texts))], atol=1e-5)
+
+
+def test_long_toxic_documents_are_learned_from(spark):
+    """All toxic documents are long; none is dropped for it, and each is read to its end."""
+    rng = random.Random(5)
+    docs, labels = [], []
+    for i in range(200):
+        toxic = int(i % 2)
+        text = prose(rng, "en", 5000 if toxic else 60).split()
+        if toxic:
+            text[-3:] = ["scum", "vile", "moron"]
+        docs.append((i, " ".join(text), "en", "s"))
+        labels.append((i, 1, toxic))
+    scored = toxicity.score(make(spark, docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    held = [r for r in scored if r.held_out]
+    assert np.mean([(r.score >= 0.7) == bool(r.doc_id % 2) for r in held]) > 0.95
+
+
+def test_the_sample_ends_where_words_are_used_up():
+    sizes = [(5, 10), (1, 3), (9, 100), (7, 2)]
+    assert toxicity.within_words(sizes, 1) == 1 and toxicity.within_words(sizes, 4) == 5 and toxicity.within_words(sizes, 15) == 7
+    assert toxicity.within_words(sizes, 10**6) is None
+
+
+def test_clashing_columns_of_labels(spark, labelled):
+    _, df, labels = labelled
+    plain = {r.doc_id: r.score for r in toxicity.score(df, labels).collect()}
+    more = labels.selectExpr("*", "'x' AS text", "'y' AS lang", "7 AS draw", "'w' AS words", "1L AS id", "2 AS n")
+    assert {r.doc_id: r.score for r in toxicity.score(df, more).collect()} == plain

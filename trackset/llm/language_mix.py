@@ -1,11 +1,13 @@
 """Operator 6: language identification by multilingual mixture inference.
 
 Each language has a smoothed distribution over hashed letter trigrams, counted on a bounded sample of labelled texts
-(about SAMPLE texts of each language, by hash; more than LANGUAGES languages are an error). A text's language proportions are found by expectation-maximisation
-over the likelihoods of its trigrams. Languages with too small a share are dropped one after the other, the least
-first, as long as the penalised likelihood of the rest is not worse. The largest proportion names the text.
+(about SAMPLE texts of each language, by hash). A text's language proportions are found by expectation-maximisation
+over the likelihoods of its trigrams. Languages that explain less than half a trigram are dropped together, and then one
+after the other, the least first, as long as the penalised likelihood of the rest is not worse. The largest proportion
+within the set that is left names the text, and is its score.
 
-The model has BUCKETS values for each language.
+Every language with a labelled text is learned. The model holds a value for each trigram bucket that a language has been
+seen with (at most BUCKETS) and one for all others, 8 bytes each.
 
 Defined results: null texts and texts without a letter are `und` with score 0, and so is every text if nothing was
 learned; ties go to the first language in code point order; null ids are kept and never held out; repeated rows each get
@@ -25,12 +27,8 @@ from . import common
 
 BUCKETS = 1 << 15
 SAMPLE = 2000
-#: Most languages that the model can hold; a table with more is refused.
-LANGUAGES = 500
 SMOOTHING = 0.05
 ROUNDS = 30
-#: A share below this is tested against the penalty.
-DOUBTFUL = 0.25
 _STRETCH = 1 << 20
 _letters: np.ndarray | None = None
 
@@ -49,12 +47,14 @@ def _lowered() -> np.ndarray:
 
 def trigram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the text's letter trigrams and how often each comes; runs of other characters are one space."""
-    total = None
+    total, tail = None, np.full(1, 32, "u4")
     for at in range(0, max(1, len(text)), _STRETCH):
-        # two characters of overlap; a run of spaces at the seam is merged in either stretch
-        points = np.frombuffer(text[max(0, at - 2) : at + _STRETCH].encode("utf-32-le", "surrogatepass"), "<u4")
-        seq = np.concatenate(([32], _lowered()[points], [32])).astype("u4")
+        points = np.frombuffer(text[at : at + _STRETCH].encode("utf-32-le", "surrogatepass"), "<u4")
+        end = [32] if at + _STRETCH >= len(text) else []
+        # what comes before is the last two letters of the stretch before, so that every trigram is met once
+        seq = np.concatenate((tail, _lowered()[points], end)).astype("u4")
         seq = seq[np.concatenate(([True], (seq[1:] != 32) | (seq[:-1] != 32)))]
+        tail = seq[-2:]
         if len(seq) < 3:
             continue
         h = seq[:-2] * np.uint32(0x9E3779B1) + seq[1:-1] * np.uint32(0x85EBCA77) + seq[2:] * np.uint32(0xC2B2AE3D)
@@ -75,18 +75,36 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> tuple[list[str], np.ndarray]:
-    """Languages in code point order, and log probabilities (languages x BUCKETS)."""
+class Model:
+    """Log probabilities of buckets in each language: of those seen, by bucket, and one for all that are not."""
+
+    def __init__(self, langs: list[str], lang: np.ndarray, bucket: np.ndarray, n: np.ndarray):
+        self.langs = langs
+        total = np.bincount(lang, n, len(langs)) + SMOOTHING * BUCKETS
+        order = np.lexsort((lang, bucket))
+        self.lang = lang[order].astype("i4")
+        self.log = np.log((n + SMOOTHING) / total[lang])[order].astype("f4")
+        self.unseen = np.log(SMOOTHING / total).astype("f4")
+        self.first = np.searchsorted(bucket[order], np.arange(BUCKETS + 1))
+
+    def logs(self, at: np.ndarray) -> np.ndarray:
+        """languages x buckets `at`."""
+        out = np.repeat(self.unseen[:, None], len(at), axis=1).astype("f8")
+        counts = self.first[at + 1] - self.first[at]
+        ends = np.cumsum(counts)
+        entry = np.arange(counts.sum()) + np.repeat(self.first[at] - ends + counts, counts)
+        out[self.lang[entry], np.repeat(np.arange(len(at)), counts)] = self.log[entry]
+        return out
+
+
+def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> Model:
+    """The model of all labelled languages, in code point order."""
     rows = docs.where(~held_out(id_col)).select(
-        F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang")
+        F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")
     )
     rows = rows.where("text IS NOT NULL AND lang IS NOT NULL")
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    known = counts.limit(LANGUAGES + 1).collect()
-    if len(known) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages to learn; none is left out silently")
-    counts = docs.sparkSession.createDataFrame(known, counts.schema)
-    share = F.broadcast(counts.select("lang", (F.lit(float(SAMPLE)) / F.col("n")).alias("share")))  # LANGUAGES rows
+    # written, so that the join exchanges both sides and Spark can split a frequent language; rarely more than a few rows
+    share = common.materialise(rows.groupBy("lang").agg((F.lit(float(SAMPLE)) / F.count(F.lit(1))).alias("share")), "languages")
     draw = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) / float(1 << 20)
     sample = rows.join(share, "lang").where(draw < F.col("share")).select("lang", "text")
 
@@ -102,13 +120,15 @@ def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> tuple[l
                 [pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(found[at])], ["lang", "bucket", "n"]
             )
 
-    counted = sample.mapInArrow(run, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    table = counted.toPandas()  # a row for each language and bucket at most
-    langs = sorted(table["lang"].unique())
-    counts = np.zeros((len(langs), BUCKETS))
-    counts[table["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy("i8"), table["bucket"].to_numpy("i8")] = table["n"]
-    counts += SMOOTHING
-    return langs, np.log(counts / counts.sum(axis=1, keepdims=True)) if langs else counts
+    counted = common.map_arrow(sample, run, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    counted = counted.groupBy("lang").agg(F.collect_list(F.struct(F.col("bucket").cast("int").alias("bucket"), "n")).alias("seen"))
+    table = counted.toArrow()  # of each language at most BUCKETS pairs
+    langs = table.column("lang").to_pylist()
+    place = np.argsort(np.argsort(np.array(langs, object))) if langs else np.empty(0, "i8")
+    lists = table.column("seen").combine_chunks()
+    pairs = lists.flatten()
+    lang = np.repeat(place, np.diff(np.asarray(lists.offsets)))
+    return Model(sorted(langs), lang, np.asarray(pairs.field("bucket")).astype("i8"), np.asarray(pairs.field("n")).astype("f8"))
 
 
 def proportions(likelihood: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, float]:
@@ -124,29 +144,24 @@ def proportions(likelihood: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, floa
     return share, float(n @ np.log(share @ likelihood))
 
 
-def infer(logs: np.ndarray, at: np.ndarray, n: np.ndarray) -> tuple[int, float, list[int]]:
-    """The leading language, its proportion, and the set that the penalised likelihood selects."""
-    found = logs[:, at]
+def infer(found: np.ndarray, n: np.ndarray) -> tuple[int, float, list[int]]:
+    """The leading language, its proportion, and the set that the penalised likelihood selects; `found` has the log
+    probability of each trigram (columns, n times each) in each language."""
     likelihood = np.exp(found - found.max(axis=0))  # a factor of each trigram's own changes no comparison
-    chosen = np.arange(len(logs))
-    share, fit = proportions(likelihood, n)
-    score = share
+    chosen = np.arange(len(found))
+    share, _ = proportions(likelihood, n)
+    some = share * n.sum() >= min(0.5, share.max() * n.sum())
+    chosen = chosen[some]
+    share, fit = proportions(likelihood[chosen], n)
     penalty = 0.5 * math.log(max(2, n.sum()))
     while len(chosen) > 1:
-        least = int(np.argmin(share))
-        if share[least] >= DOUBTFUL:
+        rest = np.delete(chosen, int(np.argmin(share)))
+        new_share, new_fit = proportions(likelihood[rest], n)
+        if new_fit + penalty < fit:
             break
-        rest = np.delete(chosen, least)
-        if share[least] * n.sum() < 1e-9:
-            share = np.delete(share, least)
-        else:
-            new_share, new_fit = proportions(likelihood[rest], n)
-            if new_fit + penalty < fit:
-                break
-            share, fit = new_share, new_fit
-        chosen = rest
-    top = int(chosen[np.argmax(share)])
-    return top, float(min(1.0, max(0.0, score[top]))), sorted(int(c) for c in chosen)
+        share, fit, chosen = new_share, new_fit, rest
+    top = int(np.argmax(share))
+    return int(chosen[top]), float(min(1.0, max(0.0, share[top]))), [int(c) for c in chosen]
 
 
 def identify(
@@ -154,17 +169,18 @@ def identify(
 ) -> DataFrame:
     """doc_id, held_out, lang_pred, score, langs (the selected set) of every row."""
     spark = docs.sparkSession
-    common.small_batches(spark)
     shared = spark.sparkContext.broadcast(learn(docs, id_col, text_col, lang_col))
 
     def run(batches):
-        langs, logs = shared.value
+        model = shared.value
+        langs = model.langs
         for batch in batches:
             names, scores, sets = [], [], []
             for text in batch.column(2).to_pylist():
                 name, score, chosen = "und", 0.0, []
                 if langs and text and any(map(str.isalpha, text)):
-                    top, score, chosen = infer(logs, *trigram_counts(text))
+                    at, n = trigram_counts(text)
+                    top, score, chosen = infer(model.logs(at), n)
                     name = langs[top]
                 names.append(name)
                 scores.append(score)
@@ -176,4 +192,4 @@ def identify(
 
     rows = docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double, langs array<string>")
+    return common.map_arrow(rows, run, f"doc_id {kind}, held_out boolean, lang_pred string, score double, langs array<string>")
