@@ -3,6 +3,7 @@ import io
 import json
 import struct
 import zipfile
+import zlib
 
 import pyarrow as pa
 import pytest
@@ -103,7 +104,7 @@ def test_zip64_fields():
 
 
 def test_broken_payloads_are_errors():
-    record = warc_zip.warc_record(1, "u", b"abc", hashlib.sha256(b"abc").hexdigest(), 3, None)
+    record = warc_zip.warc_record(1, 0, "u", b"abc", hashlib.sha256(b"abc").hexdigest(), 3, None, None)
     assert warc_zip.parse_record(record)["payload"] == b"abc"
     with pytest.raises(ValueError):
         warc_zip.parse_record(record.replace(b"abc", b"abd"))
@@ -124,7 +125,7 @@ def test_all_archives_and_indexes_are_read(spark, tmp_path):
                 part = warc_zip.Package()
                 for i in (2 * k, 2 * k + 1):
                     payload = f"page {i}".encode()
-                    part.add(warc_zip.warc_record(i, "u", payload, hashlib.sha256(payload).hexdigest(), len(payload), None), i)
+                    part.add(warc_zip.warc_record(i, 0, "u", payload, hashlib.sha256(payload).hexdigest(), len(payload), None, None), i)
                 out.writestr(archive, part.data.getvalue())
                 if k < covered:
                     lines = [json.dumps({**json.loads(x), "archive": archive}) for x in part.index]
@@ -134,3 +135,37 @@ def test_all_archives_and_indexes_are_read(spark, tmp_path):
     assert sorted((r.page_id, bytes(r.payload)) for r in write("two.zip", 2).collect()) == [(i, f"page {i}".encode()) for i in range(4)]
     with pytest.raises(Exception, match="no index covers archive/b"):
         write("one.zip", 1).collect()
+
+
+def test_record_ids_are_unique(spark, tmp_path):
+    long = "x" * 200
+    rows = [(1, "u", "a"), (1, "u", "b"), (None, "u", "a"), (None, "u", long), (7, "u", long), (3, "u", long), (3, "u", long)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    folder = str(tmp_path / "packages")
+    packages = warc_zip.write_packages(warc_zip.decided(pages, "page_id", "url", "html"), folder)
+    ids, named = [], {}
+    for p in packages.collect():
+        with open(f"{folder}/{p.path}", "rb") as f:
+            for start, length in warc_zip.indexed(_Sized(f)):
+                f.seek(start)
+                head = zlib.decompress(f.read(length), 31).split(b"\r\n\r\n")[0].decode().split("\r\n")
+                fields = dict(line.split(": ", 1) for line in head[1:])
+                ids.append(fields["WARC-Record-ID"])
+                named[ids[-1]] = fields
+    assert len(ids) == len(set(ids)) == len(rows)
+    for fields in named.values():
+        if fields["WARC-Type"] == "revisit":
+            first = named[fields["WARC-Refers-To"]]
+            assert first["WARC-Type"] == "response" and first["X-Page-Id"] == fields["X-Refers-To-Page"] == "3"
+    assert sum(f["WARC-Type"] == "revisit" for f in named.values()) == 2
+
+
+class _Sized:
+    def __init__(self, f):
+        self.f, self.seek, self.read = f, f.seek, f.read
+
+    def size(self):
+        at = self.f.tell()
+        n = self.f.seek(0, 2)
+        self.f.seek(at)
+        return n

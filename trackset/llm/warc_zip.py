@@ -5,8 +5,8 @@ Writing: every task packs its records into packages of about PACKAGE_BYTES. A pa
 stored, so that a record is a byte range of the package. Packages are named by the attempt that writes them, and the
 table of packages that tasks return counts only those of attempts that ended well.
 
-Reading takes all members under archive/ and indexes/; an index line names its archive. The end of each package is searched for its end-of-central-directory record, and its ZIP64 record where sizes
-or counts say so; the central directory names the members; the local header says where a stored member's bytes begin.
+Reading takes all members under archive/ and indexes/; an index line names its archive. The end of each package is
+searched for its end-of-central-directory record, and its ZIP64 record where sizes or counts say so; the central directory names the members; the local header says where a stored member's bytes begin.
 Index lines become byte ranges, which are dealt out to tasks and read without unpacking the package.
 
 Of records with equal payloads of at least LEAST_BYTES, the one with the smallest id is the response and the others
@@ -14,7 +14,8 @@ revisit it, without a payload of their own.
 
 Defined results: a null payload is empty; rows with a null id are written, and are responses only where no id is known;
 all rows that share the smallest id are responses; repeated rows each get a record; an empty table gives an empty
-result; only the named columns are read.
+result; only the named columns are read. Record ids are unique, whatever the page ids; a revisit names the first row of
+its response's id.
 """
 
 from __future__ import annotations
@@ -43,19 +44,20 @@ _NAMES = uuid.UUID("6f1f0f8e-2f4b-4f0a-9a53-5d9b6a3c1a77")
 _END, _END64_AT, _END64, _ENTRY = b"PK\x05\x06", b"PK\x06\x07", b"PK\x06\x06", b"PK\x01\x02"
 
 
-def record_name(page_id: int | None, serial: str = "") -> str:
-    return f"<urn:uuid:{uuid.uuid5(_NAMES, f'{page_id}{serial}')}>"
+def record_name(page_id: int | None, serial: int) -> str:
+    """The id of a record: the page's id and the row's number, since pages may share an id or have none."""
+    return f"<urn:uuid:{uuid.uuid5(_NAMES, f'{page_id}/{serial}')}>"
 
 
 def _one_line(text: str | None) -> str:
     return "".join(c if " " < c < "\x7f" else "".join(f"%{b:02X}" for b in c.encode()) for c in text or "")
 
 
-def warc_record(page_id, url, payload: bytes | None, digest: str, n_bytes: int, refers_to) -> bytes:
-    """One WARC/1.1 record; `payload` is None for a revisit."""
+def warc_record(page_id, serial, url, payload: bytes | None, digest: str, n_bytes: int, refers_to, refers_serial) -> bytes:
+    """One WARC/1.1 record; `payload` is None for a revisit of the record that refers_to and refers_serial name."""
     head = {
         "WARC-Type": "response" if payload is not None else "revisit",
-        "WARC-Record-ID": record_name(page_id),
+        "WARC-Record-ID": record_name(page_id, serial),
         "WARC-Date": "2020-01-01T00:00:00Z",
         "WARC-Target-URI": _one_line(url) or "about:blank",
         "WARC-Payload-Digest": f"sha256:{digest}",
@@ -65,7 +67,7 @@ def warc_record(page_id, url, payload: bytes | None, digest: str, n_bytes: int,
         head["X-Page-Id"] = str(page_id)
     if payload is None:
         head["WARC-Profile"] = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-        head["WARC-Refers-To"] = record_name(refers_to)
+        head["WARC-Refers-To"] = record_name(refers_to, refers_serial)
         head["X-Refers-To-Page"] = str(refers_to)
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {n_bytes}\r\n\r\n".encode()
     block = http + (payload or b"")
@@ -112,32 +114,37 @@ class Package:
         self.index.append(json.dumps({"page_id": page_id, "archive": DATA, "offset": self.data.tell(), "length": len(member)}))
         self.data.write(member)
 
-    def content(self) -> bytes:
-        out = io.BytesIO()
+    def write(self, out) -> None:
+        """To a stream, which need not be able to seek; the records are held once."""
         with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as package:
-            package.writestr(DATA, self.data.getvalue())
+            package.writestr(DATA, self.data.getbuffer())
             package.writestr(INDEX, "\n".join(self.index))
-        return out.getvalue()
 
 
 def decided(pages: DataFrame, id_col: str, url_col: str, payload_col: str) -> DataFrame:
-    """page_id, url, payload (null for revisits), digest, n_bytes, refers_to of every row."""
+    """page_id, serial, url, payload (null for revisits), digest, n_bytes, refers_to, refers_serial of every row."""
     rows = pages.select(
+        F.monotonically_increasing_id().alias("serial"),
         F.col(id_col).cast("long").alias("page_id"),
         F.col(url_col).cast("string").alias("url"),
         common.text_or_empty(payload_col).cast("binary").alias("payload"),
     )
     rows = rows.withColumn("digest", F.sha2("payload", 256)).withColumn("n_bytes", F.octet_length("payload").cast("long"))
-    first = rows.where(F.col("n_bytes") >= LEAST_BYTES).groupBy("digest").agg(F.min("page_id").alias("first"))
+    known = rows.where((F.col("n_bytes") >= LEAST_BYTES) & F.col("page_id").isNotNull())
+    first = known.groupBy("digest").agg(F.min(F.struct("page_id", "serial")).alias("at"))
+    # written, so that the join exchanges both sides and Spark can split the payloads of a frequent digest
+    first = common.materialise(first.select("digest", F.col("at.page_id").alias("first"), F.col("at.serial").alias("first_serial")), "first-pages")
     rows = rows.join(first, "digest", "left")
     revisit = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id"))
     return rows.select(
         "page_id",
+        "serial",
         "url",
         F.when(~revisit, F.col("payload")).alias("payload"),
         "digest",
         "n_bytes",
         F.when(revisit, F.col("first")).alias("refers_to"),
+        F.when(revisit, F.col("first_serial")).alias("refers_serial"),
     )
 
 
@@ -151,13 +158,13 @@ def write_packages(records: DataFrame, folder: str) -> DataFrame:
         def closed(package: Package) -> pa.RecordBatch:
             path = f"{root}/{uuid.uuid4().hex}.zip"
             with files.open_output_stream(path) as out:
-                out.write(package.content())
+                package.write(out)
             return pa.RecordBatch.from_pydict({"path": [path.rpartition("/")[2]], "n_records": [len(package.index)]})
 
         package = Package()
         for batch in batches:
             for row in batch.to_pylist():
-                args = (row[k] for k in ("page_id", "url", "payload", "digest", "n_bytes", "refers_to"))
+                args = (row[k] for k in ("page_id", "serial", "url", "payload", "digest", "n_bytes", "refers_to", "refers_serial"))
                 package.add(warc_record(*args), row["page_id"])
                 if package.data.tell() >= PACKAGE_BYTES:
                     yield closed(package)
