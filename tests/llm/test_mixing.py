@@ -92,3 +92,14 @@ def test_hash_is_md5(spark):
         5: int(hashlib.md5(b"5").hexdigest()[:15], 16),
         None: int(hashlib.md5(b"").hexdigest()[:15], 16),
     }
+
+
+def test_empty_documents_of_a_capped_source_come_as_often_as_it_does(spark):
+    """The target is twice the source's size: nothing is left over, so no document comes a third time."""
+    rng = random.Random(1)
+    rows = [(i, words(rng, 40) if i % 2 else "", "en", "a" if i < 300 else "b") for i in range(400)] + [(900, words(rng, 90_000), "en", "c")]
+    docs = make(spark, rows)
+    found = mixing.mix(docs).collect()
+    assert {r.copies for r in found if r.target == 2 * r.source_size} == {2}
+    check(docs, rows)
+    assert max(r["count"] for r in mixing.mixed_rows(docs.where("source <> 'c'").unionAll(docs.where("source = 'c'"))).groupBy("doc_id").count().collect()) == 2

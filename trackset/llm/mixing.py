@@ -9,7 +9,7 @@ more. Hashes fall into nested buckets: a histogram of words by source and leadin
 remaining budget ends, only that bucket is counted again by the next bits, and so on. Documents are then kept by
 comparing their hash with their source's threshold; nothing is sorted. The last bucket is taken if that comes nearer.
 
-Defined results: null and empty texts have size 0 and are taken as 0 words; a source without words has target 0; rows
+Defined results: null and empty texts have size 0, are taken as 0 words, and come as often as others of their hash; a source without words has target 0; rows
 with equal ids share their fate; null ids share one hash; repeated rows each get a row; an empty table gives an empty
 result; only the named columns are read.
 """
@@ -68,7 +68,8 @@ def thresholds(sized: DataFrame) -> DataFrame:
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     goals = goals.withColumn("passes", passes.cast("long"))
     goals = goals.withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size"))
-    edge = goals.select("source", "rest", F.lit(0).cast("long").alias("base"), F.lit(0).cast("long").alias("bucket"))
+    # what is under half a word is met by taking nothing more
+    edge = goals.where("rest >= 0.5").select("source", "rest", F.lit(0).cast("long").alias("base"), F.lit(0).cast("long").alias("bucket"))
     shift = HASH_BITS
     for bits in LEVELS:
         coarse, shift = shift, shift - bits

@@ -173,7 +173,8 @@ g AS (
   SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS passes FROM t),
 b AS (
   SELECT d.source, d.p, sum(d.size) AS words, any_value(g.target - g.passes * g.source_size) AS rest
-  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source GROUP BY d.source, d.p),
+  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source WHERE g.target - g.passes * g.source_size >= 0.5
+  GROUP BY d.source, d.p),
 c AS (SELECT *, sum(words) OVER (PARTITION BY source ORDER BY p) AS upto FROM b),
 e AS (
   SELECT source, p + CASE WHEN upto - rest < rest - (upto - words) THEN 1 ELSE 0 END AS cut
@@ -202,11 +203,14 @@ ln AS (
 nl AS (
   SELECT k, host, doc_id, translate(array_to_string(lw, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
          'abcdefghijklmnopqrstuvwxyz') AS line, len(lw) AS n FROM ln),
-f AS (SELECT host, line, count(DISTINCT doc_id) AS n_docs, min(doc_id) AS first_id FROM nl GROUP BY host, line),
-h AS (SELECT host, count(DISTINCT doc_id) AS n FROM d GROUP BY host),
+b AS (
+  SELECT d.k, len(ws) < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * len(ws) AS failed FROM d LEFT JOIN rep USING (k)),
+f AS (
+  SELECT host, line, count(DISTINCT doc_id) AS n_docs, min(doc_id) FILTER (NOT failed) AS first_id
+  FROM nl JOIN b USING (k) GROUP BY host, line),
 lost AS (
-  SELECT nl.k, sum(nl.n) AS n_lost FROM nl JOIN f USING (host, line) JOIN h USING (host)
-  WHERE f.n_docs > greatest(20, h.n * 0.01) AND nl.doc_id <> f.first_id GROUP BY nl.k),
+  SELECT nl.k, sum(nl.n) AS n_lost FROM nl JOIN f USING (host, line)
+  WHERE f.n_docs > 20 AND nl.doc_id IS DISTINCT FROM f.first_id GROUP BY nl.k),
 m AS (
   SELECT d.k, doc_id, CAST(len(ws) AS BIGINT) AS n_words,
          CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
@@ -214,7 +218,7 @@ m AS (
          CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
          CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, coalesce(n_lost, 0) AS n_lost
   FROM d LEFT JOIN rep USING (k) LEFT JOIN lost ON lost.k = d.k)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, CAST(n_lost AS BIGINT) AS n_lost,
        (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * (n_words - n_lost) >= 30 * n_words AS kept
 FROM m
