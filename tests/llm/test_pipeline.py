@@ -2,7 +2,6 @@
 
 import hashlib
 import random
-import re
 
 import public_tokenizers
 import pytest
@@ -34,32 +33,47 @@ def rows():
 
 def brute_quality(rows):
     kept = {r[0] for r in test_line_quality.brute(rows) if r[-1]}
-    lower = lambda s: re.sub("[A-Z]", lambda m: m[0].lower(), s)
-    ids, first, hosts = {}, {}, {}
-    for i, t, _, s in rows:
-        hosts.setdefault(s or "", set()).add(i)
-        for ln in (t or "").split("\n"):
-            if ws := test_line_quality.WORD.findall(ln):
-                key = (s or "", lower(" ".join(ws)))
-                ids.setdefault(key, set()).add(i)
-                first[key] = min(i, first.get(key, i))
+    holders, first = test_line_quality.holders(rows)
     out = []
     for i, t, la, s in rows:
         if i in kept:
             lines = []
             for ln in t.split("\n"):
-                ws = test_line_quality.WORD.findall(ln)
-                key = (s or "", lower(" ".join(ws)))
-                most = max(line_quality.LEAST_DOCUMENTS, line_quality.SHARE * len(hosts[s or ""]))
-                if not ws or len(ids[key]) <= most or first[key] == i:
+                key = test_line_quality.line_key(s, ln)
+                if not key[1] or len(holders[key]) <= line_quality.MOST_DOCUMENTS or first.get(key) == i:
                     lines.append(ln)
             out.append((i, "\n".join(lines), la, s))
     return out
 
 
+def shingles(text):
+    ws = (text or "").encode().lower().split()
+    return {tuple(ws[i : i + 5]) for i in range(max(1, len(ws) - 4))} if ws else set()
+
+
+def first_of_components(rows):
+    """Ids that stay: of each component over similarity 0.8 of five-word shingles the smallest."""
+    sets, root = [shingles(r[1]) for r in rows], list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if rows[i][1] == rows[j][1] or 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                root[find(i)] = find(j)
+    low = {}
+    for i, r in enumerate(rows):
+        if r[0] is not None:
+            low[find(i)] = min(r[0], low.get(find(i), r[0]))
+    return sorted({r[0] for i, r in enumerate(rows) if r[0] is not None and low[find(i)] == r[0]})
+
+
 def brute_near(rows):
-    fps = [(i, test_simhash.brute_fingerprint(t)) for i, t, *_ in rows]
-    return [r for r, c in zip(rows, test_simhash.brute_components(fps)) if r[0] == c]
+    kept = set(first_of_components(rows))
+    return [r for r in rows if r[0] in kept]
 
 
 def brute_passages(rows):

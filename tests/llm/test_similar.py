@@ -5,34 +5,8 @@ import pytest
 import corpus_pipeline
 from trackset.llm import similar
 
-from . import test_pipeline
 from .conftest import make, words
-from .test_pipeline import rows  # noqa: F401
-
-
-def shingles(text):
-    ws = (text or "").encode().lower().split()
-    return {tuple(ws[i : i + 5]) for i in range(max(1, len(ws) - 4))} if ws else set()
-
-
-def brute(rows):
-    """Rows that stay: of each component over similarity 0.8 the smallest id, and rows without an id."""
-    sets, root = [shingles(r[1]) for r in rows], list(range(len(rows)))
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for i in range(len(rows)):
-        for j in range(i):
-            if rows[i][1] == rows[j][1] or 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
-                root[find(i)] = find(j)
-    low = {}
-    for i, r in enumerate(rows):
-        if r[0] is not None:
-            low[find(i)] = min(r[0], low.get(find(i), r[0]))
-    return sorted({r[0] for i, r in enumerate(rows) if r[0] is not None and low[find(i)] == r[0]})
+from .test_pipeline import first_of_components as brute
 
 
 @pytest.fixture(scope="module")
@@ -61,12 +35,3 @@ def test_crowds_without_a_sample_and_odd_rows(spark, near_rows, edge_docs, edge_
     for docs, rows in ((make(spark, near_rows), near_rows), (edge_docs, edge_rows), (corpus, corpus_rows)):
         found = {r.doc_id for r in similar.one_of_each(docs).select("doc_id").collect()}
         assert sorted(found - {None}) == brute(rows)
-
-
-def test_all_stages_with_this_rule(spark, tmp_path, rows, monkeypatch):
-    def near(rows):
-        kept = set(brute(rows))
-        return [r for r in rows if r[0] in kept]
-
-    monkeypatch.setattr(test_pipeline, "brute_near", near)
-    test_pipeline.test_stages_and_run(spark, tmp_path, rows)
