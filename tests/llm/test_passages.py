@@ -87,12 +87,12 @@ def test_automata_by_shard_locate_all(spark, corpus, corpus_rows, monkeypatch):
     monkeypatch.setattr(passages, "SHARD_BYTES", 3000)
     assert got(passages.remove_repeats(corpus)) == brute(corpus_rows)
     texts = spark.createDataFrame([(i, i, f"{words(random.Random(1), 24, 9999)} x{i}") for i in range(50)], "node long, first_id long, text string")
-    held = passages.recurring_windows(texts)  # words 1 to 24 make 5 windows
-    assert held.select("key1", "key2").distinct().count() == 5 and held.count() == 250
-    (row,) = passages.passages(passages.first_places(held), texts).collect()
-    assert (row.node, row.low, row.starts, row.words.count(b" ")) == (0, 0, [0, 1, 2, 3, 4], 23)
-    sent = passages.sharded(texts.withColumn("cls", F.lit(b"c")), held)
-    # a pattern of all documents goes to each shard once
+    found, first = passages.confirmed(texts)  # words 1 to 24 make 5 windows
+    assert first.count() == 5 and found.where("pos < 5").count() == 250
+    (row,) = passages.passages(first, texts).collect()
+    assert (row.at, row.low, row.start, row.starts, row.words.count(b" ")) == (0, 0, 0, [0, 1, 2, 3, 4], 23) and row.anchors
+    sent = passages.sharded(texts.withColumn("cls", F.lit(b"c")), found, first)
+    # a passage of all documents goes to each shard once
     assert sent.where("NOT is_text").count() == sent.where("is_text").select("shard").distinct().count()
 
 

@@ -5,17 +5,18 @@ A window is 20 consecutive words of one document. The steps, each over all docum
 1. Copies of a whole text are merged; all but the first (smallest id) are repeats as a whole.
 2. Phrases: of the runs of PHRASE words in each window, the one with the least hash is chosen. Equal windows choose equal
    phrases. Phrases that are chosen more than once are counted by hash.
-3. Confirmation: the windows whose chosen phrase recurs are keyed by two independent 64-bit hashes of their words, and
-   counted. Windows that recur are the patterns; their words are read from their first documents (smallest id), where
-   patterns that start near each other form a passage.
-4. Routing: documents are dealt into shards of about SHARD_BYTES by number, and each shard gets every passage of whose
-   patterns one of its documents holds a key, once. A pattern of many documents goes to every shard at most, so it
+3. Confirmation: the windows whose chosen phrase recurs are keyed by two independent 64-bit hashes of their words and
+   counted. Those that recur are read from their first documents (smallest id), where windows that start near each
+   other form a passage; the phrases that they choose there are the patterns.
+4. Routing: documents are dealt into shards of about SHARD_BYTES by number, and each shard gets every passage of which
+   one of its documents holds a window by key, once. A passage of many documents goes to every shard at most, so it
    crowds none.
-5. Each shard's patterns are compiled into one Aho-Corasick automaton over word numbers, and all documents of the shard
-   are streamed through it. The automaton alone locates occurrences, by comparing words; keys have no say in that. An
-   occurrence is removed if its pattern starts in an earlier document, or has been met before in the same one.
+5. Each shard's phrases are compiled into one Aho-Corasick automaton over word numbers, and all documents of the shard
+   are streamed through it. The automaton alone locates occurrences; keys have no say in that. From each phrase that is
+   met, the passage is followed word by word in both directions, and what agrees over a window or more is a repeat if
+   the passage's document is an earlier one, or if the window has been met before in the same document.
 
-Unequal windows with one key could cost at most a removal, never a word: what is removed equals its pattern in all words.
+Unequal windows with one key could cost at most a removal, never a word: what is removed equals its passage in all words.
 That needs 128 bits of two hashes to agree.
 
 Ids order documents; null ids come last. Documents with equal ids but different texts don't count as earlier than
@@ -49,7 +50,8 @@ _NEVER = np.uint64(0)
 #: Words of a document that pass through an automaton at once.
 _STRETCH = 200_000
 _DEAL = 2_000_000
-_DIGIT, _UNKNOWN = 256, (1 << 30, 1 << 30)
+#: Values of a digit of a word's number, and the number of all words that no passage has.
+_DIGIT, _UNKNOWN = 256, (1 << 30) - 1
 
 
 def _numbered(column, seeds: tuple[int, ...] = (0,)):
@@ -97,8 +99,8 @@ def phrases(texts: DataFrame) -> DataFrame:
 
 
 def windows(texts: DataFrame) -> DataFrame:
-    """Of texts (node, first_id, text, phrases: first words of recurring phrases), the windows that choose one of them:
-    key1, key2, id, node, pos."""
+    """Of texts (node, first_id, text, phrases: first words of recurring phrases), the windows that choose one of them,
+    each once: key1, key2, id, node, pos (where it starts first), times (that it comes in the text)."""
 
     def run(batches):
         for batch in batches:
@@ -112,9 +114,16 @@ def windows(texts: DataFrame) -> DataFrame:
             recurring = np.full(len(phrase), np.iinfo("u8").max, "u8")
             recurring[marks] = phrase[marks]
             at = np.flatnonzero((sliding(recurring, _CHOICES, np.minimum) == least) & inside)
+            if not len(at):
+                continue
             key1, key2 = runs_of_words(h, WINDOW, 1)[at], runs_of_words(g, WINDOW, 2)[at]
-            for i in range(0, len(at), _DEAL):
-                part = slice(i, i + _DEAL)
+            order = np.lexsort((at, key2, key1, row[at]))
+            k1, k2, r = key1[order], key2[order], row[at][order]
+            fresh = np.flatnonzero(np.concatenate(([True], (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]) | (r[1:] != r[:-1]))))
+            times = np.diff(np.append(fresh, len(order)))
+            kept = order[fresh]
+            for i in range(0, len(kept), _DEAL):
+                part = kept[i : i + _DEAL]
                 where = pa.array(row[at[part]])
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -123,17 +132,18 @@ def windows(texts: DataFrame) -> DataFrame:
                         batch.column(1).take(where),
                         batch.column(0).take(where),
                         pa.array((at[part] - first[row[at[part]]]).astype("i4")),
+                        pa.array(times[i : i + _DEAL].astype("i4")),
                     ],
-                    ["key1", "key2", "id", "node", "pos"],
+                    ["key1", "key2", "id", "node", "pos", "times"],
                 )
 
     rows = texts.select("node", "first_id", F.col("text").cast("binary"), "phrases")
-    return common.map_arrow(rows, run, "key1 long, key2 long, id long, node long, pos int")
+    return common.map_arrow(rows, run, "key1 long, key2 long, id long, node long, pos int, times int")
 
 
-def recurring_windows(texts: DataFrame) -> DataFrame:
-    """key1, key2, low (the first id that has it), node of every window that comes twice or more, and pos (its first word)
-    where the document is a first one."""
+def confirmed(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The windows that choose a recurring phrase, and of those that come twice or more: key1, key2, low (the first id
+    that has it), at (that document's number), pos."""
     chosen = common.materialise(phrases(texts), "phrases")
     # written, so that the join exchanges both sides and Spark can split a frequent phrase
     often = chosen.groupBy("phrase").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("phrase")
@@ -143,102 +153,131 @@ def recurring_windows(texts: DataFrame) -> DataFrame:
     common.discard(chosen, often)
     found = common.materialise(windows(texts.join(marks, "node")), "windows")
     common.discard(marks)
-    low = found.groupBy("key1", "key2").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    low = common.materialise(low.select("key1", "key2", "low"), "first-windows")
-    held = found.join(low, ["key1", "key2"])
-    held = held.select("key1", "key2", "low", "node", F.when(F.col("id") == F.col("low"), F.col("pos")).alias("pos"))
-    held = common.materialise(held, "recurring-windows")
-    common.discard(found, low)
-    return held
-
-
-def first_places(held: DataFrame) -> DataFrame:
-    """key1, key2, low, node, block, pos: where one of its first documents has each recurring window."""
-    at = F.min(F.struct("node", "pos")).alias("at")
-    one = held.where("pos IS NOT NULL").groupBy("key1", "key2").agg(F.min("low").alias("low"), at)
-    return one.select("key1", "key2", "low", "at.node", F.floor(F.col("at.pos") / BLOCK).cast("int").alias("block"), "at.pos")
+    first = found.groupBy("key1", "key2").agg(
+        F.sum("times").alias("n"), F.min("id").alias("low"), F.min_by("node", "id").alias("at"), F.min_by("pos", "id").alias("pos")
+    )
+    return found, common.materialise(first.where("n > 1").drop("n"), "first-windows")
 
 
-def passages(places: DataFrame, texts: DataFrame) -> DataFrame:
-    """node, block, low, words (joined by spaces), starts: the patterns of each block of a first document."""
+def passages(first: DataFrame, texts: DataFrame) -> DataFrame:
+    """at, block, low, words (joined by spaces), start (of the first word), starts (of windows) and anchors (of the phrases
+    that they choose), both from `start` on: the recurring windows of each block of a first document."""
+    schema = "at long, block int, low long, words binary, start int, starts array<int>, anchors array<int>"
+    names = [x.split()[0] for x in schema.split(", ")]
+    list_of = pa.list_(pa.int32())
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int32(), list_of, list_of)
 
     def run(batches):
-        names = ("node", "block", "low", "words", "starts")
         for batch in batches:
+            (h,), _, first = _numbered(batch.column(1))
+            phrase = runs_of_words(h, PHRASE)
             out: dict[str, list] = {n: [] for n in names}
-            for node, raw, low, wanted in zip(*(c.to_pylist() for c in batch.columns)):
-                split, blocks = raw.split(), {}
-                for pos in sorted(wanted):
-                    blocks.setdefault(pos // BLOCK, []).append(pos)
-                for block, at in blocks.items():
-                    body = b" ".join(split[at[0] : at[-1] + WINDOW])
-                    for name, value in zip(names, (node, block, low, body, [p - at[0] for p in at])):
+            for k, (node, raw, low, wanted) in enumerate(zip(*(c.to_pylist() for c in batch.columns))):
+                split, pos = raw.split(), np.sort(np.array(wanted))
+                least = phrase[first[k] + pos[:, None] + np.arange(_CHOICES)].argmin(axis=1) + pos
+                block = pos // BLOCK
+                for cut in np.split(np.arange(len(pos)), np.flatnonzero(np.diff(block)) + 1):
+                    own = pos[cut]
+                    body = b" ".join(split[own[0] : own[-1] + WINDOW])
+                    row = (node, block[cut[0]], low, body, own[0], own - own[0], np.unique(least[cut]) - own[0])
+                    for name, value in zip(names, row):
                         out[name].append(value)
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds)], list(out))
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds)], names)
 
-    wanted = places.groupBy("node").agg(F.min("low").alias("low"), F.collect_list("pos").alias("wanted"))
+    wanted = first.groupBy(F.col("at").alias("node")).agg(F.min("low").alias("low"), F.collect_list("pos").alias("wanted"))
     rows = texts.join(wanted, "node").select("node", F.col("text").cast("binary"), "low", "wanted")
-    return common.map_arrow(rows, run, "node long, block int, low long, words binary, starts array<int>")
+    return common.map_arrow(rows, run, schema)
 
 
 class Automaton:
-    """Finds windows of word numbers; each has the smallest id that it starts in.
+    """Finds phrases of word numbers, and follows the passages that they are from.
 
     A word is two symbols, the digits of its number, so that no state has more children than a digit has values: the
     library looks through them one by one."""
 
     def __init__(self):
-        self.words: dict[bytes, tuple[int, int]] = {}
+        self.words: dict[bytes, int] = {}
         self.found = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-
-    def add(self, passage: list[bytes], starts: list[int], first_id: int) -> None:
-        n, found, symbols = self.words, self.found, []
-        for w in passage:
-            if w not in n:
-                n[w] = len(n) % _DIGIT, _DIGIT + len(n) // _DIGIT
-            symbols += n[w]
-        known = tuple(symbols)
-        for s in starts:
-            found.add_word(known[2 * s : 2 * (s + WINDOW)], (len(found), first_id))
-
-    def covered(self, text: list[bytes], own_id: int) -> np.ndarray:
-        """Which words lie in an occurrence that is not the first."""
+        #: Of each passage its words, window starts, document's number and id, and place there.
+        self.passages: list[tuple[list[int], set[int], int, int, int]] = []
+
+    def add(self, passage: list[bytes], starts: list[int], anchors: list[int], node: int, first_id: int, start: int) -> None:
+        numbers = [self.words.setdefault(w, len(self.words)) for w in passage]
+        symbols = tuple(chain.from_iterable((n % _DIGIT, _DIGIT + n // _DIGIT) for n in numbers))
+        for a in anchors:
+            key = symbols[2 * a : 2 * (a + PHRASE)]
+            places = self.found.get(key, None)
+            if places is None:
+                self.found.add_word(key, [(len(self.passages), a)])
+            else:
+                places.append((len(self.passages), a))
+        self.passages.append((numbers, set(starts), node, first_id, start))
+
+    def covered(self, text: list[bytes], node: int, own_id: int) -> np.ndarray:
+        """Which words lie in a window that starts earlier: in an earlier document, or earlier here."""
         edges = np.zeros(len(text) + 1, "i4")
         if self.words:
-            if self.found.kind == ahocorasick.TRIE:  # once, when all patterns are in
+            if self.found.kind == ahocorasick.TRIE:  # once, when all phrases are in
                 self.found.make_automaton()
-            met, symbols = set(), self.words.get
+            number = self.words.get
+            numbers = [number(w, _UNKNOWN) for w in text]
+            own, done = [], {}
             for at in range(0, len(text), _STRETCH):
-                low = max(0, at - WINDOW + 1)
-                part = tuple(chain.from_iterable([symbols(w, _UNKNOWN) for w in text[low : at + _STRETCH]]))
-                for end, (i, first_id) in self.found.iter(part):
-                    if first_id < own_id or i in met:
-                        edges[low + end // 2 - WINDOW + 1] += 1
-                        edges[low + end // 2 + 1] -= 1
-                    met.add(i)
+                low = max(0, at - PHRASE + 1)
+                part = tuple(chain.from_iterable([(n % _DIGIT, _DIGIT + n // _DIGIT) for n in numbers[low : at + _STRETCH]]))
+                for end, places in self.found.iter(part):
+                    here = low + end // 2 - PHRASE + 1
+                    for k, a in places:
+                        passage, starts, first_node, first_id, start = self.passages[k]
+                        shift = here - a
+                        # met at this alignment before, or the passage itself
+                        if done.get((k, shift), 0) > here or first_node == node and shift == start:
+                            continue
+                        i, j = a, a + PHRASE
+                        while i and i + shift and passage[i - 1] == numbers[i - 1 + shift]:
+                            i -= 1
+                        most = min(len(passage), len(numbers) - shift)
+                        while j < most and passage[j] == numbers[j + shift]:
+                            j += 1
+                        done[k, shift] = j + shift
+                        if j - i >= WINDOW:
+                            if first_id < own_id:
+                                edges[i + shift] += 1
+                                edges[j + shift] -= 1
+                            elif first_id == own_id:
+                                own += [(s + shift, k, s, first_node == node) for s in range(i, j - WINDOW + 1) if s in starts]
+            # of windows that are known from this id alone the first one here stays, unless it is in the passage itself
+            met = set()
+            for at, k, s, itself in sorted(own):
+                if itself or (k, s) in met:
+                    edges[at] += 1
+                    edges[at + WINDOW] -= 1
+                met.add((k, s))
         return np.cumsum(edges[:-1]) > 0
 
 
-def sharded(texts: DataFrame, held: DataFrame) -> DataFrame:
-    """shard, is_text, cls, id, body, starts: the passages of each shard (low, words and their patterns' starts) before its
-    documents (first_id and text), a shard's rows together and in this order."""
+def sharded(texts: DataFrame, found: DataFrame, first: DataFrame) -> DataFrame:
+    """shard, is_text, cls, node, id, body, start, starts, anchors: the passages of each shard before its documents
+    (number, first_id and text), a shard's rows together and in this order."""
     spark = texts.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = parts * max(1, -(-size // (parts * SHARD_BYTES)))
-    shard = F.pmod(F.xxhash64("node"), F.lit(count)).cast("int").alias("shard")
-    places = common.materialise(first_places(held), "first-places")
-    known = common.materialise(passages(places, texts), "passages")
-    routes = held.select("key1", "key2", shard).distinct().join(places.select("key1", "key2", "node", "block"), ["key1", "key2"])
-    routes = common.materialise(routes.select("shard", "node", "block").distinct(), "routes")
-    common.discard(held, places)
-    sent = routes.join(known, ["node", "block"]).select(
-        "shard", F.lit(False).alias("is_text"), F.lit(None).cast("binary").alias("cls"), F.col("low").alias("id"), F.col("words").alias("body"), "starts"
-    )
+    shard = lambda node: F.pmod(F.xxhash64(node), F.lit(count)).cast("int").alias("shard")
+    known = common.materialise(passages(first, texts), "passages")
+    block = F.floor(F.col("f.pos") / BLOCK).cast("int").alias("block")
+    held = found.alias("w").join(first.alias("f"), ["key1", "key2"]).where("w.node <> f.at OR w.times > 1")
+    routes = common.materialise(held.select(shard("w.node"), "f.at", block).distinct(), "routes")
+    common.discard(found, first)
+    sent = routes.join(known, ["at", "block"]).select(
+        "shard", F.lit(False).alias("is_text"), F.lit(None).cast("binary").alias("cls"), F.col("at").alias("node"), F.col("low").alias("id"),
+        F.col("words").alias("body"), "start", "starts", "anchors",
+    )
+    none = lambda name, kind: F.lit(None).cast(kind).alias(name)
     docs = texts.select(
-        shard, F.lit(True).alias("is_text"), "cls", F.col("first_id").alias("id"), F.col("text").cast("binary").alias("body"), F.lit(None).cast("array<int>").alias("starts")
-    )
+        shard("node"), F.lit(True).alias("is_text"), "cls", "node", F.col("first_id").alias("id"), F.col("text").cast("binary").alias("body"),
+        none("start", "int"), none("starts", "array<int>"), none("anchors", "array<int>"),
+    )
     return sent.unionAll(docs).repartitionById(parts, F.pmod("shard", F.lit(parts)).cast("int")).sortWithinPartitions("shard", "is_text")
 
 
@@ -249,14 +288,14 @@ def removed(rows: DataFrame, want_text: bool) -> DataFrame:
         at, machine = None, Automaton()
         for batch in batches:
             out: dict[str, list] = {"cls": [], "first_id": [], "n_words": [], "n_removed": [], "kept_sha256": [], "kept": []}
-            for shard, is_text, cls, own, body, starts in zip(*(c.to_pylist() for c in batch.columns)):
+            for shard, is_text, cls, node, own, body, start, starts, anchors in zip(*(c.to_pylist() for c in batch.columns)):
                 if shard != at:
                     at, machine = shard, Automaton()
                 if not is_text:
-                    machine.add(body.split(b" "), starts, own)
+                    machine.add(body.split(b" "), starts, anchors, node, own, start)
                     continue
                 text = body.split()
-                gone = machine.covered(text, own)
+                gone = machine.covered(text, node, own)
                 n = int(gone.sum())
                 left = b" ".join([text[i] for i in np.flatnonzero(~gone)] if n else text)
                 kept = (left if n else body).decode() if want_text else None
@@ -278,7 +317,7 @@ def remove_repeats(
         "cls", F.coalesce("first_id", F.lit(_NO_ID)).alias("first_id"), "text"
     )
     texts = common.materialise(texts.withColumn("node", F.monotonically_increasing_id()), "texts")
-    results = removed(sharded(texts, recurring_windows(texts)), want_text)
+    results = removed(sharded(texts, *confirmed(texts)), want_text)
     rows = docs.select(
         F.struct(*[F.col(c) for c in docs.columns if c != text_col]).alias("row"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("id"),
