@@ -71,5 +71,9 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.read_table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = common.materialise(stage(spark, docs, sf_dir), "stage")
+        before = docs
+        with common.freed_after(spark) as kept:  # what a stage has written for itself goes when its result is written
+            docs = common.materialise(stage(spark, before, sf_dir), "stage")
+            kept.append(docs)
+        common.discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
