@@ -52,8 +52,6 @@ class Merge:
 
 @dataclass(frozen=True)
 class Settings:
-    width: int = 64
-    height: int = 48
     max_objects: int = 16
     max_anchors: int = 16
     max_gap: int = 60

@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FILLS = ("tid long", "fid long", "source string", "n_flags long", "gap_lo long", "gap_hi long")
+ANCHORS = ("tid long", "fid long", "is_ref boolean", "fill string", "n_flags long", "gap_lo long", "gap_hi long")
 
 
 def fill_object(lo: int, hi: int, kept: list[int], boxed: dict[int, int | None], max_gap: int, any_box: bool) -> list[tuple]:
@@ -38,18 +38,17 @@ def fill_object(lo: int, hi: int, kept: list[int], boxed: dict[int, int | None],
     return out
 
 
-def gap_fills(keyframes: DataFrame, records: DataFrame, max_gap: int, any_box: bool) -> DataFrame:
-    """Fills for every object with anchors.
+def anchored(rows: DataFrame, max_gap: int, any_box: bool) -> DataFrame:
+    """vid, tid, fid, is_ref, fill (null: kept anyway; human or tracker: added to close a gap), n_flags, gap_lo, gap_hi of
+    every anchor.
 
-    `records` are the boxes in span (with lo, hi), `keyframes` the human ones with n_flags and kept (it is an anchor). A
-    row of an object holds frame numbers only, at most one for each frame of its video.
+    `rows` are the boxes in span (with lo, hi), with n_flags (null if a tracker drew the box), kept and is_ref. A row of an
+    object holds frame numbers only, at most one for each frame of its video.
     """
-    keys = ["vid", "tid", "fid"]
-    flags = keyframes.select(*keys, F.col("n_flags").cast("long").alias("n_flags"), "kept")
-    boxes = records.select(*keys, "lo", "hi").join(flags, keys, "left")
-    boxes = boxes.groupBy("vid", "tid", "lo", "hi").agg(
-        F.collect_list(F.struct("fid", "n_flags")).alias("boxed"),
+    boxes = rows.groupBy("vid", "tid", "lo", "hi").agg(
+        F.collect_list(F.struct("fid", F.col("n_flags").cast("long").alias("n_flags"))).alias("boxed"),
         F.collect_list(F.when(F.col("kept"), F.col("fid"))).alias("kept"),
+        F.min(F.when(F.col("is_ref"), F.col("fid"))).alias("ref"),
     )
 
     def run(batches):
@@ -58,20 +57,24 @@ def gap_fills(keyframes: DataFrame, records: DataFrame, max_gap: int, any_box: b
             for r in batch.to_pylist():
                 boxed = {x["fid"]: x["n_flags"] for x in r["boxed"]}
                 found = fill_object(r["lo"], r["hi"], r["kept"], boxed, max_gap, any_box)
-                out += [(r["vid"], r["tid"], *x) for x in found]
-            names = ["vid", *(x.split()[0] for x in FILLS)]
+                out += [(r["vid"], r["tid"], f, f == r["ref"], None, None, None, None) for f in r["kept"]]
+                out += [(r["vid"], r["tid"], f, False, *more) for f, *more in found]
+            names = ["vid", *(x.split()[0] for x in ANCHORS)]
             cols = list(zip(*out)) or [()] * len(names)
-            kinds = [batch.schema.field("vid").type, *(pa.string() if "string" in x else pa.int64() for x in FILLS)]
+            of = {"string": pa.string(), "boolean": pa.bool_(), "long": pa.int64()}
+            kinds = [batch.schema.field("vid").type, *(of[x.split()[1]] for x in ANCHORS)]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
 
     kind = boxes.schema["vid"].dataType.simpleString()
-    return boxes.mapInArrow(run, ", ".join((f"vid {kind}", *FILLS)))
+    return boxes.mapInArrow(run, ", ".join((f"vid {kind}", *ANCHORS)))
 
 
 def human_gap(plan, any_box: bool | None = None) -> DataFrame:
-    """Fills under the plain rule: every human keyframe counts as clean."""
+    """Anchors under the plain rule: every human keyframe counts as clean."""
     from trackset.operators import planning
 
     s = plan.settings
-    clean = planning.chosen(plan.measured, F.lit(True), s.max_anchors).withColumn("n_flags", F.lit(0))
-    return gap_fills(clean, plan.records, s.max_gap, (s.gap_fill == "any") if any_box is None else any_box)
+    human = planning.is_human()
+    rows = planning.chosen(planning.in_span(plan.tracks("max_iou")), human, s.max_anchors)
+    rows = rows.withColumn("n_flags", F.when(human, 0))
+    return anchored(rows, s.max_gap, (s.gap_fill == "any") if any_box is None else any_box)

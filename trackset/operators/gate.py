@@ -12,38 +12,38 @@ from trackset.operators import coverage, planning
 OBJECT = ("vid", "tid")
 
 
-def motion(boxes: DataFrame) -> DataFrame:
-    """vid, tid, fid, motion: mean centre displacement per frame to the boxes before and after, in box diagonals.
+def with_motion(boxes: DataFrame) -> DataFrame:
+    """Adds motion: mean centre displacement per frame to the boxes before and after, in box diagonals.
 
     Over all boxes of an object, not only its keyframes; null for a lone box.
     """
     x, y = geometry.centre()
     own = Window.partitionBy(*OBJECT).orderBy("fid")
-    rows = boxes.select("vid", "tid", "fid", x.alias("x"), y.alias("y"), geometry.diagonal().alias("d"))
 
     def speed(step) -> Column:
-        far = F.hypot(F.col("x") - step("x"), F.col("y") - step("y"))
-        return far / (F.abs(F.col("fid") - step("fid")) * F.col("d"))
+        far = F.hypot(x - step(x), y - step(y))
+        return far / (F.abs(F.col("fid") - step(F.col("fid"))) * geometry.diagonal())
 
-    before, after = speed(lambda c: F.lag(c).over(own)), speed(lambda c: F.lead(c).over(own))
-    rows = rows.withColumn("before", before).withColumn("after", after)
-    both = (F.col("before") + F.col("after")) / 2
-    return rows.select("vid", "tid", "fid", F.coalesce(both, "before", "after").alias("motion"))
+    rows = boxes.withColumn("before", speed(lambda c: F.lag(c).over(own))).withColumn("after", speed(lambda c: F.lead(c).over(own)))
+    motion = F.coalesce((F.col("before") + F.col("after")) / 2, "before", "after")
+    return rows.withColumn("motion", motion).drop("before", "after")
 
 
-def metrics(keyframes: DataFrame, boxes: DataFrame, settings: Settings) -> DataFrame:
-    """Keyframes with edge, overlap, motion, rel_size, their medians, and flags (in a fixed order).
+def metrics(boxes: DataFrame, settings: Settings) -> DataFrame:
+    """Boxes in span with edge, motion, rel_size, medians over their object's keyframes, and the flags (in a fixed order)
+    and n_flags of keyframes, null for other boxes.
 
-    `keyframes` may have a `blur` score; without one the blur flag is never set.
+    `boxes` are tracks with max_iou and overlap; they may have a `blur` score, without which the blur flag is never set.
     """
     g = settings.gate
-    rows = planning.others(keyframes, boxes, overlap=geometry.covered("a.", "b."), max_iou=geometry.iou("a.", "b."))
+    rows = planning.in_span(with_motion(boxes))
     if "blur" not in rows.columns:
-        rows = rows.withColumn("blur", F.lit(None).cast("double"))
-    rows = rows.join(motion(boxes), ["vid", "tid", "fid"]).withColumn("area", geometry.area().cast("double"))
+        rows = rows.withColumn("blur", F.lit(None))
+    rows = rows.withColumn("blur", F.col("blur").cast("double")).withColumn("area", geometry.area().cast("double"))
+    rows = rows.withColumn("human", planning.is_human())
     for name in ("area", "overlap", "blur"):
-        rows = rows.withColumn(f"mid_{name}", F.median(name).over(Window.partitionBy(*OBJECT)))
-    rows = rows.withColumn("edge", geometry.edge_touches(settings.width, settings.height, g.edge_tol))
+        rows = rows.withColumn(f"mid_{name}", F.median(F.when(F.col("human"), F.col(name))).over(Window.partitionBy(*OBJECT)))
+    rows = rows.withColumn("edge", geometry.edge_touches(F.col("width"), F.col("height"), g.edge_tol))
     rows = rows.withColumn("rel_size", F.col("area") / F.col("mid_area"))
     tests = {
         "edge": (F.col("edge") > g.edge_touches) | ((F.col("edge") > 0) & (F.col("rel_size") < g.edge_size)),
@@ -54,7 +54,8 @@ def metrics(keyframes: DataFrame, boxes: DataFrame, settings: Settings) -> DataF
         "blur": F.coalesce((F.col("blur") < g.blur_least) | (F.col("blur") < g.blur_of_median * F.col("mid_blur")), F.lit(False)),
     }
     flags = F.array_compact(F.array(*(F.when(t, F.lit(name)) for name, t in tests.items())))
-    return rows.withColumn("flags", flags).withColumn("n_flags", F.size(flags).cast("long"))
+    rows = rows.withColumn("flags", F.when(F.col("human"), flags))
+    return rows.withColumn("n_flags", F.when(F.col("human"), F.size("flags")).cast("long"))
 
 
 def candidate(fallback: str) -> Column:
@@ -64,26 +65,42 @@ def candidate(fallback: str) -> Column:
     return F.col("n_flags") == F.min("n_flags").over(Window.partitionBy(*OBJECT))
 
 
-def gated(plan, keyframes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The flagged keyframes, and (vid, tid, fid, is_ref) the anchors that the gate leaves, gap fills included."""
+def flagged(plan) -> DataFrame:
+    """Boxes in span with flags, candidate, is_ref and kept (span edges that are kept anyway included)."""
     s = plan.settings
-    flagged = metrics(keyframes, plan.boxes, s)
-    flagged = planning.chosen(flagged, candidate(s.fallback), s.max_anchors)
+    rows = planning.chosen(metrics(plan.tracks("max_iou", "overlap"), s), candidate(s.fallback), s.max_anchors)
     if s.gate.keep_span_edges:
         own = Window.partitionBy(*OBJECT)
-        end = (F.col("fid") == F.min("fid").over(own)) | (F.col("fid") == F.max("fid").over(own))
-        flagged = flagged.withColumn("kept", F.col("kept") | (end & (F.col("n") > 0)))
-    fills = coverage.gap_fills(flagged, plan.records, s.max_gap, s.gap_fill == "any")
-    kept = flagged.where("kept").select("vid", "tid", "fid", "is_ref")
-    return flagged, kept.unionByName(fills.select("vid", "tid", "fid", F.lit(False).alias("is_ref")))
+        fid = F.when(F.col("human"), F.col("fid"))
+        end = F.col("human") & ((F.col("fid") == F.min(fid).over(own)) | (F.col("fid") == F.max(fid).over(own)))
+        rows = rows.withColumn("kept", F.col("kept") | (end & (F.col("n") > 0)))
+    return rows
+
+
+def anchors(plan) -> DataFrame:
+    """The anchors that the gate leaves, gap fills included (as of coverage.anchored)."""
+    s = plan.settings
+    return coverage.anchored(flagged(plan), s.max_gap, s.gap_fill == "any")
+
+
+def refusals(plan) -> DataFrame:
+    """vid, tid, reason: no_human_keyframe, or, under the fallback `refuse`, no_hq_anchor where all keyframes are flagged."""
+    rows = metrics(plan.tracks("max_iou", "overlap"), plan.settings)
+    clean = rows.groupBy(*OBJECT).agg(F.count_if("human").alias("n"), F.count_if(F.col("n_flags") == 0).alias("clean"))
+    bare = plan.refused
+    if plan.settings.fallback != "refuse":
+        return bare
+    return bare.unionByName(clean.where("n > 0 AND clean = 0").select(*OBJECT, F.lit("no_hq_anchor").alias("reason")))
 
 
 def summary(flagged: DataFrame, anchors: DataFrame) -> DataFrame:
-    """vid, tid, n_candidates, n_clean, n_kept, dropped (reason:count, sorted)."""
+    """vid, tid, n_candidates, n_clean, n_kept, fallback (no keyframe is clean), flags_ignored (of the candidates then,
+    sorted), dropped (reason:count, sorted)."""
     held = anchors.select("vid", "tid", "fid", F.lit(True).alias("held"))
-    rows = flagged.join(held, ["vid", "tid", "fid"], "left")
+    rows = flagged.where("human").join(held, ["vid", "tid", "fid"], "left")
+    used = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.when(F.col("candidate"), F.col("flags"))))))
     base = rows.groupBy(*OBJECT).agg(
-        F.count(F.lit(1)).alias("n_candidates"), F.count_if(F.col("n_flags") == 0).alias("n_clean")
+        F.count(F.lit(1)).alias("n_candidates"), F.count_if(F.col("n_flags") == 0).alias("n_clean"), used.alias("used")
     )
     n_kept = anchors.groupBy(*OBJECT).agg(F.count(F.lit(1)).alias("n_kept"))
     why = F.when(F.size("flags") > 0, F.col("flags")).otherwise(F.array(F.lit("thinned")))
@@ -93,5 +110,12 @@ def summary(flagged: DataFrame, anchors: DataFrame) -> DataFrame:
     lost = lost.groupBy(*OBJECT).agg(F.concat_ws(",", F.sort_array(F.collect_list(text))).alias("dropped"))
     out = base.join(n_kept, list(OBJECT), "left").join(lost, list(OBJECT), "left")
     return out.select(
-        "vid", "tid", "n_candidates", "n_clean", F.coalesce("n_kept", F.lit(0)).alias("n_kept"), F.coalesce("dropped", F.lit("")).alias("dropped")
+        "vid",
+        "tid",
+        "n_candidates",
+        "n_clean",
+        F.coalesce("n_kept", F.lit(0)).alias("n_kept"),
+        (F.col("n_clean") == 0).alias("fallback"),
+        F.concat_ws(",", "used").alias("flags_ignored"),
+        F.coalesce("dropped", F.lit("")).alias("dropped"),
     )

@@ -5,14 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from trackset import scratch
 from trackset.config import Settings
 
 
 def first_boxes(raw: DataFrame) -> DataFrame:
     """One box for each (vid, fid, tid): the first in its frame's list."""
     keys = ("vid", "fid", "tid")
-    rest = [c for c in raw.columns if c not in keys]
-    return raw.groupBy(*keys).agg(F.min_by(F.struct(*rest), "ord").alias("b")).select(*keys, "b.*")
+    rest = [c for c in raw.columns if c not in (*keys, "ord")]
+    one = raw.groupBy(*keys).agg(F.min(F.struct("ord", *rest)).alias("b"))
+    return one.select(*keys, *(F.col("b")[c].alias(c) for c in rest))
+
+
+def clips(relations: DataFrame, videos: DataFrame) -> DataFrame:
+    """vid, seg_begin, seg_end (the frames that any of a video's relations touches), tids (objects of relations), width,
+    height: one row for each video that has relations and an annotation."""
+    sides = F.array_distinct(F.flatten(F.collect_set(F.array("s", "o"))))
+    of = relations.groupBy("vid").agg(F.min("begin").alias("seg_begin"), F.max("end").alias("seg_end"), sides.alias("tids"))
+    return of.join(videos.select("vid", "width", "height"), "vid")
 
 
 def triples(relations: DataFrame) -> DataFrame:
@@ -33,42 +43,50 @@ def categories(relations: DataFrame) -> DataFrame:
     )
 
 
-def segments(relations: DataFrame) -> DataFrame:
-    """vid, seg_begin, seg_end: the frames that any of a video's relations touches."""
-    return relations.groupBy("vid").agg(F.min("begin").alias("seg_begin"), F.max("end").alias("seg_end"))
+def unannotated(relations: DataFrame, videos: DataFrame) -> DataFrame:
+    """vid: videos that have relations but no annotation; a worklist cannot be made with any."""
+    return relations.select("vid").distinct().join(videos, "vid", "left_anti")
+
 
+def units(relations: DataFrame, videos: DataFrame) -> DataFrame:
+    """One row for each video: split, n_tids (objects of relations), n_frames (of the annotation), n_records, segment,
+    relations (array of s, p, o, in the order of first appearance) and cats (array of tid, category by tid; the last entry
+    of the last record wins). Categories may name objects that no relation has.
 
-def units(relations: DataFrame, annotated: DataFrame) -> DataFrame:
-    """One row for each video: split, n_tids, n_frames, n_records, segment, relations and categories in order."""
-    base = relations.groupBy("vid").agg(
+    `videos` has vid and frame_count.
+    """
+    entries = F.transform("cats", lambda x, i: F.struct(x["tid"].alias("tid"), i.alias("pos"), x["category"].alias("category")))
+    rows = relations.groupBy("vid").agg(
         F.concat_ws("+", F.sort_array(F.collect_set("split"))).alias("split"),
+        F.size(F.array_distinct(F.flatten(F.collect_set(F.array("s", "o"))))).cast("long").alias("n_tids"),
         F.count(F.lit(1)).alias("n_records"),
         F.min("begin").alias("seg_begin"),
         F.max("end").alias("seg_end"),
+        F.sort_array(F.collect_list(F.struct("ord", F.struct("s", "p", "o").alias("r"), entries.alias("cats")))).alias("rows"),
     )
-    text = F.concat_ws("-", F.col("s").cast("string"), "p", F.col("o").cast("string"))
-    in_order = F.array_sort(F.collect_list(F.struct("ord", text.alias("text"))))
-    named = triples(relations).groupBy("vid").agg(F.concat_ws(",", F.transform(in_order, lambda x: x["text"])).alias("relations"))
-    entry = F.struct("tid", F.concat_ws(":", F.col("tid").cast("string"), "category").alias("text"))
-    by_tid = F.transform(F.sort_array(F.collect_list(entry)), lambda x: x["text"])
-    cats = categories(relations).groupBy("vid").agg(
-        F.concat_ws(",", by_tid).alias("cats"), F.count(F.lit(1)).alias("n_tids")
+    listed = F.array_distinct(F.transform("rows", lambda x: x["r"]))
+    # the rows are in order, so the last entry of an object is the last that a fold meets
+    entry = lambda x: F.struct(x["tid"].alias("tid"), x["category"].alias("category"))
+    flat = F.flatten(F.transform("rows", lambda x: x["cats"]))
+    last = F.aggregate(
+        flat,
+        F.array().cast("array<struct<tid:bigint,category:string>>"),
+        lambda held, x: F.array_append(F.filter(held, lambda y: y["tid"] != x["tid"]), entry(x)),
     )
-    known = annotated.select("vid").distinct()
-    out = base.join(named, "vid").join(cats, "vid").join(known, "vid", "left_semi")
+    out = rows.join(videos.select("vid", F.col("frame_count").alias("n_frames")), "vid")
     return out.select(
-        "vid",
-        "split",
-        "n_tids",
-        (F.col("seg_end") - F.col("seg_begin") + 1).alias("n_frames"),
-        "n_records",
-        "seg_begin",
-        "seg_end",
-        "relations",
-        "cats",
+        "vid", "split", "n_tids", "n_frames", "n_records", "seg_begin", "seg_end", listed.alias("relations"), F.sort_array(last).alias("cats")
     )
 
 
+def as_text(units: DataFrame) -> DataFrame:
+    """Units with relations (s-p-o) and categories (tid:category) as text, for reports; the arrays are what is read."""
+    relation = lambda r: F.concat_ws("-", r["s"].cast("string"), r["p"], r["o"].cast("string"))
+    cat = lambda c: F.concat_ws(":", c["tid"].cast("string"), c["category"])
+    text = lambda name, one: F.concat_ws(",", F.transform(name, one)).alias(name)
+    return units.select(*(c for c in units.columns if c not in ("relations", "cats")), text("relations", relation), text("cats", cat))
+
+
 def unit_counts(units: DataFrame, missing: DataFrame, settings: Settings) -> DataFrame:
     """Totals over a worklist; `missing` lists videos without a file."""
     flagged = units.join(missing.select("vid").distinct().withColumn("no_video", F.lit(1)), "vid", "left")
@@ -79,7 +97,7 @@ def unit_counts(units: DataFrame, missing: DataFrame, settings: Settings) -> Dat
         F.count_if(F.col("n_tids") > settings.max_objects).alias("too_many_objects"),
         total("n_tids").alias("relation_tids"),
         total("n_frames").alias("frames"),
-        total(F.col("n_frames") * F.col("n_tids")).alias("prop_frame_objects"),
+        total((F.col("seg_end") - F.col("seg_begin") + 1) * F.col("n_tids")).alias("prop_frame_objects"),
     )
 
 
@@ -103,21 +121,45 @@ def known_counts(relations: DataFrame) -> DataFrame:
 
 
 def shard_order(units: DataFrame, shards: int) -> DataFrame:
-    """shard, place, vid: each shard walks all units, from its own block on. Units are in text order."""
+    """shard, place, vid: each shard walks all units, from its own block on. Units are in text order.
+
+    Ranks come from sorted ranges: the sizes of the ranges, a row each, give every range's first rank.
+    """
     if shards < 1:
         raise ValueError("at least one shard")
-    text = F.col("vid").cast("string")
-    ranked = units.select("vid", F.row_number().over(Window.orderBy(text)).alias("nth"))
-    ranked = ranked.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))))
+    ordered = units.select("vid", F.col("vid").cast("string").alias("name")).repartitionByRange("name")
+    ordered = scratch.written(ordered.sortWithinPartitions("name").withColumn("part", F.spark_partition_id()), "ranges")
+    sizes = ordered.groupBy("part").agg(F.count(F.lit(1)).alias("size")).orderBy("part").collect()  # a row for each range
+    first, n = {}, 0
+    for row in sizes:
+        first[row["part"]], n = n, n + row["size"]
+    start = units.sparkSession.createDataFrame(list(first.items()) or [(0, 0)], "part int, first long")
+    nth = F.row_number().over(Window.partitionBy("part").orderBy("name")) - 1 + F.col("first")
+    ranked = ordered.join(F.broadcast(start), "part").withColumn("nth", nth)  # a row for each range
     ranked = ranked.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
-    start = (F.col("shard") * F.ceil(F.col("n") / shards)) % F.col("n")
-    return ranked.select("shard", F.pmod(F.col("nth") - 1 - start, F.col("n")).alias("place"), "vid")
+    begin = (F.col("shard") * -(-n // shards)) % max(1, n)
+    return ranked.select("shard", F.pmod(F.col("nth") - begin, F.lit(max(1, n))).alias("place"), "vid")
 
 
-def selected(units: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Requested units (nth, vid) in request order, repeats kept; unknown ones have known = false."""
+def selected(units: DataFrame, wanted: DataFrame, limit: int = 0) -> DataFrame:
+    """Requested units (nth, vid) in request order, repeats kept; unknown ones have known = false. A limit counts the
+    known ones."""
     known = units.select("vid").distinct().withColumn("known", F.lit(True))
-    return wanted.join(known, "vid", "left").select("nth", "vid", F.coalesce("known", F.lit(False)).alias("known"))
+    rows = wanted.join(known, "vid", "left").select("nth", "vid", F.coalesce("known", F.lit(False)).alias("known"))
+    if not limit:
+        return rows
+    last = rows.where("known").orderBy("nth").limit(limit).agg(F.max("nth").alias("last"))
+    return rows.join(F.broadcast(last), F.col("known") & (F.col("nth") <= F.col("last"))).drop("last")  # one row
+
+
+def first_units(units: DataFrame, limit: int) -> DataFrame:
+    """The first units in text order; 0 takes all."""
+    return units.orderBy(F.col("vid").cast("string")).limit(limit) if limit else units
+
+
+def once(wanted: DataFrame) -> DataFrame:
+    """Requests (nth, vid) without repeats: each at its first place."""
+    return wanted.groupBy("vid").agg(F.min("nth").alias("nth")).select("nth", "vid")
 
 
 def unit_cost(units: DataFrame, passes: int) -> DataFrame:
@@ -132,9 +174,6 @@ def unit_cost(units: DataFrame, passes: int) -> DataFrame:
 
 
 def relation_rows(units: DataFrame) -> DataFrame:
-    """The relations of a worklist's units, back as rows in order: vid, nth, s, p, o."""
-    parts = F.split("text", "-")
-    rows = units.select("vid", F.posexplode(F.split("relations", ",")).alias("nth", "text"))
-    return rows.select(
-        "vid", F.col("nth").cast("long").alias("nth"), parts[0].cast("long").alias("s"), parts[1].alias("p"), parts[2].cast("long").alias("o")
-    )
+    """The relations of a worklist's units, as rows in order: vid, nth, s, p, o."""
+    rows = units.select("vid", F.posexplode("relations").alias("nth", "r"))
+    return rows.select("vid", F.col("nth").cast("long").alias("nth"), "r.*")

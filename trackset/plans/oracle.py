@@ -32,19 +32,19 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     "triples": (("rel",), "SELECT vid, s, p, o, min(ord) AS ord FROM rel GROUP BY vid, s, p, o"),
     "cats": (
         ("rel",),
-        """SELECT vid, tid, arg_max('cat' || ((tid + l_orderkey) % 4) || '/sub', ord * 2 + pos) AS category
-  FROM (SELECT vid, s AS tid, l_orderkey, ord, 0 AS pos FROM rel UNION ALL SELECT vid, o, l_orderkey, ord, 1 FROM rel)
-  GROUP BY vid, tid""",
+        """SELECT vid, tid, arg_max('cat' || ((tid + l_orderkey) % 4) || '/sub', ord * 3 + pos) AS category
+  FROM (SELECT vid, s AS tid, l_orderkey, ord, 0 AS pos FROM rel UNION ALL SELECT vid, o, l_orderkey, ord, 1 FROM rel
+        UNION ALL SELECT vid, 8 + s % 3, l_orderkey, ord, 2 FROM rel) GROUP BY vid, tid""",
     ),
     "units": (
-        ("rel", "triples", "cats", "all_boxes"),
-        """SELECT r.vid, split, n_tids, seg_end - seg_begin + 1 AS n_frames, n_records, seg_begin, seg_end, relations, cats
+        ("rel", "triples", "cats", "tids", "all_boxes"),
+        """SELECT r.vid, split, n_tids, 125 + r.vid % 7 AS n_frames, n_records, seg_begin, seg_end, relations, cats
   FROM (SELECT vid, string_agg(DISTINCT split, '+' ORDER BY split) AS split, count(*) AS n_records,
                min(b) AS seg_begin, max(e) AS seg_end FROM rel GROUP BY vid) r
   JOIN (SELECT vid, string_agg(s || '-' || p || '-' || o, ',' ORDER BY ord) AS relations FROM triples GROUP BY vid) t
     USING (vid)
-  JOIN (SELECT vid, count(*) AS n_tids, string_agg(tid || ':' || category, ',' ORDER BY tid) AS cats FROM cats
-        GROUP BY vid) c USING (vid)
+  JOIN (SELECT vid, string_agg(tid || ':' || category, ',' ORDER BY tid) AS cats FROM cats GROUP BY vid) c USING (vid)
+  JOIN (SELECT vid, count(*) AS n_tids FROM tids GROUP BY vid) n USING (vid)
   WHERE vid IN (SELECT vid FROM all_boxes)""",
     ),
     "boxes": (("all_boxes", "tids"), "SELECT b.* FROM all_boxes b JOIN tids USING (vid, tid)"),
@@ -106,8 +106,8 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
       CASE WHEN blur < 20 OR blur < 0.4 * mid_blur THEN 'blur' END], lambda x: x IS NOT NULL) AS flags
   FROM (SELECT m.*, motion, area / median(area) OVER w AS rel_size, median(overlap) OVER w AS mid_overlap,
                median(CAST(blur AS DOUBLE)) OVER w AS mid_blur,
-               CAST(xmin <= 2 AS BIGINT) + CAST(ymin <= 2 AS BIGINT) + CAST(xmax >= 61 AS BIGINT)
-                 + CAST(ymax >= 45 AS BIGINT) AS edge
+               CAST(xmin <= 2 AS BIGINT) + CAST(ymin <= 2 AS BIGINT) + CAST(xmax >= 64 + 8 * (vid % 3) - 3 AS BIGINT)
+                 + CAST(ymax >= 48 + 4 * (vid % 2) - 3 AS BIGINT) AS edge
         FROM (SELECT *, CAST((xmax - xmin + 1) * (ymax - ymin + 1) AS DOUBLE) AS area FROM measured) m
         JOIN (SELECT vid, tid, fid, coalesce((before + after) / 2, before, after) AS motion FROM (
           SELECT vid, tid, fid,
@@ -120,7 +120,7 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "gated": (
         ("flags",),
-        """SELECT vid, tid, fid, flags, nf, candidate AND fid = ref AS is_ref,
+        """SELECT vid, tid, fid, flags, nf, candidate, candidate AND fid = ref AS is_ref,
     candidate AND (n <= 8 OR fid = ref
       OR nth IN (SELECT unnest([CAST(round_even(i * ((n - 1) / 7.0), 0) AS BIGINT) FOR i IN range(8)])))
     OR fid = low OR fid = high AS held
@@ -323,4 +323,6 @@ def sql(final: str, *needs: str, recursive: str = "") -> str:
     for name in needs:
         add(name)
     parts = [f"{n} AS (\n  {PARTS[n][1]})" for n in order] + ([recursive] if recursive else [])
+    if not parts:
+        return final
     return f"WITH {'RECURSIVE ' if recursive else ''}" + ",\n".join(parts) + "\n" + final

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trackset import scratch
 from trackset.functions import geometry, rle
 from trackset.operators import audit, combine, correspondence, coverage, gate, planning, prompts, records, units
 from trackset.plans.oracle import sql
@@ -23,20 +26,32 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.raw = proxy.raw_boxes(spark, sf_dir)
         self.relations = proxy.relations(spark, sf_dir)
-        self.plan = planning.Plan(self.raw, self.relations, S)
+        self.videos = proxy.videos(spark, sf_dir)
+        self.plan = planning.Plan(self.raw, self.relations, self.videos, S)
 
-    @property
+    @cached_property
     def units(self) -> DataFrame:
-        return units.units(self.relations, self.raw)
+        return units.units(self.relations, self.videos)
+
+    @cached_property
+    def known(self) -> DataFrame:
+        """The units, written, for what reads them more than once."""
+        return scratch.written(self.units, "units")
+
+    @cached_property
+    def anchors(self) -> DataFrame:
+        """Anchors, written, over shared tracks."""
+        return scratch.written(self.plan.shared().human, "anchors")
 
     @property
     def refused(self) -> DataFrame:
-        return planning.refusals(self.plan.spans, self.plan.keyframes)
+        return self.plan.refused
 
     @property
     def paired(self) -> DataFrame:
-        planned = self.plan.records.join(self.refused, ["vid", "tid"], "left_anti")
-        return combine.paired(planned, proxy.mask_passes(self.plan.boxes, S))
+        plan = self.plan.shared()
+        planned = plan.records.join(plan.refused, ["vid", "tid"], "left_anti")
+        return combine.paired(planned, proxy.mask_passes(plan.boxes))
 
     @property
     def readings(self) -> DataFrame:
@@ -53,7 +68,7 @@ class Tables:
     @property
     def clips(self) -> DataFrame:
         vid = F.col("vid")
-        seen = self.units.select(
+        seen = self.known.select(
             "vid",
             "n_tids",
             (vid % 10 != 0).alias("has_video"),
@@ -65,19 +80,19 @@ class Tables:
 
     @property
     def records(self) -> DataFrame:
-        return records.merged_records(self.plan.records, self.refused, self.decided, self.clips)
+        return records.merged_records(self.plan.shared().records, self.refused, self.decided, self.clips)
 
     @property
     def status(self) -> DataFrame:
         vid = F.col("vid")
-        errors = self.units.where("vid % 7 IN (4, 5)").select(
+        errors = self.known.where("vid % 7 IN (4, 5)").select(
             "vid", (vid % 6).alias("attempt"), (vid % 5 == 0).alias("interrupted"), (vid % 3 == 0).alias("cuda_oom")
         )
-        return records.unit_status(self.units, self.units.where("vid % 7 < 4"), errors, S)
+        return records.unit_status(self.known, self.known.where("vid % 7 < 4"), errors, S)
 
     @property
     def ledger(self) -> DataFrame:
-        return records.ledger(self.units, self.status, records.run_totals(self.records), self.clips)
+        return records.ledger(self.known, self.status, records.run_totals(self.records), self.clips)
 
     @property
     def written(self) -> DataFrame:
@@ -135,17 +150,17 @@ def q_boxes_dedup(t):
 
 @query("SELECT * FROM units", "units")
 def q_units(t):
-    return t.units
+    return units.as_text(t.units)
 
 
 @query(
     """SELECT count(*) AS units, count(*) FILTER (vid % 10 = 0) AS video_missing, count(*) FILTER (n_tids > 6) AS
 too_many_objects, CAST(sum(n_tids) AS BIGINT) AS relation_tids, CAST(sum(n_frames) AS BIGINT) AS frames,
-CAST(sum(n_frames * n_tids) AS BIGINT) AS prop_frame_objects FROM units""",
+CAST(sum((seg_end - seg_begin + 1) * n_tids) AS BIGINT) AS prop_frame_objects FROM units""",
     "units",
 )
 def q_unit_counts(t):
-    return units.unit_counts(t.units, t.units.where("vid % 10 = 0"), S)
+    return units.unit_counts(t.known, t.known.where("vid % 10 = 0"), S)
 
 
 @query("SELECT split, count(*) AS units FROM units GROUP BY split", "units")
@@ -201,6 +216,12 @@ def q_selected_units(t):
     return units.selected(t.units, wanted)
 
 
+@query("SELECT min(nth) AS nth, (nth * 7919) % 150 + 1 AS vid FROM (SELECT unnest(range(200)) AS nth) GROUP BY 2")
+def q_requested_once(t):
+    """Requests without repeats, each at its first place."""
+    return units.once(t.raw.sparkSession.range(200).select(F.col("id").alias("nth"), (F.col("id") * 7919 % 150 + 1).alias("vid")))
+
+
 @query(
     """SELECT vid, (9000 + n_frames * 2 * (24 + 6 * n_tids)) * 18 AS milliseconds,
 n_frames > 1500 OR n_frames * n_tids > 2500 AS offload FROM units""",
@@ -212,7 +233,7 @@ def q_unit_cost(t):
 
 @query("SELECT * FROM tids WHERE (vid, tid) NOT IN (SELECT (vid, tid) FROM all_boxes)", "tids", "all_boxes")
 def q_unboxed(t):
-    return planning.unboxed(t.plan.tids, units.first_boxes(t.raw))
+    return planning.unboxed(t.plan.tids, t.raw)
 
 
 @query("SELECT * FROM spans", "spans")
@@ -237,7 +258,7 @@ def q_reference_anchor(t):
 
 @query("SELECT * FROM anchors", "anchors")
 def q_thinned_anchors(t):
-    return t.plan.anchors
+    return t.plan.human
 
 
 @query("SELECT * FROM noanchor", "noanchor")
@@ -277,30 +298,35 @@ FILLS = """SELECT vid, tid, f AS fid, CASE WHEN gen = 0 THEN 'human' ELSE 'track
 CAST(0 AS BIGINT) AS n_flags, a AS gap_lo, b AS gap_hi FROM g"""
 
 
+def _fills(anchors):
+    return anchors.where("fill IS NOT NULL").select("vid", "tid", "fid", F.col("fill").alias("source"), "n_flags", "gap_lo", "gap_hi")
+
+
 @query(FILLS, "anchors", "spans", "kf", recursive=_fills_sql("anchors", "kf", "c.generated"))
 def q_gap_fills(t):
-    return coverage.human_gap(t.plan)
+    return _fills(coverage.human_gap(t.plan))
 
 
 @query(FILLS, "anchors", "spans", "inspan", recursive=_fills_sql("anchors", "inspan", "c.generated"))
 def q_gap_fills_any(t):
-    return coverage.human_gap(t.plan, any_box=True)
+    return _fills(coverage.human_gap(t.plan, any_box=True))
 
 
-@query("SELECT * FROM cont", "cont")
+@query('SELECT vid, fid, "outer", "inner" FROM cont', "cont")
 def q_contained_pairs(t):
-    return prompts.contained_pairs(t.plan.boxes)
+    return prompts.contained_pairs(t.plan.tracks("inners")).drop("generated")
 
 
 @query(
-    """SELECT a.vid, a.fid, a.tid, "inner", (xmin + xmax) / 2.0 / 64 AS x, (ymin + ymax) / 2.0 / 48 AS y
+    """SELECT a.vid, a.fid, a.tid, "inner", (xmin + xmax) / 2.0 / (64 + 8 * (a.vid % 3)) AS x,
+(ymin + ymax) / 2.0 / (48 + 4 * (a.vid % 2)) AS y
 FROM anchors a JOIN cont c ON a.vid = c.vid AND a.fid = c.fid AND a.tid = c."outer"
 JOIN boxes b ON b.vid = a.vid AND b.fid = a.fid AND b.tid = "inner" """,
     "anchors",
     "cont",
 )
 def q_negative_clicks(t):
-    return prompts.negative_clicks(t.plan.anchors, prompts.contained_pairs(t.plan.boxes), t.plan.boxes, S)
+    return prompts.negative_clicks(t.anchors, t.plan.boxes)
 
 
 CO_SQL = """able AS (SELECT * FROM cont WHERE (vid, "outer") IN (SELECT (vid, tid) FROM anchors)),
@@ -315,7 +341,7 @@ co AS (SELECT DISTINCT b.vid, b.fid, b.tid, b.generated FROM able a
 
 @query("SELECT * FROM co", "anchors", "cont", recursive=CO_SQL)
 def q_co_prompts(t):
-    return prompts.co_prompts(t.plan.anchors, prompts.contained_pairs(t.plan.boxes), t.plan.boxes)
+    return prompts.co_prompts(t.anchors, t.plan.boxes)
 
 
 @query(
@@ -327,31 +353,62 @@ FROM (SELECT vid, fid, tid, is_ref FROM anchors UNION ALL SELECT vid, fid, tid,
     recursive=CO_SQL,
 )
 def q_prompt_schedule(t):
-    pairs = prompts.contained_pairs(t.plan.boxes)
-    anchors = t.plan.anchors
-    co = prompts.co_prompts(anchors, pairs, t.plan.boxes)
-    prompted = anchors.select("vid", "fid", "tid").unionByName(co.select("vid", "fid", "tid"))
-    return prompts.schedule(anchors, co, prompts.negative_clicks(prompted, pairs, t.plan.boxes, S))
+    co, clicks = _sent(t)
+    return prompts.checked(prompts.schedule(t.anchors, co, clicks), most=64)
+
+
+def _sent(t):
+    """Co-prompts and the clicks of all that is prompted."""
+    co = scratch.written(prompts.co_prompts(t.anchors, t.plan.shared().boxes), "co-prompts")
+    prompted = t.anchors.select("vid", "fid", "tid").unionByName(co.select("vid", "fid", "tid"))
+    return co, prompts.negative_clicks(prompted, t.plan.boxes)
+
+
+CLICKS_SQL = CO_SQL + """,
+clicks AS (SELECT e.vid, e.fid, e.tid, "inner" FROM (
+    SELECT vid, fid, tid FROM anchors UNION ALL SELECT vid, fid, tid FROM co) e
+  JOIN cont c ON c.vid = e.vid AND c.fid = e.fid AND c."outer" = e.tid)"""
+
+
+@query(
+    """SELECT vid, coalesce(n, 0) AS negative_clicks, coalesce(m, 0) AS co_prompts, coalesce(k, 0) AS co_prompts_at_tracker_boxes
+FROM (SELECT vid, count(*) AS n FROM clicks GROUP BY vid)
+FULL JOIN (SELECT vid, count(*) AS m, count(*) FILTER (generated <> 0) AS k FROM co GROUP BY vid) USING (vid)""",
+    "anchors",
+    "cont",
+    recursive=CLICKS_SQL,
+)
+def q_negatives_totals(t):
+    return prompts.negatives_totals(*_sent(t))
+
+
+@query(
+    """SELECT vid, fid, tid, 2 + count(*) AS n_points FROM clicks GROUP BY vid, fid, tid HAVING count(*) > 1""",
+    "anchors",
+    "cont",
+    recursive=CLICKS_SQL,
+)
+def q_prompts_over_cap(t):
+    """Prompts of more than three points, for a session that takes no more."""
+    co, clicks = _sent(t)
+    return prompts.over_cap(prompts.schedule(t.anchors, co, clicks), most=3)
 
 
 @query(
     """SELECT vid, tid, row_number() OVER (PARTITION BY vid, tid ORDER BY is_ref DESC, fid) AS seq, fid,
-xmin / 64.0 AS x0, ymin / 48.0 AS y0, xmax / 64.0 AS x1, ymax / 48.0 AS y1 FROM anchors JOIN boxes USING (vid, fid, tid)""",
+xmin / (64.0 + 8 * (vid % 3)) AS x0, ymin / (48.0 + 4 * (vid % 2)) AS y0, xmax / (64.0 + 8 * (vid % 3)) AS x1,
+ymax / (48.0 + 4 * (vid % 2)) AS y1 FROM anchors JOIN boxes USING (vid, fid, tid)""",
     "anchors",
     "boxes",
 )
 def q_prompts(t):
-    rows = prompts.prompts(t.plan.anchors, t.plan.boxes, S)
+    rows = prompts.prompts(t.anchors, t.plan.boxes)
     return rows.select("vid", "tid", "seq", "fid", *(F.col("box")[i].alias(n) for i, n in enumerate(("x0", "y0", "x1", "y1"))))
 
 
-def _blurred(t):
-    return t.plan.keyframes.withColumn("blur", F.col("blur").cast("double"))
-
-
 @query("SELECT vid, tid, fid, edge, array_to_string(flags, ',') AS flags, len(flags) AS n_flags FROM flags", "flags")
 def q_gate_flags(t):
-    rows = gate.metrics(_blurred(t), t.plan.boxes, S)
+    rows = gate.metrics(t.plan.tracks("max_iou", "overlap"), S).where("human")
     return rows.select("vid", "tid", "fid", "edge", F.concat_ws(",", "flags").alias("flags"), "n_flags")
 
 
@@ -365,12 +422,15 @@ GATED_FILLS = _fills_sql("gatedheld", "gated", "c.nf")
     recursive=GATED_FILLS,
 )
 def q_hq_anchors(t):
-    return gate.gated(t.plan, _blurred(t))[1]
+    return gate.anchors(t.plan).select("vid", "tid", "fid", "is_ref")
 
 
 @query(
-    """SELECT vid, tid, n_candidates, n_clean, n_kept, coalesce(dropped, '') AS dropped FROM (
+    """SELECT vid, tid, n_candidates, n_clean, n_kept, n_clean = 0 AS fallback, coalesce(flags_ignored, '') AS flags_ignored,
+  coalesce(dropped, '') AS dropped FROM (
   SELECT vid, tid, count(*) AS n_candidates, count(*) FILTER (nf = 0) AS n_clean FROM gated GROUP BY vid, tid)
+LEFT JOIN (SELECT vid, tid, string_agg(DISTINCT flag, ',' ORDER BY flag) AS flags_ignored FROM (
+    SELECT vid, tid, unnest(flags) AS flag FROM gated WHERE candidate) GROUP BY vid, tid) USING (vid, tid)
 JOIN (SELECT vid, tid, count(*) AS n_kept FROM final GROUP BY vid, tid) USING (vid, tid)
 LEFT JOIN (SELECT vid, tid, string_agg(reason || ':' || n, ',' ORDER BY reason || ':' || n) AS dropped FROM (
     SELECT vid, tid, reason, count(*) AS n FROM (
@@ -382,7 +442,19 @@ LEFT JOIN (SELECT vid, tid, string_agg(reason || ':' || n, ',' ORDER BY reason |
     recursive=GATED_FILLS + ",\nfinal AS (SELECT vid, tid, fid FROM gatedheld UNION ALL SELECT vid, tid, f FROM g)",
 )
 def q_gate_summary(t):
-    return gate.summary(*gate.gated(t.plan, _blurred(t)))
+    plan = t.plan.shared()
+    return gate.summary(gate.flagged(plan), gate.anchors(plan))
+
+
+@query(
+    """SELECT * FROM noanchor UNION ALL SELECT vid, tid, 'no_hq_anchor' AS reason FROM flags GROUP BY vid, tid
+HAVING min(len(flags)) > 0""",
+    "flags",
+    "noanchor",
+)
+def q_hq_refusals(t):
+    """Refusals of the gate where a flagged keyframe is no fallback."""
+    return gate.refusals(planning.Plan(t.raw, t.relations, t.videos, replace(S, policy="hq", fallback="refuse")).shared())
 
 
 @query("SELECT vid, fid, tid, fa, ba, shared FROM areas", "areas")
@@ -420,7 +492,14 @@ def q_decisions(t):
     return t.decided.select(*DECIDED.split(", "))
 
 
-@query(None)
+@query(
+    """SELECT vid, fid, tid, decision, removed_px, handed_to FROM decided JOIN (
+  SELECT vid, fid, tid, string_agg(DISTINCT taker, ',' ORDER BY taker) AS handed_to FROM (
+    SELECT w.vid, w.fid, w.tid, w.p, min(s.tid) AS taker FROM px w JOIN px s ON w.vid = s.vid AND w.fid = s.fid AND w.p = s.p
+    WHERE s.strong AND NOT w.strong GROUP BY w.vid, w.fid, w.tid, w.p) GROUP BY vid, fid, tid) USING (vid, fid, tid)""",
+    "decided",
+    "px",
+)
 def q_handovers(t):
     return t.decided.where("handed_to IS NOT NULL").select("vid", "fid", "tid", "decision", "removed_px", "handed_to")
 
@@ -459,8 +538,9 @@ FROM inspan i LEFT JOIN noanchor n USING (vid, tid) LEFT JOIN (SELECT * FROM mas
     recursive="seen AS (SELECT DISTINCT vid, fid FROM mask JOIN boxes USING (vid, fid, tid) WHERE f IS NOT NULL AND fid % 11 <> 3)",
 )
 def q_records_forward(t):
-    masks = proxy.mask_passes(t.plan.boxes, S).where("fwd IS NOT NULL AND fid % 11 <> 3")
-    return records.single_pass_records(t.plan.records, t.refused, masks.withColumnRenamed("fwd", "mask"))
+    plan = t.plan.shared()
+    masks = proxy.mask_passes(plan.boxes).where("fwd IS NOT NULL AND fid % 11 <> 3")
+    return records.single_pass_records(plan.records, plan.refused, masks.withColumnRenamed("fwd", "mask"))
 
 
 @query("SELECT * FROM clips", "clips")
@@ -537,8 +617,8 @@ def _flat(t):
         broken(10, F.lit(2).cast("long"), F.col("generated")).alias("generated"),
         broken(11, F.lit("train+val"), F.lit("train")).alias("split"),
         broken(12, F.lit("other"), F.col("reason")).alias("reason"),
-        broken(13, F.lit(0), F.lit(S.height)).alias("rle_h"),
-        F.lit(S.width).alias("rle_w"),
+        broken(13, F.lit(0).cast("long"), proxy.height_of(F.col("vid"))).alias("rle_h"),
+        proxy.width_of(F.col("vid")).alias("rle_w"),
         F.when(mask, broken(14, F.lit(""), F.lit("counts"))).alias("counts"),
         F.when(mask, broken(15, F.lit(1.5), F.col("confidence"))).otherwise(broken(16, F.lit(0.5), null)).alias("confidence"),
     )
@@ -616,10 +696,22 @@ def q_overlay_labels(t):
     return correspondence.overlay(t.records, t.plan.boxes, units.categories(t.relations))
 
 
-@query(None)
+@query(
+    """SELECT vid, fid, tid, list_aggregate(list_transform(range(1, len(runs) + 1), lambda i: list_aggregate(list_transform(
+    range(0, CASE WHEN d[i] BETWEEN -16 AND 15 THEN 1 WHEN d[i] BETWEEN -512 AND 511 THEN 2 WHEN d[i] BETWEEN -16384 AND 16383 THEN 3 ELSE 4 END),
+    lambda k: chr(CAST(48 + ((d[i] + 1073741824) // CAST(pow(32, k) AS BIGINT)) % 32 + CASE WHEN k + 1 < CASE WHEN d[i] BETWEEN -16 AND 15 THEN 1
+      WHEN d[i] BETWEEN -512 AND 511 THEN 2 WHEN d[i] BETWEEN -16384 AND 16383 THEN 3 ELSE 4 END THEN 32 ELSE 0 END AS INTEGER))),
+  'string_agg', '')), 'string_agg', '') AS counts, true AS same
+FROM (SELECT *, list_transform(range(1, len(runs) + 1), lambda i: runs[i] - CASE WHEN i > 3 THEN runs[i - 2] ELSE 0 END) AS d FROM (
+  SELECT vid, fid, tid, list_concat([f[1] * h + f[2], f[4] - f[2] + 1], list_concat(
+    flatten([[h - (f[4] - f[2] + 1), f[4] - f[2] + 1] FOR j IN range(f[3] - f[1])]), [w * h - (f[3] * h + f[4] + 1)])) AS runs
+  FROM (SELECT *, 64 + 8 * (vid % 3) AS w, 48 + 4 * (vid % 2) AS h FROM areas) WHERE f IS NOT NULL))""",
+    "areas",
+)
 def q_rle_counts(t):
     """Compressed counts of the forward masks, and whether they read back as the same pixels."""
-    rows = t.paired.where("fwd IS NOT NULL").withColumn("counts", rle.counts_text("fwd", F.lit(S.width * S.height)))
+    size = proxy.width_of(F.col("vid")) * proxy.height_of(F.col("vid"))
+    rows = t.paired.where("fwd IS NOT NULL").withColumn("counts", rle.counts_text("fwd", size))
     back = rle.area(rle.counts_intervals("counts"))
     return rows.select("vid", "fid", "tid", "counts", (back == rle.area(F.col("fwd"))).alias("same"))
 
@@ -632,8 +724,8 @@ FROM areas JOIN (SELECT vid, fid, tid, xmin, ymin, xmax, ymax FROM boxes) USING
     "boxes",
 )
 def q_inside_px(t):
-    box = proxy._columns_of(*(F.col(c) for c in geometry.SIDES), S.height)
-    sides = t.plan.boxes.select("vid", "fid", "tid", box.alias("box"))
+    box = proxy.columns_of(*(F.col(c) for c in geometry.SIDES), F.col("height"))
+    sides = t.plan.shared().boxes.select("vid", "fid", "tid", box.alias("box"))
     rows = t.readings.join(sides, ["vid", "fid", "tid"])
     inside = F.when(F.col("fwd").isNotNull(), rle.overlap(F.col("fwd"), F.col("box")))
     return rows.select("vid", "fid", "tid", inside.alias("inside_px"), F.col("fa").alias("area"))

@@ -34,6 +34,22 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def videos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vid, frame_count, width, height: videos differ in length and size."""
+    vid = F.col("vid")
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.col("l_suppkey").alias("vid")).distinct().select(
+        "vid", (FRAMES + vid % 7).alias("frame_count"), width_of(vid).alias("width"), height_of(vid).alias("height")
+    )
+
+
+def width_of(vid: Column) -> Column:
+    return 64 + 8 * (vid % 3)
+
+
+def height_of(vid: Column) -> Column:
+    return 48 + 4 * (vid % 2)
+
+
 def raw_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """vid, fid, tid, box, generated, tracker, ord (place in its frame's list), and seeds for masks and scores."""
     part_seventh = F.floor(F.col("l_partkey") / 7)
@@ -77,38 +93,37 @@ def relations(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("tax").alias("begin"),
             (F.lit(124) - F.col("discount")).alias("end"),
             "ord",
-            F.array(
-                F.struct(s.alias("tid"), named(s).alias("category")), F.struct(o.alias("tid"), named(o).alias("category"))
-            ).alias("cats"),
+            # the last entry names an object that takes no part in any relation
+            F.array(*(F.struct(t.alias("tid"), named(t).alias("category")) for t in (s, o, F.lit(8).cast("long") + s % 3))).alias("cats"),
         )
     )
 
 
-def _columns_of(x0: Column, y0: Column, x1: Column, y1: Column, height: int) -> Column:
+def columns_of(x0: Column, y0: Column, x1: Column, y1: Column, height: Column) -> Column:
     """A rectangle as half-open intervals over the column-major pixel index, one for each column."""
     return F.transform(
         F.sequence(x0, x1), lambda x: F.struct((x * height + y0).alias("s"), (x * height + y1 + 1).alias("e"))
     )
 
 
-def mask_passes(boxes: DataFrame, settings: Settings = SETTINGS) -> DataFrame:
-    """vid, fid, tid, fwd, bwd (intervals, null where the pass has no mask), fconf, bconf."""
-    h, height = F.col("h"), settings.height
+def mask_passes(boxes: DataFrame) -> DataFrame:
+    """Of boxes with their video's height: vid, fid, tid, fwd, bwd (intervals, null where the pass has no mask), fconf, bconf."""
+    h, height = F.col("h"), F.col("height")
     x0, y0, x1, y1 = (F.col(c) for c in ("xmin", "ymin", "xmax", "ymax"))
-    corner = _columns_of(x0, y0, x0 + 1, y0 + 2, height)
-    thin = _columns_of(x0, y0, x0, y1, height)
+    corner = columns_of(x0, y0, x0 + 1, y0 + 2, height)
+    thin = columns_of(x0, y0, x0, y1, height)
     moved = (x0 + 25) % 32
     fwd = (
         F.when(h.isin(0, 4, 9), F.lit(None))
         .when(h.isin(2, 5, 8), corner)
         .when(h == 7, thin)
-        .otherwise(_columns_of(x0, y0, x1, y1, height))
+        .otherwise(columns_of(x0, y0, x1, y1, height))
     )
     bwd = (
         F.when(h.isin(1, 4, 8), F.lit(None))
         .when(h.isin(3, 5, 9), corner)
-        .when(h == 6, _columns_of(moved, y0, moved + x1 - x0, y1, height))
-        .otherwise(_columns_of(x0 + 1, y0, x1 + 1, y1, height))
+        .when(h == 6, columns_of(moved, y0, moved + x1 - x0, y1, height))
+        .otherwise(columns_of(x0 + 1, y0, x1 + 1, y1, height))
     )
     return boxes.select(
         "vid",
