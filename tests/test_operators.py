@@ -7,7 +7,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from trackset.config import Gate, Merge, Settings
+from trackset.config import MODEL, MODEL_VERSION, Gate, Merge, Settings
 from trackset.functions import geometry, rle
 from trackset.operators import audit, combine, coverage, gate, planning, prompts, records, units
 from trackset.streaming import tail
@@ -106,47 +106,76 @@ def test_gap_fills_do_not_depend_on_order():
         assert anchors == {*kept, *(x[0] for x in found)}
 
 
+def tracked(spark, rows, width=W, height=H, extra=""):
+    """Tracks of all boxes of rows (as BOX), over one segment of all frames."""
+    raw = spark.createDataFrame(rows, BOX + extra).withColumn("ord", F.monotonically_increasing_id())
+    of = raw.groupBy("vid").agg(F.min("fid").alias("seg_begin"), F.max("fid").alias("seg_end"), F.collect_set("tid").alias("tids"))
+    return planning.tracks(raw, of.withColumn("width", F.lit(width).cast("long")).withColumn("height", F.lit(height).cast("long")), planning.MEASURES)
+
+
+def test_tracks(spark):
+    rows = [("v", 0, 1, 0, 0, 9, 9, 0), ("v", 0, 1, 5, 5, 6, 6, 0), ("v", 0, 2, 5, 0, 14, 9, 1), ("v", 3, 2, 0, 0, 3, 3, 0), ("w", 1, 1, 0, 0, 5, 5, 0)]
+    raw = spark.createDataFrame(rows, BOX).coalesce(1).withColumn("ord", F.monotonically_increasing_id())
+    clips = spark.createDataFrame([("v", 0, 2, [1, 2], W, H), ("w", 0, 5, [3], W, H)], "vid string, seg_begin long, seg_end long, tids array<long>, width long, height long")
+    found = {(r.fid, r.tid): r for r in planning.tracks(raw, clips, planning.MEASURES).collect()}
+    # the first box of an object in a frame counts, objects outside relations do not, spans are cut by the segment
+    assert {k: (r.xmin, r.lo, r.hi) for k, r in found.items()} == {(0, 1): (0, 0, 0), (0, 2): (5, 0, 2), (3, 2): (0, 0, 2)}
+    assert found[0, 1].max_iou == 50 / 150 and found[0, 1].overlap == 0.5 and found[3, 2].max_iou == 0.0 and found[0, 2].inners == []
+    assert {r.tid for r in planning.in_span(planning.tracks(raw, clips)).collect()} == {1, 2}
+
+
 def test_gate_flags_and_fallback(spark):
     rows = [("v", f, 1, 20, 10, 39, 29, 0) for f in range(0, 40, 10)]
     rows += [("v", 40, 1, 0, 10, 5, 20, 0), ("v", 10, 2, 20, 10, 39, 29, 1), ("v", 50, 1, 20, 10, 39, 29, 0)]
-    boxes = spark.createDataFrame(rows, BOX)
-    keys = boxes.where("generated = 0").withColumn("blur", F.when(F.col("fid") == 30, 5.0).otherwise(90.0))
-    found = {r.fid: r.flags for r in gate.metrics(keys, boxes, Settings(width=W, height=H, gate=Gate(motion_most=9.0))).collect()}
-    assert found == {0: [], 10: ["overlap"], 20: [], 30: ["blur"], 40: ["edge", "small"], 50: []}
-    all_bad = keys.where("fid IN (10, 40)")
-    flagged = gate.metrics(all_bad, boxes, Settings(width=W, height=H, gate=Gate(motion_most=9.0)))
-    pick = lambda f: {r.fid for r in flagged.withColumn("c", gate.candidate(f)).where("c").collect()}
-    assert len(pick("least-flagged")) >= 1 and pick("refuse") == set()
+    boxes = tracked(spark, rows).withColumn("blur", F.when(F.col("fid") == 30, 5.0).otherwise(90.0))
+    loose = Settings(gate=Gate(motion_most=9.0))
+    flagged = gate.metrics(boxes, loose)
+    found = {(r.tid, r.fid): r.flags for r in flagged.collect()}
+    assert found == {(1, 0): [], (1, 10): ["overlap"], (1, 20): [], (1, 30): ["blur"], (1, 40): ["edge", "small"], (1, 50): [], (2, 10): None}
+    all_bad = flagged.where("fid IN (10, 40) AND tid = 1")
+    pick = lambda f: {r.fid for r in all_bad.withColumn("c", gate.candidate(f)).where("c").collect()}
+    assert pick("least-flagged") == {10} and pick("refuse") == set()
+    # a wider frame has its edge elsewhere
+    right = [("v", 0, 1, 40, 10, 62, 20, 0)]
+    edge = lambda w: gate.metrics(tracked(spark, right, width=w), loose).first().edge
+    assert (edge(64), edge(96)) == (1, 0)
 
 
 def test_container_prompts(spark):
     rows = [("v", f, 0, 0, 0, 59, 40, int(f not in (0, 5))) for f in (0, 2, 5, 8)]
     rows += [("v", f, 1, 10, 10, 19, 19, 0) for f in (0, 2, 5, 8)]
-    boxes = spark.createDataFrame(rows, BOX)
+    boxes = tracked(spark, rows)
     schema = "vid string, fid long, tid long, is_ref boolean"
     anchors = spark.createDataFrame([("v", 0, 0, True), ("v", 5, 0, False), ("v", 2, 1, True), ("v", 8, 1, False), ("v", 5, 1, False)], schema)
-    pairs = prompts.contained_pairs(boxes)
-    co = prompts.co_prompts(anchors, pairs, boxes)
+    co = prompts.co_prompts(anchors, boxes)
     assert {(r.tid, r.fid, r.generated) for r in co.collect()} == {(0, 2, 1), (0, 8, 1)}
     every = anchors.select("vid", "fid", "tid").unionByName(co.select("vid", "fid", "tid"))
-    clicks = prompts.negative_clicks(every, pairs, boxes, Settings(width=W, height=H))
+    clicks = prompts.negative_clicks(every, boxes)
     assert {(r.tid, r.fid, r.inner, r.x) for r in clicks.collect()} == {(0, f, 1, 14.5 / 64) for f in (0, 2, 5, 8)}
     order = prompts.schedule(anchors, co, clicks).orderBy("seq").collect()
+    assert prompts.over_cap(prompts.schedule(anchors, co, clicks), most=2).count() == 4
+    assert prompts.checked(prompts.schedule(anchors, co, clicks)).count() == 7
+    with pytest.raises(Exception, match="too many points"):
+        prompts.checked(prompts.schedule(anchors, co, clicks), most=2).collect()
+    with pytest.raises(Exception, match="two references"):
+        prompts.checked(prompts.schedule(anchors.withColumn("is_ref", F.lit(True)), co, clicks)).collect()
+    totals = prompts.negatives_totals(co, clicks).first()
+    assert (totals.negative_clicks, totals.co_prompts, totals.co_prompts_at_tracker_boxes) == (4, 2, 2)
     assert [(r.tid, r.fid, r.n_points) for r in order] == [(0, 0, 3), (1, 2, 2), (0, 2, 3), (0, 5, 3), (1, 5, 2), (0, 8, 3), (1, 8, 2)]
 
 
 def test_co_prompts_pass_on_in_ascending_order_only(spark):
     sizes = {1: (10, 10, 13, 13), 2: (8, 8, 20, 20), 3: (0, 0, 40, 40)}
     for order, added in (((1, 2, 3), {2, 3}), ((2, 1, 3), {1, 3}), ((3, 2, 1), {2, 1})):
-        boxes = spark.createDataFrame([("v", 0, t, *sizes[k], 0) for t, k in zip(order, (1, 2, 3))], BOX)
+        boxes = tracked(spark, [("v", 0, t, *sizes[k], 0) for t, k in zip(order, (1, 2, 3))])
         everyone = [("v", 0, order[0], True)] + [("v", 9, t, True) for t in order[1:]]
         anchors = spark.createDataFrame(everyone, "vid string, fid long, tid long, is_ref boolean")
-        found = {r.tid for r in prompts.co_prompts(anchors, prompts.contained_pairs(boxes), boxes).collect()}
+        found = {r.tid for r in prompts.co_prompts(anchors, boxes).collect()}
         assert found == added
     # a container that is added after its own turn does not pass the prompt on
-    boxes = spark.createDataFrame([("v", 0, 3, *sizes[1], 0), ("v", 0, 1, *sizes[2], 0), ("v", 0, 2, 0, 0, 26, 26, 0)], BOX)
+    boxes = tracked(spark, [("v", 0, 3, *sizes[1], 0), ("v", 0, 1, *sizes[2], 0), ("v", 0, 2, 0, 0, 26, 26, 0)])
     anchors = spark.createDataFrame([("v", 0, 3, True), ("v", 9, 1, True), ("v", 9, 2, True)], "vid string, fid long, tid long, is_ref boolean")
-    assert {r.tid for r in prompts.co_prompts(anchors, prompts.contained_pairs(boxes), boxes).collect()} == {1, 2}
+    assert {r.tid for r in prompts.co_prompts(anchors, boxes).collect()} == {1, 2}
 
 
 @pytest.mark.parametrize(
@@ -216,30 +245,51 @@ def test_handover_conflict_and_fallback():
     assert (out[0]["after"], out[0]["to"], out[1]["mask"].bit_count()) == (200, [1], 200)
 
 
-def test_written_masks_share_no_pixel():
-    """If passes are disjoint in themselves, so are the written masks; and trimming is what the closed form says."""
+def pair_by_pair(objects, floor):
+    """The same decisions by looking at all pairs of objects in order, and taking shared pixels from one of the two."""
+    out, live = {}, {}
+    for o in objects:
+        if o["pref"] == "dispute":
+            out[o["tid"]] = ("refused", None, None)
+        else:
+            back = "backward" in o["pref"]
+            live[o["tid"]] = [o["bwd"] if back else o["fwd"], o["pref"] in ("forward", "backward"), back, o]
+    left, takers = {t: x[0] for t, x in live.items()}, {t: [] for t in live}
+    clash = {t for t in live for u in live if t != u and live[t][1] and live[u][1] and live[t][0] & live[u][0]}
+    for t in sorted(live):
+        for u in sorted(live):
+            if t < u and not (live[t][1] and live[u][1]):
+                if live[t][1] != live[u][1]:
+                    loser = u if live[t][1] else t
+                elif live[t][2] != live[u][2]:
+                    loser = t if live[t][2] else u
+                else:
+                    continue
+                other = t + u - loser
+                if left[loser] & left[other]:
+                    left[loser] &= ~left[other]
+                    takers[loser].append(other)
+    for t, (_, _, back, o) in live.items():
+        if t in clash:
+            out[t] = ("refused", None, None)
+        elif takers[t] and left[t].bit_count() < floor:
+            free = not any(o["bwd"] & left[u] for u in live if u != t and u not in clash)
+            out[t] = ("backward", o["bwd"], takers[t]) if o["bwd"] and free and not o["taken"] else ("refused", None, takers[t])
+        else:
+            out[t] = ("backward" if back else "forward", left[t], takers[t])
+    return out
+
+
+def test_frames_are_decided_as_pair_by_pair():
     rng = random.Random(3)
-    for _ in range(400):
-        free, objects = {"fwd": (1 << 200) - 1, "bwd": (1 << 200) - 1}, []
-        for tid in range(5):
-            masks = {}
-            for side in free:
-                masks[side] = free[side] & rng.getrandbits(200) & rng.getrandbits(200)
-                free[side] &= ~masks[side]
-            objects.append(obj(tid, rng.choice(["forward", "backward", "either", "weak_backward", "dispute"]), **masks))
-        out = combine.decide_frame(objects, 20)
-        strong = rest = 0
-        for o in objects:
-            strong |= {"forward": o["fwd"], "backward": o["bwd"]}.get(o["pref"], 0)
-        for o in objects:
-            rest |= o["fwd"] & ~strong if o["pref"] == "either" else 0
-        seen = 0
-        for o in objects:
-            mask = out[o["tid"]].get("mask")
-            if mask and not out[o["tid"]].get("fallback"):
-                expected = {"either": o["fwd"] & ~strong, "weak_backward": o["bwd"] & ~strong & ~rest}
-                assert mask == expected.get(o["pref"], mask) and not mask & seen
-                seen |= mask
+    prefs = ["forward", "backward", "either", "weak_backward", "either", "weak_backward", "dispute"]
+    for n in range(2500):
+        size = rng.choice((12, 60, 200))
+        bits = lambda: rng.getrandbits(size) & (rng.getrandbits(size) if n % 3 else -1)
+        objects = [obj(t, rng.choice(prefs), bits(), bits() if rng.random() < 0.8 else 0, rng.random() < 0.3) for t in rng.sample(range(9), rng.randint(0, 6))]
+        found = combine.decide_frame(objects, 20)
+        expected = pair_by_pair(objects, 20)
+        assert {t: (d["decision"], d.get("mask"), d.get("to")) for t, d in found.items()} == expected
 
 
 def test_unit_status_and_attempts(spark):
@@ -268,18 +318,20 @@ def test_shards_cover_every_unit(spark, n, k):
 
 def test_violations_come_in_order(spark):
     good = dict(
-        vid="1", tid=0, fid=0, model="m", checkpoint_hash="a" * 64, code_commit="c", created_at="t", tracker="none", prompt_mode="pvs_box_multianchor",
-        policy="human", n_anchors=2, has_gap=False, direction=None, has_merge=False, generated=0, split="val", reason=None, rle_h=4, rle_w=4, counts="x", confidence=0.5,
+        vid="1", tid=0, fid=0, model=MODEL, checkpoint_hash="a" * 64, version=MODEL_VERSION, code_commit="c", created_at="t", tracker="none", prompt_mode="pvs_box_multianchor",
+        policy="human", anchors=[2, 5], has_gap=False, negatives_ok=None, direction=None, has_merge=False, generated=0, split="val", reason=None, rle_h=4, rle_w=4, counts="x", confidence=0.5,
     )
     schema = (
-        "vid string, tid long, fid long, model string, checkpoint_hash string, code_commit string, created_at string, tracker string, "
-        "prompt_mode string, policy string, n_anchors long, has_gap boolean, direction string, has_merge boolean, generated long, split string, "
+        "vid string, tid long, fid long, model string, checkpoint_hash string, version string, code_commit string, created_at string, tracker string, "
+        "prompt_mode string, policy string, anchors array<long>, has_gap boolean, negatives_ok boolean, direction string, has_merge boolean, generated long, split string, "
         "reason string, rle_h long, rle_w long, counts string, confidence double"
     )
     cases = [
         ({}, None), ({"confidence": NAN}, None), ({"vid": ""}, "vid is empty"), ({"tid": None, "model": ""}, "tid is not a number from 0"),
         ({"checkpoint_hash": "A" * 64}, "checkpoint_hash is no sha256"), ({"policy": "human_gap"}, "gap is missing"),
-        ({"direction": "bidirectional"}, "merge is missing"), ({"direction": "bidirectional", "n_anchors": 0}, None),
+        ({"direction": "bidirectional"}, "merge is missing"), ({"direction": "bidirectional", "anchors": []}, None), ({"anchors": None}, "anchors are missing"), ({"anchors": [1, None]}, "anchors are missing"),
+        ({"model": "x", "version": "y"}, "model is not the expected one"), ({"version": "y"}, "version is not the expected one"),
+        ({"negatives_ok": False}, "contained negatives are malformed"),
         ({"counts": None, "confidence": None, "reason": "empty_mask"}, None), ({"counts": None, "confidence": None}, "reason is unknown"),
         ({"counts": None, "reason": "empty_mask"}, "a refusal has a confidence"), ({"confidence": 1.5}, "confidence is not in 0 to 1"),
         ({"confidence": None}, "a mask has no confidence"), ({"split": "train+val"}, "split is unknown"),

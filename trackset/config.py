@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import os
+import datetime
+import subprocess
 from dataclasses import asdict, dataclass, field, fields
+from pathlib import Path
 
+# What settings may say.
 POLICIES = ("human", "human_gap", "hq")
 GAP_FILLS = ("human", "any")
 FALLBACKS = ("least-flagged", "refuse")
@@ -76,6 +80,39 @@ class Settings:
         return asdict(self)
 
 
+#: The model that records name, where a tracklet's masks may come from, and what a relation's record may be.
+MODEL, MODEL_VERSION = "sam3.1-object-multiplex", "3.1"
+SOURCES = ("ground_truth", "sam3.1_main_referent", "sam3.1_context")
+DISPOSITIONS = ("complete_bcc", "incomplete_context", "missing_main_referent", "negative_unsegmentable")
+
+
+@dataclass(frozen=True)
+class Stamps:
+    """What is the same for all records of a run; worked out once, on the driver, and kept out of hashes."""
+
+    checkpoint_hash: str = "0" * 64
+    code_commit: str = ""
+    created_at: str = ""
+    model: str = MODEL
+    version: str = MODEL_VERSION
+
+    @classmethod
+    def now(cls, checkpoint_hash: str = "0" * 64) -> Stamps:
+        at = datetime.datetime.now(datetime.timezone.utc).isoformat(timespec="seconds")
+        return cls(checkpoint_hash=checkpoint_hash, code_commit=code_commit(), created_at=at)
+
+
+def code_commit(folder: Path | None = None) -> str:
+    """The commit of the code's checkout, marked if it has been changed; never empty."""
+    git = ["git", "-C", str(folder or Path(__file__).parent)]
+    try:
+        head = subprocess.run([*git, "rev-parse", "--short", "HEAD"], capture_output=True, text=True, check=True, timeout=20)
+        changed = subprocess.run([*git, "status", "--porcelain", "."], capture_output=True, text=True, timeout=20)
+    except (OSError, subprocess.SubprocessError):
+        return "no-checkout"
+    return head.stdout.strip() + ("-dirty" if changed.stdout.strip() else "")
+
+
 @dataclass(frozen=True)
 class Roots:
     """Where a data set's files lie; each root falls back on its own: argument, environment, default."""

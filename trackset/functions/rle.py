@@ -120,6 +120,14 @@ def counts_intervals(counts: pd.Series) -> pd.Series:
     return pd.Series([None if c is None else [{"s": s, "e": e} for s, e in intervals_of(unpack(c))] for c in counts])
 
 
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def runs(intervals: pd.Series, size: pd.Series) -> pd.Series:
+    """Run lengths, background first, of a mask given by intervals; null stays null."""
+    return pd.Series(
+        [None if m is None else runs_of([(int(x["s"]), int(x["e"])) for x in m], int(n)) for m, n in zip(intervals, size)]
+    )
+
+
 @F.pandas_udf(T.BooleanType())
 def decodable(counts: pd.Series, size: pd.Series) -> pd.Series:
     """Whether compressed counts can be read and fill the frame."""

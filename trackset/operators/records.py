@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from trackset.config import Settings
 
 KEY = ["vid", "fid", "tid"]
+#: Why a whole clip is refused, and which of these a transcoded video repairs.
+CLIP_REASONS = ("too_many_objects", "video_missing", "frame_count_mismatch", "frame_size_mismatch", "decode_black")
+REQUEUE_REASONS = ("decode_black", "frame_size_mismatch")
 
 
 def clip_reasons(rows: DataFrame, settings: Settings) -> DataFrame:
@@ -56,21 +59,27 @@ def merged_records(frames: DataFrame, refused: DataFrame, decided: DataFrame, cl
     )
 
 
-def single_pass_records(frames: DataFrame, refused: DataFrame, masks: DataFrame) -> DataFrame:
-    """vid, tid, fid, reason of a run in one direction. `masks` has a row (vid, fid, tid, mask) for each prediction.
+def single_pass_records(
+    frames: DataFrame, refused: DataFrame, masks: DataFrame, clips: DataFrame | None = None, want_boxes: bool = False
+) -> DataFrame:
+    """vid, tid, fid, reason, mask [, confidence, generated, tracker] of a run in one direction. `masks` has a row (vid,
+    fid, tid, mask [, confidence]) for each prediction, `clips` why whole videos are refused.
 
     A frame without any prediction was not tracked, if the pass predicted anything at all in the video.
     """
     any_frame = masks.select("vid", "fid").distinct().withColumn("frame_seen", F.lit(True))
     any_video = masks.select("vid").distinct().withColumn("video_seen", F.lit(True))
-    rows = frames.join(refused, ["vid", "tid"], "left").join(masks.select(*KEY, "mask"), KEY, "left")
+    rows = frames.join(refused, ["vid", "tid"], "left").join(masks.select(*KEY, *(c for c in ("mask", "confidence") if c in masks.columns)), KEY, "left")
     rows = rows.join(any_frame, ["vid", "fid"], "left").join(any_video, "vid", "left")
+    rows = rows.withColumn("clip_reason", F.lit(None).cast("string")) if clips is None else rows.join(clips, "vid", "left")
     why = (
-        F.when(F.col("reason").isNotNull(), F.col("reason"))
+        F.when(F.col("clip_reason").isNotNull(), F.col("clip_reason"))
+        .when(F.col("reason").isNotNull(), F.col("reason"))
         .when(F.col("video_seen") & F.col("frame_seen").isNull(), "not_tracked")
         .when(F.coalesce(F.size("mask"), F.lit(0)) <= 0, "empty_mask")
     )
-    return rows.select("vid", "tid", "fid", why.alias("reason"))
+    more = [F.when(why.isNull(), F.col(c)).alias(c) for c in ("mask", "confidence") if c in rows.columns]
+    return rows.select("vid", "tid", "fid", why.alias("reason"), *more, *(c for c in ("generated", "tracker") if want_boxes))
 
 
 def by_reason(records: DataFrame) -> DataFrame:
@@ -117,6 +126,14 @@ def run_totals(records: DataFrame) -> DataFrame:
     )
 
 
+def with_costs(ledger: DataFrame, runs: DataFrame, errors: DataFrame, paths: DataFrame) -> DataFrame:
+    """A ledger with wall_s (one decimal) and vram_gb (two) of its runs, error_type of its errors, and video_path."""
+    rows = ledger.join(runs.select("vid", F.round("wall_s", 1).alias("wall_s"), F.round("vram_gb", 2).alias("vram_gb")), "vid", "left")
+    rows = rows.join(errors.select("vid", "error_type"), "vid", "left").join(paths.select("vid", F.col("path").alias("video_path")), "vid", "left")
+    if_done = lambda c: F.when(F.col("status") == "done", F.col(c))
+    return rows.withColumns({"wall_s": if_done("wall_s"), "vram_gb": if_done("vram_gb")})
+
+
 def ledger(units: DataFrame, status: DataFrame, totals: DataFrame, clips: DataFrame) -> DataFrame:
     """One row for each unit; totals only of those that are done."""
     rows = units.join(status, "vid").join(totals, "vid", "left").join(clips, "vid", "left")
@@ -126,6 +143,98 @@ def ledger(units: DataFrame, status: DataFrame, totals: DataFrame, clips: DataFr
     )
 
 
+def export_totals(records: DataFrame) -> DataFrame:
+    """split, masks, refusals, clips, and which commits and checkpoints the records name, sorted."""
+    listed = lambda c: F.concat_ws(",", F.array_sort(F.collect_set(c))).alias(f"{c}s")
+    return records.groupBy("split").agg(
+        F.count_if(F.col("reason").isNull()).alias("masks"),
+        F.count_if(F.col("reason").isNotNull()).alias("refusals"),
+        F.countDistinct("vid").alias("clips"),
+        listed("code_commit"),
+        listed("checkpoint_hash"),
+    )
+
+
+def run_costs(ledger: DataFrame) -> DataFrame:
+    """hours and vram_gb of the units that are done, from a ledger's rounded figures."""
+    done = F.col("status") == "done"
+    return ledger.agg(
+        F.round(F.coalesce(F.sum(F.when(done, F.col("wall_s"))), F.lit(0.0)) / 3600, 3).alias("hours"),
+        F.round(F.coalesce(F.max(F.when(done, F.col("vram_gb"))), F.lit(0.0)), 2).alias("vram_gb"),
+    )
+
+
+def stamped(records: DataFrame, anchors: DataFrame, split_of: DataFrame, videos: DataFrame, settings: Settings, stamps) -> DataFrame:
+    """Records (with mask intervals) as flat rows that keep the record contract, with their payload as JSON.
+
+    `anchors` are all anchors (vid, tid, fid, is_ref [, fill]), `split_of` has vid and split.
+    """
+    from trackset.functions import rle
+    from trackset.sources import sinks
+
+    of = anchors.groupBy("vid", "tid").agg(
+        F.array_sort(F.collect_set("fid")).alias("anchors"),
+        F.min(F.when(F.col("is_ref"), F.col("fid"))).alias("ref"),
+        (F.count_if(F.col("fill").isNotNull()) if "fill" in anchors.columns else F.lit(0).cast("long")).alias("n_fills"),
+    )
+    both = settings.direction == "both"
+    rows = records.join(of, ["vid", "tid"], "left").join(split_of, "vid").join(videos.select("vid", "width", "height"), "vid")
+    prompted = F.col("anchors").isNotNull() & ~F.col("reason").isin(*CLIP_REASONS) | F.col("anchors").isNotNull() & F.col("reason").isNull()
+    none = F.array().cast("array<bigint>")
+    rows = rows.withColumn("anchors", F.when(prompted, F.col("anchors")).otherwise(none)).withColumn("ref", F.when(prompted, F.col("ref")))
+    gap = F.when(prompted, F.struct(F.lit(settings.max_gap).alias("max_gap"), F.lit(settings.gap_fill).alias("gap_fill"), "n_fills"))
+    merge = F.when(prompted, F.struct(F.coalesce("source", F.lit("none")).alias("decision"), "reason"))
+    extras = {}
+    if settings.policy == "human_gap":
+        extras["gap"] = gap
+    if both:
+        extras["merge"] = merge
+    direction = F.lit("bidirectional" if both else settings.direction)
+    payload = sinks.payload(F.col("anchors"), F.col("ref"), F.lit(settings.policy), direction, extras)
+    mode = "pvs_box_hqanchor" if settings.policy == "hq" else "pvs_box_multianchor"
+    mask = F.col("reason").isNull()
+    size = F.col("width") * F.col("height")
+    return rows.select(
+        "vid",
+        "tid",
+        "fid",
+        *(F.lit(getattr(stamps, k)).alias(k) for k in ("model", "checkpoint_hash", "version", "code_commit", "created_at")),
+        "tracker",
+        F.lit(mode).alias("prompt_mode"),
+        F.lit(settings.policy).alias("policy"),
+        "anchors",
+        F.lit(settings.policy == "human_gap").alias("has_gap"),
+        F.lit(None).cast("boolean").alias("negatives_ok"),
+        F.lit("bidirectional" if both else None if settings.direction == "forward" else settings.direction).cast("string").alias("direction"),
+        F.lit(both).alias("has_merge"),
+        "generated",
+        "split",
+        "reason",
+        F.when(mask, F.col("height")).alias("rle_h"),
+        F.when(mask, F.col("width")).alias("rle_w"),
+        F.when(mask, rle.counts_text("mask", size)).alias("counts"),
+        F.when(mask, F.col("confidence")).alias("confidence"),
+        payload.alias("payload"),
+    )
+
+
+def requeued(ledger: DataFrame, copies: DataFrame) -> DataFrame:
+    """vid, video_path of done units that were refused for what a transcode repairs and have a copy (vid, path) now: their
+    runs, records and errors are superseded, and the worklist reads the copy."""
+    return to_transcode(ledger, REQUEUE_REASONS).join(copies, "vid").select("vid", F.col("path").alias("video_path"))
+
+
+def plan_lines(clips: DataFrame, spans: DataFrame, anchors: DataFrame, refused: DataFrame, categories: DataFrame) -> DataFrame:
+    """vid, tid, line: what is planned for each object, in words."""
+    of = anchors.groupBy("vid", "tid").agg(F.count(F.lit(1)).alias("n"), F.min(F.when(F.col("is_ref"), F.col("fid"))).alias("ref"))
+    rows = spans.join(of, ["vid", "tid"], "left").join(refused, ["vid", "tid"], "left").join(categories, ["vid", "tid"], "left")
+    head = F.format_string("tid %d (%s): frames %d to %d", "tid", F.coalesce("category", F.lit("?")), "lo", "hi")
+    tail = F.when(F.col("reason").isNotNull(), F.concat(F.lit("refused, "), "reason")).otherwise(
+        F.format_string("%d anchors, reference %d", F.coalesce("n", F.lit(0).cast("long")), F.coalesce("ref", F.lit(-1).cast("long")))
+    )
+    return rows.join(clips.select("vid"), "vid").select("vid", "tid", F.concat_ws("; ", head, tail).alias("line"))
+
+
 def campaign_status(ledger: DataFrame) -> DataFrame:
     """status, clips, masks, refusals, retried."""
     return ledger.groupBy("status").agg(

@@ -272,10 +272,10 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "tracklets": (
         ("records", "seg"),
-        """SELECT r.vid, r.tid, present, n_records, (coalesce(CAST(h AS DOUBLE) / nullif(n, 0), 100.0)) / 100 AS mean_confidence,
+        """SELECT r.vid, r.tid, present, n_records, (coalesce(CAST(h AS DOUBLE) / nullif(n, 0), 1e9)) / 1e9 AS mean_confidence,
     coalesce(top, 1.0) AS max_confidence, first_fid, coalesce(w.refusals, '') AS refusals
   FROM (SELECT vid, tid, count(*) FILTER (reason IS NULL) AS present, count(*) AS n_records,
-               sum(CAST(round(confidence * 100) AS BIGINT)) AS h, count(confidence) AS n, max(confidence) AS top,
+               CAST(sum(CAST(round(confidence * 1e9) AS BIGINT)) AS BIGINT) AS h, count(confidence) AS n, max(confidence) AS top,
                min(fid) FILTER (reason IS NULL) AS first_fid
         FROM records JOIN seg USING (vid) WHERE fid BETWEEN seg_begin AND seg_end GROUP BY vid, tid) r
   LEFT JOIN (SELECT vid, tid, string_agg(reason || ':' || k, ',' ORDER BY reason || ':' || k) AS refusals FROM (
@@ -291,10 +291,10 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "samples": (
         ("triples", "captions", "tracklets"),
-        """SELECT vid, s, p, o, disposition, n_tracklets, n_groups, CASE WHEN disposition <> '' THEN
-      (n_tracklets = 0 AND n_groups = 0 AND disposition = 'missing_main_referent')
-      OR (n_tracklets > 0 AND n_tracklets = n_groups AND main) END AS valid
-  FROM (SELECT vid, s, p, o, main, n_groups, CASE WHEN NOT given THEN '' WHEN NOT sm THEN 'missing_main_referent'
+        """SELECT vid, s, p, o, disposition, n_tracklets, n_groups, CASE WHEN disposition <> '' THEN txt IS NOT NULL AND
+      ((n_tracklets = 0 AND n_groups = 0 AND disposition = 'missing_main_referent')
+      OR (n_tracklets > 0 AND n_tracklets = n_groups AND main)) END AS valid
+  FROM (SELECT vid, s, p, o, txt, main, n_groups, CASE WHEN NOT given THEN '' WHEN NOT sm THEN 'missing_main_referent'
           WHEN complete THEN 'complete_bcc' WHEN main THEN 'incomplete_context' ELSE 'missing_main_referent' END
           AS disposition, CASE WHEN NOT given OR complete THEN n_all WHEN NOT sm OR main THEN n_groups ELSE 0 END
           AS n_tracklets

@@ -9,7 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackset import scratch
+from trackset import config, scratch
 from trackset.functions import geometry, rle
 from trackset.operators import audit, combine, correspondence, coverage, gate, planning, prompts, records, units
 from trackset.plans.oracle import sql
@@ -540,7 +540,8 @@ FROM inspan i LEFT JOIN noanchor n USING (vid, tid) LEFT JOIN (SELECT * FROM mas
 def q_records_forward(t):
     plan = t.plan.shared()
     masks = proxy.mask_passes(plan.boxes).where("fwd IS NOT NULL AND fid % 11 <> 3")
-    return records.single_pass_records(plan.records, plan.refused, masks.withColumnRenamed("fwd", "mask"))
+    rows = records.single_pass_records(plan.records, plan.refused, masks.withColumnRenamed("fwd", "mask"))
+    return rows.select("vid", "tid", "fid", "reason")
 
 
 @query("SELECT * FROM clips", "clips")
@@ -603,14 +604,16 @@ def _flat(t):
         F.col("vid").cast("string").alias("vid"),
         broken(0, F.lit(-1).cast("long"), F.col("tid")).alias("tid"),
         "fid",
-        broken(1, F.lit(""), F.lit("tracker")).alias("model"),
+        F.when(k == 1, "").when(k == 17, "other").otherwise(config.MODEL).alias("model"),
         broken(2, F.lit("xyz"), F.sha2(F.lit("x"), 256)).alias("checkpoint_hash"),
+        F.when(k == 18, "0").when(k == 19, "").otherwise(config.MODEL_VERSION).alias("version"),
         broken(3, null, F.lit("c0ffee")).alias("code_commit"),
         F.lit("2020-01-01T00:00:00Z").alias("created_at"),
         broken(4, null, F.col("tracker")).alias("tracker"),
         broken(5, F.lit("text"), F.lit("pvs_box_multianchor")).alias("prompt_mode"),
         broken(6, F.lit("none"), F.lit("human_gap")).alias("policy"),
-        F.lit(3).alias("n_anchors"),
+        broken(20, null, F.array(F.lit(1).cast("long"), F.lit(5).cast("long"))).alias("anchors"),
+        broken(21, F.lit(False), null.cast("boolean")).alias("negatives_ok"),
         broken(7, F.lit(False), F.lit(True)).alias("has_gap"),
         broken(8, F.lit("sideways"), F.lit("bidirectional")).alias("direction"),
         broken(9, F.lit(False), F.lit(True)).alias("has_merge"),
@@ -629,7 +632,8 @@ def _flat(t):
     WHEN 0 THEN 'tid is not a number from 0' WHEN 1 THEN 'model is empty' WHEN 2 THEN 'checkpoint_hash is no sha256'
     WHEN 3 THEN 'code_commit is empty' WHEN 4 THEN 'tracker is empty' WHEN 5 THEN 'prompt_mode is unknown'
     WHEN 6 THEN 'policy is unknown' WHEN 7 THEN 'gap is missing' WHEN 8 THEN 'direction is unknown'
-    WHEN 9 THEN 'merge is missing' WHEN 10 THEN 'generated is not 0 or 1' WHEN 11 THEN 'split is unknown'
+    WHEN 17 THEN 'model is not the expected one' WHEN 18 THEN 'version is not the expected one' WHEN 19 THEN 'version is empty'
+    WHEN 20 THEN 'anchors are missing' WHEN 21 THEN 'contained negatives are malformed' WHEN 9 THEN 'merge is missing' WHEN 10 THEN 'generated is not 0 or 1' WHEN 11 THEN 'split is unknown'
     WHEN 12 THEN CASE WHEN reason IS NULL THEN 'a mask has a reason' ELSE 'reason is unknown' END
     WHEN 13 THEN CASE WHEN reason IS NULL THEN 'mask is malformed' END
     WHEN 14 THEN CASE WHEN reason IS NULL THEN 'mask is malformed' END
@@ -729,3 +733,101 @@ def q_inside_px(t):
     rows = t.readings.join(sides, ["vid", "fid", "tid"])
     inside = F.when(F.col("fwd").isNotNull(), rle.overlap(F.col("fwd"), F.col("box")))
     return rows.select("vid", "fid", "tid", inside.alias("inside_px"), F.col("fa").alias("area"))
+
+
+@query(
+    """SELECT d.vid, d.tid, seg_end - seg_begin + 1 AS n_frames, count(*) FILTER (fid IS NOT NULL) AS present,
+string_agg(CASE WHEN fid IS NULL THEN '0' ELSE '1' END, '' ORDER BY f) AS shape, CAST(coalesce(sum(area), 0) AS BIGINT) AS area
+FROM (SELECT vid, tid, seg_begin, seg_end, unnest(range(seg_begin, seg_end + 1)) AS f FROM tracklets JOIN seg USING (vid)) d
+LEFT JOIN (SELECT vid, tid, fid, area FROM records WHERE reason IS NULL) r ON d.vid = r.vid AND d.tid = r.tid AND d.f = r.fid
+GROUP BY d.vid, d.tid, seg_begin, seg_end""",
+    "tracklets",
+    "records",
+    "seg",
+)
+def q_aligned_masks(t):
+    rows = correspondence.aligned(t.records, t.plan.segments, "area")
+    shape = F.concat_ws("", F.transform("values", lambda v: F.when(v.isNull(), "0").otherwise("1")))
+    area = F.aggregate("values", F.lit(0).cast("long"), lambda a, v: a + F.coalesce(v, F.lit(0)))
+    return rows.select("vid", "tid", "n_frames", "present", shape.alias("shape"), area.alias("area"))
+
+
+def _nested(t):
+    """Nested records of captioned relations, whose masks are as large as their frames; each broken in one way that its
+    numbers choose."""
+    size = F.array(F.lit(1).cast("long"), F.lit(4096).cast("long"))
+    rows = correspondence.aligned(t.records, t.plan.segments, "area")
+    mask = lambda v: F.when(v.isNotNull(), F.struct(size.alias("size"), F.array(F.lit(4096) - v, v).alias("counts")))
+    tracks = rows.select("vid", "tid", F.transform("values", mask).alias("masks"), "present")
+    triples = units.triples(t.relations).drop("ord").withColumn("split", proxy.split_of(F.col("vid")))
+    nested = correspondence.relation_records(triples, tracks, t.captions, t.plan.segments, "tracks-v1", config.SOURCES[1])
+    k = F.expr("vid + 3 * s + 5 * o") % 13
+    broken = lambda n, name, bad: F.when(k == n, bad).otherwise(F.col(name)).alias(name)
+    kept = [c for c in nested.columns if c not in ("schema_version", "frame_ids", "frame_files", "disposition", "negative", "span_links")]
+    return nested.select(
+        *kept,
+        broken(2, "schema_version", F.lit("v0")),
+        broken(3, "frame_ids", F.array().cast("array<string>")),
+        broken(4, "frame_files", F.slice("frame_files", 1, 3)),
+        broken(7, "disposition", F.lit("unheard of")),
+        broken(8, "negative", F.lit(True)),
+        broken(9, "span_links", F.slice("span_links", 2, 9)),
+    )
+
+
+@query(
+    """SELECT vid, s, p, o, problem FROM (SELECT *, CASE
+  WHEN k = 2 THEN 'schema_version is not the expected one' WHEN txt IS NULL THEN 'text is empty' WHEN k = 3 THEN 'no frames'
+  WHEN k = 4 AND seg_end - seg_begin + 1 <> 3 THEN 'frame_files do not match frame_ids'
+  WHEN k = 9 AND n_links > 0 THEN 'span_links are not the inverse of groups' WHEN k = 7 THEN 'disposition is unknown'
+  WHEN k = 8 AND (n_tracklets > 0 OR n_groups > 0) THEN 'a negative record has tracklets'
+  WHEN k = 8 THEN 'a negative record''s disposition is another'
+  WHEN n_tracklets > 0 AND NOT main THEN 'no group is the main referent' END AS problem
+  FROM (SELECT m.*, (m.vid + 3 * m.s + 5 * m.o) % 13 AS k, txt, seg_begin, seg_end, n_groups AS n_links, n_groups > 0 AND s_named AND m.s <> m.o
+      AND (m.vid, m.s) IN (SELECT (vid, tid) FROM tracklets) AS main
+    FROM samples m JOIN captions c ON m.vid = c.vid AND m.s = c.s AND m.p = c.p AND m.o = c.o JOIN seg ON seg.vid = m.vid)) WHERE problem IS NOT NULL""",
+    "samples",
+    "captions",
+    "seg",
+    "tracklets",
+)
+def q_correspondence_violations(t):
+    return _nested(t).withColumn("problem", correspondence.record_problem("tracks-v1")).where("problem IS NOT NULL").select("vid", "s", "p", "o", "problem")
+
+
+@query(
+    """SELECT CASE WHEN vid % 10 < 8 THEN 'train' WHEN vid % 10 = 8 THEN 'val' ELSE 'test' END AS split,
+count(*) FILTER (reason IS NULL) AS masks, count(*) FILTER (reason IS NOT NULL) AS refusals, count(DISTINCT vid) AS clips,
+string_agg(DISTINCT CASE WHEN vid % 3 = 0 THEN 'b2' ELSE 'a1' END, ',' ORDER BY CASE WHEN vid % 3 = 0 THEN 'b2' ELSE 'a1' END) AS code_commits,
+'c' AS checkpoint_hashs FROM records GROUP BY 1""",
+    "records",
+)
+def q_export_totals(t):
+    commit = F.when(F.col("vid") % 3 == 0, "b2").otherwise("a1")
+    rows = t.records.select("vid", "reason", proxy.split_of(F.col("vid")).alias("split"), commit.alias("code_commit"), F.lit("c").alias("checkpoint_hash"))
+    return records.export_totals(rows)
+
+
+@query(
+    """SELECT vid, 'copies/' || vid AS video_path FROM ledger WHERE status = 'done'
+AND clip_reason IN ('decode_black', 'frame_size_mismatch') AND vid % 2 = 0""",
+    "ledger",
+)
+def q_requeued(t):
+    copies = t.known.where("vid % 2 = 0").select("vid", F.concat(F.lit("copies/"), F.col("vid").cast("string")).alias("path"))
+    return records.requeued(t.ledger, copies)
+
+
+@query(
+    """SELECT vid, tid, 'tid ' || tid || ' (' || coalesce(category, '?') || '): frames ' || lo || ' to ' || hi || '; ' ||
+CASE WHEN reason IS NOT NULL THEN 'refused, ' || reason ELSE n || ' anchors, reference ' || ref END AS line
+FROM spans LEFT JOIN cats USING (vid, tid) LEFT JOIN noanchor USING (vid, tid)
+LEFT JOIN (SELECT vid, tid, count(*) AS n, min(fid) FILTER (is_ref) AS ref FROM anchors GROUP BY vid, tid) USING (vid, tid)""",
+    "spans",
+    "cats",
+    "noanchor",
+    "anchors",
+)
+def q_plan_lines(t):
+    plan = t.plan.shared()
+    return records.plan_lines(plan.clips, plan.spans, t.anchors, plan.refused, units.categories(t.relations))

@@ -1,4 +1,5 @@
-"""Writing records, tables, the ledger and manifests so that readers never see half of them."""
+"""Writing records, tables, the ledger and manifests so that readers never see half of them, and never lose what was there
+before the new is in place."""
 
 from __future__ import annotations
 
@@ -14,27 +15,54 @@ def _fs(spark: SparkSession, path: str):
     return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def _swap(spark: SparkSession, staged: str, path: str) -> None:
+    """Put `staged` in the place of `path`: the old is moved aside, the new moved in, and only then the old deleted. If the
+    new cannot be moved in, the old comes back; what has been staged is left where it is."""
+    target, fs = _fs(spark, path)
+    aside = _fs(spark, f"{path.rstrip('/')}.old-{uuid.uuid4().hex[:8]}")[0]
+    had = fs.exists(target)
+    if had and not fs.rename(target, aside):
+        raise OSError(f"cannot move {path} aside; the new is in {staged}")
+    if not fs.rename(_fs(spark, staged)[0], target):
+        if had:
+            fs.rename(aside, target)
+        raise OSError(f"cannot rename {staged} to {path}")
+    if had:
+        fs.delete(aside, True)
+
+
 def publish(df: DataFrame, path: str, form: str = "parquet", **options) -> None:
-    """Write beside `path` and rename once all is written; what was there is replaced."""
+    """Write beside `path` and swap once all is written; a failed write leaves nothing behind."""
     spark, staged = df.sparkSession, f"{path.rstrip('/')}.part-{uuid.uuid4().hex[:8]}"
     try:
         df.write.format(form).options(**options).save(staged)
-        target, fs = _fs(spark, path)
-        fs.delete(target, True)
-        if not fs.rename(_fs(spark, staged)[0], target):
-            raise OSError(f"cannot rename {staged} to {path}")
-    finally:
+    except Exception:
         where, fs = _fs(spark, staged)
         fs.delete(where, True)
+        raise
+    _swap(spark, staged, path)
 
 
 def parquet(df: DataFrame, path: str) -> None:
     publish(df, path, "parquet", compression="zstd")
 
 
-def json_lines(df: DataFrame, path: str) -> None:
-    """One folder of JSON lines for each video; nulls are written."""
-    df.write.mode("overwrite").option("ignoreNullFields", "false").partitionBy("vid").json(path)
+def json_lines(df: DataFrame, path: str) -> int:
+    """One folder of JSON lines for each video, nulls written. Only the folders of the videos in `df` are replaced, each at
+    once when all of them are written. The number of rows."""
+    spark, staged = df.sparkSession, f"{path.rstrip('/')}.part-{uuid.uuid4().hex[:8]}"
+    where, fs = _fs(spark, staged)
+    try:
+        df.write.option("ignoreNullFields", "false").partitionBy("vid").json(staged)
+        n = spark.read.text(staged, recursiveFileLookup=True).count() if fs.exists(where) and len(fs.listStatus(where)) > 1 else 0
+        fs.mkdirs(_fs(spark, path)[0])
+        for status in fs.listStatus(where):  # a folder for each video
+            name = status.getPath().getName()
+            if name.startswith("vid="):
+                _swap(spark, f"{staged}/{name}", f"{path.rstrip('/')}/{name}")
+        return n
+    finally:
+        fs.delete(where, True)
 
 
 def csv(df: DataFrame, path: str) -> None:
@@ -43,14 +71,19 @@ def csv(df: DataFrame, path: str) -> None:
 
 
 def manifest(spark: SparkSession, path: str, facts: dict) -> None:
-    """One JSON document with sorted keys."""
-    text = json.dumps(facts, sort_keys=True, indent=1)
-    target, fs = _fs(spark, path)
+    """One JSON document with sorted keys, swapped in when it is complete."""
+    text, staged = json.dumps(facts, sort_keys=True, indent=1), f"{path}.part-{uuid.uuid4().hex[:8]}"
+    target, fs = _fs(spark, staged)
     out = fs.create(target, True)
     try:
         out.write(bytearray(text, "utf-8"))
     finally:
         out.close()
+    _swap(spark, staged, path)
+
+
+def read_manifest(spark: SparkSession, path: str) -> dict:
+    return json.loads("\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect()))  # one document
 
 
 def payload(anchors: Column, ref: Column, policy: Column, direction: Column, extras: dict[str, Column] | None = None) -> Column:
