@@ -51,7 +51,7 @@ def tracks(raw: DataFrame, clips: DataFrame, measures: tuple[str, ...] = ()) ->
     if measures:
         one = lambda x: F.struct(x["tid"].alias("tid"), *(x[c].alias(c) for c in rest), *_measures(F.col("boxes"), x, measures))
         frames = frames.withColumn("boxes", F.transform("boxes", one))
-    boxes = frames.select("vid", "fid", *of_clip, F.inline("boxes")).drop("ord")
+    boxes = frames.select("vid", "fid", *of_clip, F.inline_outer("boxes")).drop("ord")
     own = Window.partitionBy(*OBJECT)
     lo = F.greatest("seg_begin", F.min("fid").over(own)).alias("lo")
     return boxes.select("*", lo, F.least("seg_end", F.max("fid").over(own)).alias("hi"))

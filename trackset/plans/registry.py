@@ -51,7 +51,8 @@ class Tables:
     def paired(self) -> DataFrame:
         plan = self.plan.shared()
         planned = plan.records.join(plan.refused, ["vid", "tid"], "left_anti")
-        return combine.paired(planned, proxy.mask_passes(plan.boxes))
+        # dealt out by video before the masks are made, which are much larger than what they are made from
+        return proxy.mask_passes(combine.paired(planned, proxy.mask_seeds(plan.boxes)).repartition("vid"))
 
     @property
     def readings(self) -> DataFrame:
@@ -539,7 +540,7 @@ FROM inspan i LEFT JOIN noanchor n USING (vid, tid) LEFT JOIN (SELECT * FROM mas
 )
 def q_records_forward(t):
     plan = t.plan.shared()
-    masks = proxy.mask_passes(plan.boxes).where("fwd IS NOT NULL AND fid % 11 <> 3")
+    masks = proxy.mask_passes(proxy.mask_seeds(plan.boxes)).where("fwd IS NOT NULL AND fid % 11 <> 3")
     rows = records.single_pass_records(plan.records, plan.refused, masks.withColumnRenamed("fwd", "mask"))
     return rows.select("vid", "tid", "fid", "reason")
 
@@ -779,6 +780,7 @@ def _nested(t):
     """SELECT vid, s, p, o, problem FROM (SELECT *, CASE
   WHEN k = 2 THEN 'schema_version is not the expected one' WHEN txt IS NULL THEN 'text is empty' WHEN k = 3 THEN 'no frames'
   WHEN k = 4 AND seg_end - seg_begin + 1 <> 3 THEN 'frame_files do not match frame_ids'
+  WHEN n_groups > 0 AND n_tracklets = 0 THEN 'a group names a missing tracklet'
   WHEN k = 9 AND n_links > 0 THEN 'span_links are not the inverse of groups' WHEN k = 7 THEN 'disposition is unknown'
   WHEN k = 8 AND (n_tracklets > 0 OR n_groups > 0) THEN 'a negative record has tracklets'
   WHEN k = 8 THEN 'a negative record''s disposition is another'

@@ -106,26 +106,31 @@ def columns_of(x0: Column, y0: Column, x1: Column, y1: Column, height: Column) -
     )
 
 
-def mask_passes(boxes: DataFrame) -> DataFrame:
-    """Of boxes with their video's height: vid, fid, tid, fwd, bwd (intervals, null where the pass has no mask), fconf, bconf."""
+def mask_seeds(boxes: DataFrame) -> DataFrame:
+    """What both passes' masks and scores of a box are made from; small, so that it is this that is joined."""
+    return boxes.select("vid", "fid", "tid", "xmin", "ymin", "xmax", "ymax", "height", "h", "fscore", "bscore")
+
+
+def mask_passes(seeds: DataFrame) -> DataFrame:
+    """Of rows with seeds: vid, fid, tid, fwd, bwd (intervals, null where the pass has no mask), fconf, bconf."""
     h, height = F.col("h"), F.col("height")
     x0, y0, x1, y1 = (F.col(c) for c in ("xmin", "ymin", "xmax", "ymax"))
     corner = columns_of(x0, y0, x0 + 1, y0 + 2, height)
     thin = columns_of(x0, y0, x0, y1, height)
     moved = (x0 + 25) % 32
     fwd = (
-        F.when(h.isin(0, 4, 9), F.lit(None))
+        F.when(h.isNull() | h.isin(0, 4, 9), F.lit(None))
         .when(h.isin(2, 5, 8), corner)
         .when(h == 7, thin)
         .otherwise(columns_of(x0, y0, x1, y1, height))
     )
     bwd = (
-        F.when(h.isin(1, 4, 8), F.lit(None))
+        F.when(h.isNull() | h.isin(1, 4, 8), F.lit(None))
         .when(h.isin(3, 5, 9), corner)
         .when(h == 6, columns_of(moved, y0, moved + x1 - x0, y1, height))
         .otherwise(columns_of(x0 + 1, y0, x1 + 1, y1, height))
     )
-    return boxes.select(
+    return seeds.select(
         "vid",
         "fid",
         "tid",
