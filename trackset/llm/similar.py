@@ -30,6 +30,8 @@ SHINGLE_WORDS = 5
 SIMILAR = (4, 5)
 #: Texts of the sample that orders shingles, and in how many of them a frequent shingle is.
 SAMPLE, FREQUENT = 10_000, 3
+#: Longs of the bitmap that a candidate's differences are counted on.
+BITMAP_LONGS = 16
 #: Members of a crowd's largest component that those outside are compared with, round by round, before all are.
 TRIED = (12, 48)
 
@@ -68,6 +70,13 @@ def sketch(own: np.ndarray) -> bytes | None:
     return counts.astype("u1").tobytes() if counts.max() < 256 else None
 
 
+def bitmap(own: np.ndarray) -> np.ndarray:
+    """Which of 64 BITMAP_LONGS places the shingles of a text fall on."""
+    places = np.zeros(64 * BITMAP_LONGS, "u1")
+    places[(own >> np.uint64(40)) % np.uint64(len(places))] = 1
+    return np.packbits(places).view("<i8")
+
+
 def at_most_shared(x: bytes, y: bytes) -> int:
     """No more shingles than this can two sketched texts share."""
     a, b = sorted((np.frombuffer(x, "u1").astype("i8"), np.frombuffer(y, "u1").astype("i8")), key=len)
@@ -75,14 +84,14 @@ def at_most_shared(x: bytes, y: bytes) -> int:
 
 
 def placed(texts: DataFrame, k: int) -> DataFrame:
-    """node, fp, n (shingles), anchors (the first shingles in the global order, as many as two similar texts need), sketch."""
+    """node, fp, n (shingles), anchors (the first shingles in the global order, as many as two similar texts need), sketch, bits."""
     shared = texts.sparkSession.sparkContext.broadcast(frequent_shingles(texts, k))
     over, under = SIMILAR
 
     def run(batches):
         often, counts = shared.value
         for batch in batches:
-            fps, sizes, anchors, sketches = [], [], [], []
+            fps, sizes, anchors, sketches, bits = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 parts = list(simhash.shingle_hashes(text, k))
                 own = _distinct(parts)
@@ -96,6 +105,7 @@ def placed(texts: DataFrame, k: int) -> DataFrame:
                 sizes.append(len(own))
                 anchors.append(own[first].view("i8"))
                 sketches.append(sketch(own))
+                bits.append(bitmap(own))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -103,38 +113,54 @@ def placed(texts: DataFrame, k: int) -> DataFrame:
                     pa.array(sizes, pa.int64()),
                     pa.array(anchors, pa.list_(pa.int64())),
                     pa.array(sketches, pa.binary()),
+                    pa.array(bits, pa.list_(pa.int64())),
                 ],
-                ["node", "fp", "n", "anchors", "sketch"],
+                ["node", "fp", "n", "anchors", "sketch", "bits"],
             )
 
     rows = texts.select("node", F.col("text").cast("binary").alias("text"))
-    return common.map_arrow(rows, run, "node long, fp long, n long, anchors array<long>, sketch binary")
+    return common.map_arrow(rows, run, "node long, fp long, n long, anchors array<long>, sketch binary, bits array<long>")
 
 
 def crowds(places: DataFrame) -> DataFrame:
-    """anchor, node, n, pos of the anchors that two texts or more have, without those that cannot be similar to any of
-    the others by their lengths and by what is left of them from the anchor on."""
+    """anchor, node, n, pos, bits of the anchors that two texts or more have, without those that cannot be similar to any of
+    the others by their lengths and by what is left of them from the anchor on.
+
+    Near copies share most of their anchors. Anchors with the same members (by number and two hashes) are one crowd, in
+    which a text has its first place among them, so that a pair is met once and not at each anchor."""
     over, under = SIMILAR
     members = places.select("node", "n", F.posexplode("anchors").alias("pos", "anchor"))
     left = F.col("n") - F.col("pos")
+    same = [F.bit_xor(F.xxhash64("node", F.lit(seed))).alias(f"x{seed}") for seed in (1, 2)]
     often = members.groupBy("anchor").agg(
-        F.count(F.lit(1)).alias("m"), F.min("n").alias("low"), F.max(left).alias("most"), F.sum("n").alias("s"), F.min(left).alias("least")
+        F.count(F.lit(1)).alias("m"), F.min("n").alias("low"), F.max(left).alias("most"), F.sum("n").alias("s"), F.min(left).alias("least"), *same
     )
     # two alone are tried at once
     often = often.where((F.col("m") > 2) | (F.col("m") == 2) & ((over + under) * F.col("least") >= over * F.col("s")))
+    often = common.materialise(often.select("anchor", "m", "x1", "x2", "low", "most"), "crowded")
+    named = often.groupBy("m", "x1", "x2").agg(F.min("anchor").alias("crowd"), F.min("low").alias("low"), F.max("most").alias("most"))
     # written, so that the join exchanges both sides and Spark can split a frequent anchor
-    often = common.materialise(often.select("anchor", "low", "most"), "crowded")
-    enough = (over + under) * F.least(left, F.col("most")) >= over * (F.col("n") + F.col("low"))
-    out = common.materialise(members.join(often, "anchor").where(enough).select("anchor", "node", "n", "pos"), "crowds")
+    names = often.select("anchor", "m", "x1", "x2").join(named, ["m", "x1", "x2"]).select("anchor", "crowd", "low", "most")
+    names = common.materialise(names, "crowd-names")
     common.discard(often)
+    met = members.join(names, "anchor").groupBy("crowd", "node").agg(
+        F.max("n").alias("n"), F.min("pos").alias("pos"), F.min("low").alias("low"), F.max("most").alias("most")
+    )
+    enough = (over + under) * F.least(left, F.col("most")) >= over * (F.col("n") + F.col("low"))
+    met = met.where(enough).select(F.col("crowd").alias("anchor"), "node", "n", "pos")
+    out = common.materialise(met.join(places.select("node", "bits"), "node").select("anchor", "node", "n", "pos", "bits"), "crowds")
+    common.discard(names)
     return out
 
 
 def _may_be_similar(a: str, b: str):
-    """What is left of both from their first shared shingle on is enough."""
+    """What is left of both from their first shared shingle on is enough, and few enough places of their bitmaps differ:
+    each that does is a shingle that only one of them has, and similar texts have a ninth of all at most."""
     over, under = SIMILAR
     left = F.least(F.col(f"{a}.n") - F.col(f"{a}.pos"), F.col(f"{b}.n") - F.col(f"{b}.pos"))
-    return (over + under) * left >= over * (F.col(f"{a}.n") + F.col(f"{b}.n"))
+    both = F.col(f"{a}.n") + F.col(f"{b}.n")
+    differ = sum((F.bit_count(F.get(f"{a}.bits", F.lit(i)).bitwiseXOR(F.get(f"{b}.bits", F.lit(i)))) for i in range(BITMAP_LONGS)), F.lit(0))
+    return ((over + under) * left >= over * both) & ((over + under) * differ <= (under - over) * both)
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -143,7 +169,7 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 def with_one_of_each_crowd(members: DataFrame, salt: int) -> DataFrame:
     """a, b: every member of a crowd beside one of its members, which differs by anchor and by salt."""
-    one = F.min_by(F.struct("node", "n", "pos", "root"), F.xxhash64("node", "anchor", F.lit(salt)))
+    one = F.min_by(F.struct("node", "n", "pos", "root", "bits"), F.xxhash64("node", "anchor", F.lit(salt)))
     hubs = common.materialise(members.groupBy("anchor").agg(one.alias("h")).select("anchor", "h.*"), "hubs")
     h, m = hubs.alias("h"), members.alias("m")
     on = (F.col("h.anchor") == F.col("m.anchor")) & (F.col("h.root") != F.col("m.root")) & _may_be_similar("h", "m")
