@@ -47,6 +47,15 @@ def test_query(spark, db, name):
     assert {c: kinds[k] for c, k in df.dtypes} == dict(zip(found.columns, map(str, found.types)))
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+@pytest.mark.parametrize("name", ["q_inside_px"])
+def test_no_masks_go_to_the_driver(spark, name):
+    """Masks and boxes as intervals take far more memory than Spark's estimate, so no join may broadcast them."""
+    plan = registry.QUERIES[name](spark, SF)._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    sent = re.findall(r"\) BroadcastExchange\nInput[^:]*: \[(.*)\]", plan)
+    assert sent and not [s for s in sent if re.search(r"\b(box|mask|fwd|bwd)#", s)]
+
+
 def test_entry_without_the_optional_part(tmp_path):
     for p in REPO.iterdir():
         if p.name not in (".git", "corpus_pipeline.py", "tests"):

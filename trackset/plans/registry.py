@@ -47,12 +47,16 @@ class Tables:
     def refused(self) -> DataFrame:
         return self.plan.refused
 
-    @property
-    def paired(self) -> DataFrame:
+    def passes(self, *also: str) -> DataFrame:
+        """Both passes' masks of the planned objects' frames, and the seeds named in `also`."""
         plan = self.plan.shared()
         planned = plan.records.join(plan.refused, ["vid", "tid"], "left_anti")
         # dealt out by video before the masks are made, which are much larger than what they are made from
-        return proxy.mask_passes(combine.paired(planned, proxy.mask_seeds(plan.boxes)).repartition("vid"))
+        return proxy.mask_passes(combine.paired(planned, proxy.mask_seeds(plan.boxes)).repartition("vid"), also)
+
+    @property
+    def paired(self) -> DataFrame:
+        return self.passes()
 
     @property
     def readings(self) -> DataFrame:
@@ -729,10 +733,11 @@ FROM areas JOIN (SELECT vid, fid, tid, xmin, ymin, xmax, ymax FROM boxes) USING
     "boxes",
 )
 def q_inside_px(t):
-    box = proxy.columns_of(*(F.col(c) for c in geometry.SIDES), F.col("height"))
-    sides = t.plan.shared().boxes.select("vid", "fid", "tid", box.alias("box"))
-    rows = t.readings.join(sides, ["vid", "fid", "tid"])
-    inside = F.when(F.col("fwd").isNotNull(), rle.overlap(F.col("fwd"), F.col("box")))
+    # a row's box comes along as four numbers and becomes intervals here: joined as intervals, Spark took it for small
+    sides = (*geometry.SIDES, "height")
+    box = proxy.columns_of(*(F.col(c) for c in sides))
+    inside = F.when(F.col("fwd").isNotNull(), rle.overlap(F.col("fwd"), box))
+    rows = combine.readings(t.passes(*sides), S.merge)
     return rows.select("vid", "fid", "tid", inside.alias("inside_px"), F.col("fa").alias("area"))
 
 

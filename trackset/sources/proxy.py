@@ -111,8 +111,9 @@ def mask_seeds(boxes: DataFrame) -> DataFrame:
     return boxes.select("vid", "fid", "tid", "xmin", "ymin", "xmax", "ymax", "height", "h", "fscore", "bscore")
 
 
-def mask_passes(seeds: DataFrame) -> DataFrame:
-    """Of rows with seeds: vid, fid, tid, fwd, bwd (intervals, null where the pass has no mask), fconf, bconf."""
+def mask_passes(seeds: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
+    """Of rows with seeds: vid, fid, tid, fwd, bwd (intervals, null where the pass has no mask), fconf, bconf, and the
+    seeds named in `also`."""
     h, height = F.col("h"), F.col("height")
     x0, y0, x1, y1 = (F.col(c) for c in ("xmin", "ymin", "xmax", "ymax"))
     corner = columns_of(x0, y0, x0 + 1, y0 + 2, height)
@@ -138,4 +139,5 @@ def mask_passes(seeds: DataFrame) -> DataFrame:
         bwd.alias("bwd"),
         F.when(~h.isin(0, 4, 9), F.col("fscore") / F.lit(100.0)).alias("fconf"),
         F.when(~h.isin(1, 4, 8), F.col("bscore") / F.lit(100.0)).alias("bconf"),
+        *also,
     )
