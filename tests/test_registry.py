@@ -48,7 +48,7 @@ def test_query(spark, db, name):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
-@pytest.mark.parametrize("name", ["q_inside_px"])
+@pytest.mark.parametrize("name", ["q_inside_px", "q_records_forward"])
 def test_no_masks_go_to_the_driver(spark, name):
     """Masks and boxes as intervals take far more memory than Spark's estimate, so no join may broadcast them."""
     plan = registry.QUERIES[name](spark, SF)._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))

@@ -69,14 +69,18 @@ def single_pass_records(
     """
     any_frame = masks.select("vid", "fid").distinct().withColumn("frame_seen", F.lit(True))
     any_video = masks.select("vid").distinct().withColumn("video_seen", F.lit(True))
-    rows = frames.join(refused, ["vid", "tid"], "left").join(masks.select(*KEY, *(c for c in ("mask", "confidence") if c in masks.columns)), KEY, "left")
+    # whether a mask has pixels is told before the join, so that masks travel only where they are wanted; then they are
+    # exchanged, as Spark's estimate of their size is far too small to go by in handing them to the driver
+    some = (F.coalesce(F.size("mask"), F.lit(0)) > 0).alias("some")
+    own = masks.select(*KEY, *(c for c in ("mask", "confidence") if c in masks.columns), some).hint("merge")
+    rows = frames.join(refused, ["vid", "tid"], "left").join(own, KEY, "left")
     rows = rows.join(any_frame, ["vid", "fid"], "left").join(any_video, "vid", "left")
     rows = rows.withColumn("clip_reason", F.lit(None).cast("string")) if clips is None else rows.join(clips, "vid", "left")
     why = (
         F.when(F.col("clip_reason").isNotNull(), F.col("clip_reason"))
         .when(F.col("reason").isNotNull(), F.col("reason"))
         .when(F.col("video_seen") & F.col("frame_seen").isNull(), "not_tracked")
-        .when(F.coalesce(F.size("mask"), F.lit(0)) <= 0, "empty_mask")
+        .when(~F.coalesce("some", F.lit(False)), "empty_mask")
     )
     more = [F.when(why.isNull(), F.col(c)).alias(c) for c in ("mask", "confidence") if c in rows.columns]
     return rows.select("vid", "tid", "fid", why.alias("reason"), *more, *(c for c in ("generated", "tracker") if want_boxes))
