@@ -238,6 +238,19 @@ def test_the_sample_ends_where_words_are_used_up():
     assert toxicity.within_words(sizes, 10**6) is None
 
 
+def test_all_labelled_rows_are_learned_from(spark, labelled, monkeypatch):
+    """The driver begins with few rows; words that only others hold are learned all the same, and thresholds count all."""
+    docs, df, labels = labelled
+    monkeypatch.setattr(toxicity, "SAMPLE", 10)
+    monkeypatch.setattr(toxicity, "SLICE_ROWS", 200, raising=False)
+    rows = {r.doc_id: r for r in toxicity.score(df, labels).collect()}
+    held = [r for r in rows.values() if r.held_out]
+    assert np.mean([(r.score >= toxicity.THRESHOLD) == (r.doc_id % 6 == 0) for r in held]) > 0.95
+    assert np.mean([r.flagged == (r.doc_id % 6 == 0) for r in held]) > 0.95
+    again = toxicity.score(df.repartition(7), labels.repartition(3)).collect()
+    assert {r.doc_id: r.score for r in again} == {i: r.score for i, r in rows.items()}
+
+
 def test_clashing_columns_of_labels(spark, labelled):
     _, df, labels = labelled
     plain = {r.doc_id: r.score for r in toxicity.score(df, labels).collect()}
