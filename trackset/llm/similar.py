@@ -10,7 +10,9 @@ two of them share and rules out most candidates; the rest are verified by their
 The order puts shingles that are frequent in a sample last and is by hash otherwise. Any order finds every pair; this
 one keeps common phrases from being anchors. A crowd at an anchor is first compared with one of its members, then those
 outside its largest component with a few of that component, and with more; after that all members whose components still
-differ are compared, so that no link between components is missed and few pairs within one are looked at.
+differ are compared, so that no link between components is missed and few pairs within one are looked at. Texts that
+are less alike meet in many crowds all the same: a pair is then looked at in the first of them, and parities of
+about as many places as a text has shingles tell how much two texts differ before the pair is made.
 
 Defined results: as for simhash; equal texts are merged before, null and empty texts are alike.
 """
@@ -19,7 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common, simhash
@@ -30,8 +32,10 @@ SHINGLE_WORDS = 5
 SIMILAR = (4, 5)
 #: Texts of the sample that orders shingles, and in how many of them a frequent shingle is.
 SAMPLE, FREQUENT = 10_000, 3
-#: Longs of the bitmap that a candidate's differences are counted on.
-BITMAP_LONGS = 16
+#: Longs of the parities that a candidate's differences are counted on: a bit for each one or two shingles, within these.
+PARITY_LONGS = (8, 256)
+#: Crowds of a text before one in which it is told that a pair has met already.
+BEFORE = 8
 #: Members of a crowd's largest component that those outside are compared with, round by round, before all are.
 TRIED = (12, 48)
 
@@ -70,11 +74,12 @@ def sketch(own: np.ndarray) -> bytes | None:
     return counts.astype("u1").tobytes() if counts.max() < 256 else None
 
 
-def bitmap(own: np.ndarray) -> np.ndarray:
-    """Which of 64 BITMAP_LONGS places the shingles of a text fall on."""
-    places = np.zeros(64 * BITMAP_LONGS, "u1")
-    places[(own >> np.uint64(40)) % np.uint64(len(places))] = 1
-    return np.packbits(places).view("<i8")
+def parities(own: np.ndarray) -> np.ndarray:
+    """On which places (a power of two, by the low bits of what follows the 40th) an odd number of shingles falls."""
+    least, most = PARITY_LONGS
+    size = 64 * min(most, max(least, 1 << (len(own) // 64).bit_length() >> 1))
+    counts = np.bincount(((own >> np.uint64(40)) & np.uint64(size - 1)).astype("i8"), minlength=size)
+    return np.packbits((counts & 1).astype("u1")).view("<i8")
 
 
 def at_most_shared(x: bytes, y: bytes) -> int:
@@ -105,7 +110,7 @@ def placed(texts: DataFrame, k: int) -> DataFrame:
                 sizes.append(len(own))
                 anchors.append(own[first].view("i8"))
                 sketches.append(sketch(own))
-                bits.append(bitmap(own))
+                bits.append(parities(own))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -123,11 +128,12 @@ def placed(texts: DataFrame, k: int) -> DataFrame:
 
 
 def crowds(places: DataFrame) -> DataFrame:
-    """anchor, node, n, pos, bits of the anchors that two texts or more have, without those that cannot be similar to any of
+    """anchor, node, n, pos, before, bits of the anchors that two texts or more have, without those that cannot be similar to any of
     the others by their lengths and by what is left of them from the anchor on.
 
     Near copies share most of their anchors. Anchors with the same members (by number and two hashes) are one crowd, in
-    which a text has its first place among them, so that a pair is met once and not at each anchor."""
+    which a text has its first place among them, so that a pair is met once and not at each anchor. `before` holds the
+    text's last BEFORE crowds before this one; by place, crowds are in the same order in every text."""
     over, under = SIMILAR
     members = places.select("node", "n", F.posexplode("anchors").alias("pos", "anchor"))
     left = F.col("n") - F.col("pos")
@@ -148,18 +154,30 @@ def crowds(places: DataFrame) -> DataFrame:
     )
     enough = (over + under) * F.least(left, F.col("most")) >= over * (F.col("n") + F.col("low"))
     met = met.where(enough).select(F.col("crowd").alias("anchor"), "node", "n", "pos")
-    out = common.materialise(met.join(places.select("node", "bits"), "node").select("anchor", "node", "n", "pos", "bits"), "crowds")
+    earlier = Window.partitionBy("node").orderBy("pos").rowsBetween(-BEFORE, -1)
+    met = met.withColumn("before", F.collect_list("anchor").over(earlier))
+    out = met.join(places.select("node", "bits"), "node").select("anchor", "node", "n", "pos", "before", "bits")
+    out = common.materialise(out, "crowds")
     common.discard(names)
     return out
 
 
+def _differing(x, y):
+    """Places whose parities differ, on as many as the shorter has: the halves of one that has twice as many are added."""
+    size = F.least(F.size(x), F.size(y))
+    added = lambda p, q: p.bitwiseXOR(q)
+    at_size = lambda p: F.when(F.size(p) == size, p).otherwise(F.zip_with(F.slice(p, 1, size), F.slice(p, size + 1, size), added))
+    return F.aggregate(F.zip_with(at_size(x), at_size(y), added), F.lit(0), lambda n, p: n + F.bit_count(p))
+
+
 def _may_be_similar(a: str, b: str):
-    """What is left of both from their first shared shingle on is enough, and few enough places of their bitmaps differ:
-    each that does is a shingle that only one of them has, and similar texts have a ninth of all at most."""
+    """What is left of both from their first shared shingle on is enough, so that one has five fourths of the other's at
+    most, and few enough parities differ: each that does is of a shingle that only one of them has, and similar texts
+    have a ninth of all at most."""
     over, under = SIMILAR
     left = F.least(F.col(f"{a}.n") - F.col(f"{a}.pos"), F.col(f"{b}.n") - F.col(f"{b}.pos"))
     both = F.col(f"{a}.n") + F.col(f"{b}.n")
-    differ = sum((F.bit_count(F.get(f"{a}.bits", F.lit(i)).bitwiseXOR(F.get(f"{b}.bits", F.lit(i)))) for i in range(BITMAP_LONGS)), F.lit(0))
+    differ = _differing(F.col(f"{a}.bits"), F.col(f"{b}.bits"))
     return ((over + under) * left >= over * both) & ((over + under) * differ <= (under - over) * both)
 
 
@@ -178,7 +196,8 @@ def with_one_of_each_crowd(members: DataFrame, salt: int) -> DataFrame:
 
 def between_components(members: DataFrame, most: int | None, salt: int = 0) -> DataFrame:
     """a, b: pairs of a crowd whose components differ, each with one outside the crowd's largest: with about `most`
-    members of the largest, or, if that is None, with all others of the crowd."""
+    members of the largest, or, if that is None, with all others of the crowd. Two that have met in an earlier crowd are
+    left to it: similar texts pass all conditions in the first that they share."""
     parts = members.groupBy("anchor", "root").agg(F.count(F.lit(1)).alias("m"))
     top = F.max(F.struct("m", "root"))
     main = parts.groupBy("anchor").agg(top.alias("top"), F.count(F.lit(1)).alias("p")).where("p > 1")
@@ -188,7 +207,8 @@ def between_components(members: DataFrame, most: int | None, salt: int = 0) -> D
     if most is not None:
         b = b.where((F.col("root") == F.col("main")) & (F.pmod(F.xxhash64("node", F.lit(salt)), F.ceil(F.col("m") / most)) == 0))
     a, b = a.alias("a"), b.alias("b")
-    on = (F.col("a.anchor") == F.col("b.anchor")) & (F.col("a.root") != F.col("b.root")) & _may_be_similar("a", "b")
+    on = (F.col("a.anchor") == F.col("b.anchor")) & (F.col("a.root") != F.col("b.root"))
+    on = on & ~F.arrays_overlap("a.before", "b.before") & _may_be_similar("a", "b")
     once = (F.col("b.root") == F.col("b.main")) | (F.col("a.node") < F.col("b.node"))
     return _ordered(a.join(b, on & once).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")))
 
